@@ -42,15 +42,15 @@ def control_replay(log: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> D
     toggles_before = F.coalesce(F.sum("_toggles").over(TL.before(keys)), F.lit(0))
     local_carry = local.groupBy(*keys, TL.SLICE).agg(*[e.alias(n) for n, e in tails.items()])
     carry = (
-        local_carry.withColumn("_T", toggles_before)
-        .withColumn("_B", F.last(F.col("_last_set") + F.col("_T"), ignorenulls=True).over(TL.before(keys)))
-        .select(*keys, TL.SLICE, "_T", "_B")
+        local_carry.withColumn("_toggles_in", toggles_before)
+        .withColumn("_set_in", F.last(F.col("_last_set") + F.col("_toggles_in"), ignorenulls=True).over(TL.before(keys)))
+        .select(*keys, TL.SLICE, "_toggles_in", "_set_in")
     )
     joined = local.join(carry, [*keys, TL.SLICE], "left")
-    t_now = F.col("_t") + F.col("_T")
+    t_now = F.col("_t") + F.col("_toggles_in")
 
     def state(local_b: str, toggles: Column) -> Column:
-        base = F.coalesce(F.col(local_b) + F.col("_T"), F.col("_B"), F.lit(0))
+        base = F.coalesce(F.col(local_b) + F.col("_toggles_in"), F.col("_set_in"), F.lit(0))
         return ((base + toggles) % 2).cast("int")
 
     after = state("_b", t_now)

@@ -183,9 +183,7 @@ def size_class(spark, sf):
 @query
 def classify_text(spark, sf):
     docs = FX.table(spark, sf, "documents")
-    text = FX.pick(
-        F.col("doc_id") % 40, "", " \n\t", " ", " ", "\u0001", "x"
-    )
+    text = FX.pick(F.col("doc_id") % 40, "", " \n\t", "\u2003", "\u00a0", "\u0001", "x")
     body = F.when(F.col("doc_id") % 40 < 6, text).when(F.col("doc_id") % 40 > 6, F.col("text"))
     return docs.select(
         "doc_id",
