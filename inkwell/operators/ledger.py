@@ -11,7 +11,7 @@ DEFAULT_INPUT = "default-input"
 DEFAULT_OUTPUT = "default-output"
 
 
-def ledger_rows(done: DataFrame, status: str = "COMPLETED", processed_at: Column | None = None,
+def ledger_rows(done: DataFrame, status: Column | None = None, processed_at: Column | None = None,
                 chunk_count: Column | None = None) -> DataFrame:
     """Ledger projection of handled references; whole documents count as one chunk."""
     has = set(done.columns)
@@ -27,7 +27,7 @@ def ledger_rows(done: DataFrame, status: str = "COMPLETED", processed_at: Column
         F.lit(CHUNK_SIZE).alias("chunk_size"),
         (F.lit(1) if chunk_count is None else chunk_count).cast("int").alias("chunk_count"),
         (F.localtimestamp() if processed_at is None else processed_at).cast("timestamp_ntz").alias("processed_at"),
-        F.lit(status).alias("status"),
+        (F.lit("COMPLETED") if status is None else status).alias("status"),
         F.coalesce("inputStream", F.lit(DEFAULT_INPUT)).alias("input_stream"),
         F.coalesce("outputStream", F.lit(DEFAULT_OUTPUT)).alias("output_stream"),
         col("text_length", "long").alias("text_length"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -11,8 +12,10 @@ from inkwell.operators import (
     chunks as C, control as K, extract as X, ledger as L, monitoring as MO, outcomes as O, refs as R,
 )
 from inkwell.plans import fixtures as FX
-from inkwell.plans.process import flag_messages, process_directory, process_refs
+from inkwell.plans.process import flag_messages, from_table, process_directory, process_refs
+from inkwell.session import shared_dir
 from inkwell.sources import files as FS, messages as M, queues as Q
+from inkwell.streaming.processor import DocumentStream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -280,14 +283,25 @@ def estimate_chunks(spark, sf):
 
 @query
 def route_outcome(spark, sf):
-    rows = process_refs(
-        FX.store_refs(spark, sf), FX.raw_files(spark, sf).select("path", "length", "content"), readers={}
-    )
+    files = FX.raw_files(spark, sf).select("path", "length", "content")
+    rows = process_refs(FX.store_refs(spark, sf), from_table(files), readers={})
     return rows.select(
         "msg_id", "dedupe", "outcome", O.route(F.col("outcome")).alias("destination"), "mime", "text_length"
     )
 
 
+@query
+def stream_extract(spark, sf):
+    root = f"{shared_dir(FX.configure(spark)).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    documents = f"{sf}/documents.parquet"
+    schema = spark.read.parquet(documents).schema
+    incoming = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    files = FX.raw_files(spark, sf).select("path", "length", "content")
+    stream = DocumentStream(spark, root, from_table(files), readers={})
+    stream.start(FX.store_refs_of(incoming), f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    return stream.outcomes().select("msg_id", "dedupe", "outcome", "mime", "text_length")
+
+
 @query
 def directory_batch(spark, sf):
     files = FX.raw_files(spark, sf)

@@ -56,7 +56,12 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages naming the files above: a few name missing files, a third arrive twice."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return store_refs_of(table(spark, sf_dir, "documents"))
+
+
+def store_refs_of(documents: DataFrame) -> DataFrame:
+    """The same on any documents table, streaming ones included."""
+    docs = documents.select("doc_id", "source")
     name = F.when(F.col("doc_id") % 23 == 0, F.concat(F.lit("missing_"), F.col("doc_id"))).otherwise(
         document_name(F.col("doc_id"))
     )
@@ -66,12 +71,19 @@ def store_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","url":"'), url, F.lit('","outputStream":"out"}'),
     )
     once = docs.select(F.col("doc_id").alias("msg_id"), at_second(F.col("doc_id")).alias("arrived_at"), value.alias("value"))
-    again = once.where(F.col("msg_id") % 3 == 0).select(
+    return with_copies(once)
+
+
+def with_copies(once: DataFrame) -> DataFrame:
+    """Every third message arrives again much later, under a new id."""
+    copy = F.col("msg_id") % 3 == 0
+    later = F.struct(
         (F.col("msg_id") + 100_000_000).alias("msg_id"),
         (F.col("arrived_at") + F.expr("INTERVAL 1000 DAYS")).alias("arrived_at"),
         "value",
     )
-    return once.unionByName(again)
+    now = F.struct("msg_id", "arrived_at", "value")
+    return once.select(F.explode(F.when(copy, F.array(now, later)).otherwise(F.array(now))).alias("m")).select("m.*")
 
 
 def file_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,12 +98,7 @@ def file_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     value = F.when(i % 41 == 0, F.left(value, F.lit(10))).otherwise(value)
     once = pages.select(i.alias("msg_id"), at_second(i).alias("arrived_at"), value.alias("value"))
-    again = once.where(F.col("msg_id") % 3 == 0).select(
-        (F.col("msg_id") + 100_000_000).alias("msg_id"),
-        (F.col("arrived_at") + F.expr("INTERVAL 1000 DAYS")).alias("arrived_at"),
-        "value",
-    )
-    return once.unionByName(again)
+    return with_copies(once)
 
 
 def store_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -358,6 +358,8 @@ o AS (
   FROM store_refs r LEFT JOIN settled s ON s.url = r.url AND r.type = 'HDFS')
 SELECT msg_id, dedupe, outcome, CASE outcome WHEN 'COMPLETED' THEN 'processed' WHEN 'DUPLICATE' THEN 'skipped' ELSE 'error' END AS destination, mime, text_length FROM o"""
 
+ORACLES["stream_extract"] = f"SELECT msg_id, dedupe, outcome, mime, text_length FROM ({ORACLES['route_outcome']})"
+
 ORACLES["directory_batch"] = f"""WITH {RAW_FILES}, {TEXTS},
 o AS (SELECT *, CASE WHEN failure IS NOT NULL THEN failure WHEN {BLANK_UNICODE.format('text')} THEN 'BLANK' ELSE 'COMPLETED' END AS outcome
       FROM texts WHERE doc_id % 4 <> 0)

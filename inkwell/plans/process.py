@@ -33,10 +33,18 @@ def flag_messages(messages: DataFrame, done: DataFrame | None = None) -> DataFra
     return R.dedupe_refs(M.validate_refs(M.parse_file_refs(messages)), done)
 
 
-def extract_first(flagged: DataFrame, files: DataFrame, **kwargs) -> DataFrame:
+Fetch = Callable[[DataFrame], DataFrame]
+
+
+def from_table(files: DataFrame) -> Fetch:
+    """Fetch by joining with a table or scan of files."""
+    return lambda refs: FS.attach_content(refs, files)
+
+
+def extract_first(flagged: DataFrame, fetch: Fetch, **kwargs) -> DataFrame:
     """Fetch and extract the first copy of every new reference."""
     firsts = flagged.where(F.col("dedupe") == "FIRST")
-    texts = X.extract_text(FS.attach_content(firsts, files), **kwargs)
+    texts = X.extract_text(fetch(firsts), **kwargs)
     outcome = O.outcome_of(F.col("reject"), F.col("dedupe"), F.col("fetched"), F.col("failure"), F.col("text"))
     return (
         texts.withColumn("outcome", outcome)
@@ -46,7 +54,7 @@ def extract_first(flagged: DataFrame, files: DataFrame, **kwargs) -> DataFrame:
     )
 
 
-def process_refs(messages: DataFrame, files: DataFrame, done: DataFrame | None = None,
+def process_refs(messages: DataFrame, fetch: Fetch, done: DataFrame | None = None,
                  stage: Callable[[DataFrame], DataFrame] = staged, **kwargs) -> DataFrame:
     """One row per message with its outcome and, when completed, its text.
 
@@ -55,7 +63,7 @@ def process_refs(messages: DataFrame, files: DataFrame, done: DataFrame | None =
     computed apart and united.
     """
     flagged = flag_messages(messages, done)
-    first = stage(extract_first(flagged, files, **kwargs))
+    first = stage(extract_first(flagged, fetch, **kwargs))
     copies = O.settle_copies(flagged.where(F.col("dedupe") == "DUPLICATE"), first)
     rejected = flagged.where(F.col("dedupe") == "REJECTED").withColumn("outcome", F.col("reject"))
     types = {f.name: f.dataType for f in first.schema.fields}

@@ -88,3 +88,33 @@ CONTROL_LOG = T.StructType(
         T.StructField("cmd", T.StringType()),
     ]
 )
+
+OUTCOMES = T.StructType(
+    [
+        T.StructField("msg_id", T.LongType()),
+        T.StructField("arrived_at", T.TimestampType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("inputStream", T.StringType()),
+        T.StructField("outputStream", T.StringType()),
+        T.StructField("filename", T.StringType()),
+        T.StructField("url_key", T.StringType()),
+        T.StructField("dedupe", T.StringType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("mime", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("text_length", T.LongType()),
+        T.StructField("error_message", T.StringType()),
+    ]
+)
+
+CHUNKS = T.StructType(
+    [
+        T.StructField("url_key", T.StringType()),
+        T.StructField("filename", T.StringType()),
+        T.StructField("page_no", T.IntegerType()),
+        T.StructField("chunk_no", T.IntegerType()),
+        T.StructField("n_chunks", T.IntegerType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("overflow", T.BooleanType()),
+    ]
+)
