@@ -134,32 +134,29 @@ def split_pages(pages: Column, p: ChunkParams, terminators: str = TERMINATORS) -
 
 def chunk_text(df: DataFrame, pages: str, p: ChunkParams, keep: list[str], terminators: str = TERMINATORS) -> DataFrame:
     """One row per chunk: ``keep`` columns, page_no, chunk_no, n_chunks, text, overflow."""
-    arrays = df.select(*keep, split_pages(F.col(pages), p, terminators).alias("_c"))
-    rows = arrays.select(*keep, F.size("_c").alias("n_chunks"), F.posexplode("_c").alias("_pos", "_chunk"))
-    return rows.select(
-        *keep,
-        F.col("_chunk.page_no").alias("page_no"),
-        (F.col("_pos") + 1).alias("chunk_no"),
-        "n_chunks",
-        F.col("_chunk.text").alias("text"),
-        F.col("_chunk.overflow").alias("overflow"),
-    )
+    return _emit(df.select(*keep, split_pages(F.col(pages), p, terminators).alias("_c")), keep)
 
 
 def chunk_by_size(df: DataFrame, pages: str, length: str, chunk_size: int, keep: list[str],
                   threshold: int = 50 * 1024 * 1024) -> DataFrame:
     """Chunk with the parameters of each row's size class, in one pass over the rows."""
-    large = F.col(length) > threshold
-    arrays = df.select(
-        *keep,
-        F.when(large, split_pages(F.col(pages), params_for(chunk_size, True)))
-        .otherwise(split_pages(F.col(pages), params_for(chunk_size, False)))
-        .alias("_c"),
+    by_class = F.when(F.col(length) > threshold, split_pages(F.col(pages), params_for(chunk_size, True))).otherwise(
+        split_pages(F.col(pages), params_for(chunk_size, False))
     )
-    rows = arrays.select(*keep, F.size("_c").alias("n_chunks"), F.posexplode("_c").alias("_pos", "_chunk"))
-    return rows.select(
-        *keep, F.col("_chunk.page_no").alias("page_no"), (F.col("_pos") + 1).alias("chunk_no"), "n_chunks",
-        F.col("_chunk.text").alias("text"), F.col("_chunk.overflow").alias("overflow"),
+    return _emit(df.select(*keep, by_class.alias("_c")), keep)
+
+
+def _emit(arrays: DataFrame, keep: list[str]) -> DataFrame:
+    # the outer generator: a plain one would add a size filter below the projection
+    # and split every text twice
+    rows = arrays.select(*keep, F.size("_c").alias("n_chunks"), F.posexplode_outer("_c").alias("_pos", "_chunk"))
+    return rows.where(F.col("_pos").isNotNull()).select(
+        *keep,
+        F.col("_chunk.page_no").alias("page_no"),
+        (F.col("_pos") + 1).alias("chunk_no"),
+        "n_chunks",
+        F.col("_chunk.text").alias("text"),
+        F.col("_chunk.overflow").alias("overflow"),
     )
 
 

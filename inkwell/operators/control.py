@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.operators import timeline as TL
 
@@ -22,31 +22,28 @@ def control_replay(log: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> D
     Columns: input, ``state_before``, ``state_after`` (0/1), ``changed``,
     ``reported_change`` (a reset always reports a change), ``status``.
     """
-    keys, order = ["instance_id"], ["ts", "cmd_id"]
-    w = TL.within(keys, order)
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
+    order = ["ts", "cmd_id"]
+    w = TL.within(order)
     cmd = F.lower("cmd")
     value = F.when(cmd == "start", F.lit(1)).when(cmd.isin("stop", "reset"), F.lit(0))
     local = (
-        TL.sliced(log, "ts", width_s)
+        TL.sliced(log, ["instance_id"], "ts", width_s)
         .withColumn("_flip", F.when(cmd == "toggle", F.lit(1)).otherwise(F.lit(0)).cast("long"))
         .withColumn("_t", F.sum("_flip").over(w))
         .withColumn("_set", value + F.col("_t"))
         .withColumn("_b", F.last("_set", ignorenulls=True).over(w))
-        .withColumn("_b0", F.last("_set", ignorenulls=True).over(prior))
+        .withColumn("_b0", F.last("_set", ignorenulls=True).over(TL.strictly_within(order)))
     )
     tails = {
         "_toggles": F.sum("_flip"),
         "_last_set": F.max_by("_set", F.when(F.col("_set").isNotNull(), F.struct(*order))),
     }
-    toggles_before = F.coalesce(F.sum("_toggles").over(TL.before(keys)), F.lit(0))
-    local_carry = local.groupBy(*keys, TL.SLICE).agg(*[e.alias(n) for n, e in tails.items()])
-    carry = (
-        local_carry.withColumn("_toggles_in", toggles_before)
-        .withColumn("_set_in", F.last(F.col("_last_set") + F.col("_toggles_in"), ignorenulls=True).over(TL.before(keys)))
-        .select(*keys, TL.SLICE, "_toggles_in", "_set_in")
+    joined = TL.with_carry(
+        local,
+        tails,
+        {"_toggles_in": F.coalesce(F.sum("_toggles").over(TL.before()), F.lit(0))},
+        {"_set_in": F.last(F.col("_last_set") + F.col("_toggles_in"), ignorenulls=True).over(TL.before())},
     )
-    joined = local.join(carry, [*keys, TL.SLICE], "left")
     t_now = F.col("_t") + F.col("_toggles_in")
 
     def state(local_b: str, toggles: Column) -> Column:
@@ -58,7 +55,7 @@ def control_replay(log: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> D
         joined.withColumn("state_before", state("_b0", t_now - F.col("_flip")))
         .withColumn("state_after", after)
         .select(
-            *log.columns,
+            *TL.restored(log.columns, ["instance_id"]),
             "state_before",
             "state_after",
             (F.col("state_before") != F.col("state_after")).alias("changed"),
@@ -125,31 +122,29 @@ def consume_backlog(arrivals: DataFrame, replay: DataFrame, width_s: int = TL.DE
     changes before the arrival, the next start from those after it.
     ``consumed_at`` stays NULL while no later start exists.
     """
-    keys, order = ["instance_id"], ["ts", "event_id"]
+    order = ["ts", "event_id"]
     changes = replay.where("changed").select(
         "instance_id", "ts", F.col("cmd_id").alias("event_id"), F.col("state_after").alias("_state")
     )
     both = arrivals.select("instance_id", "ts", "event_id", F.lit(None).cast("int").alias("_state")).unionByName(changes)
-    following = Window.partitionBy(*keys, TL.SLICE).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     start_ts = F.when(F.col("_state") == 1, F.col("ts"))
     local = (
-        TL.sliced(both, "ts", width_s)
-        .withColumn("_now", F.last("_state", ignorenulls=True).over(TL.within(keys, order)))
-        .withColumn("_next", F.min(start_ts).over(following))
+        TL.sliced(both, ["instance_id"], "ts", width_s)
+        .withColumn("_now", F.last("_state", ignorenulls=True).over(TL.within(order)))
+        .withColumn("_next", F.min(start_ts).over(TL.rest_of_slice(order)))
     )
     tails = {
         "_last": F.max_by("_state", F.when(F.col("_state").isNotNull(), F.struct(*order))),
         "_first_start": F.min(start_ts),
     }
     carries = {
-        "_now_c": F.last("_last", ignorenulls=True).over(TL.before(keys)),
-        "_next_c": F.min("_first_start").over(TL.after(keys)),
+        "_now_c": F.last("_last", ignorenulls=True).over(TL.before()),
+        "_next_c": F.min("_first_start").over(TL.after()),
     }
-    joined = TL.with_carry(local, keys, tails, carries).where(F.col("_state").isNull())
+    joined = TL.with_carry(local, tails, carries).where(F.col("_state").isNull())
     started = F.coalesce("_now", "_now_c", F.lit(0)) == 1
     return joined.select(
-        "instance_id",
-        "event_id",
+        *TL.restored(["instance_id", "event_id"], ["instance_id"]),
         F.col("ts").alias("arrived_at"),
         F.when(started, F.col("ts")).otherwise(F.coalesce("_next", "_next_c")).alias("consumed_at"),
         (~started).alias("waited"),

@@ -185,27 +185,25 @@ def restarts(metrics: DataFrame) -> DataFrame:
 
 def error_tracking(metrics: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
     """Running error count and last error text per message."""
-    keys, order = REGISTRY_KEY, ["ts", "event_id"]
-    is_error = F.when(F.col("event") == "ERROR", F.lit(1)).otherwise(F.lit(0)).cast("long")
+    order = ["ts", "event_id"]
     rest = metrics.drop("errorCount")
-    w = TL.within(keys, order)
     local = (
-        TL.sliced(rest, "ts", width_s)
-        .withColumn("_e", is_error)
-        .withColumn("_n", F.sum("_e").over(w))
-        .withColumn("_l", F.last("lastError", ignorenulls=True).over(w))
+        TL.sliced(rest, REGISTRY_KEY, "ts", width_s)
+        .withColumn("_e", F.when(F.col("event") == "ERROR", F.lit(1)).otherwise(F.lit(0)).cast("long"))
+        .withColumn("_n", F.sum("_e").over(TL.within(order)))
+        .withColumn("_l", F.last("lastError", ignorenulls=True).over(TL.within(order)))
     )
     tails = {
         "_ne": F.sum("_e"),
         "_le": F.max_by("lastError", F.when(F.col("lastError").isNotNull(), F.struct(*order))),
     }
     carries = {
-        "_cn": F.sum("_ne").over(TL.before(keys)),
-        "_cl": F.last("_le", ignorenulls=True).over(TL.before(keys)),
+        "_cn": F.sum("_ne").over(TL.before()),
+        "_cl": F.last("_le", ignorenulls=True).over(TL.before()),
     }
-    joined = TL.with_carry(local, keys, tails, carries)
+    joined = TL.with_carry(local, tails, carries)
     return joined.select(
-        *[c for c in rest.columns if c != "lastError"],
+        *TL.restored([c for c in rest.columns if c != "lastError"], REGISTRY_KEY),
         (F.col("_n") + F.coalesce("_cn", F.lit(0))).alias("errorCount"),
         F.coalesce("_l", "_cl").alias("lastError"),
     )

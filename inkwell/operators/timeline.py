@@ -11,60 +11,84 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICE = "_slice"
+KEY, SLICE = "_key", "_slice"
 DEFAULT_SLICE_SECONDS = 3600
 
 
-def sliced(df: DataFrame, ts: str = "ts", width_s: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """Add the time slice number of ``ts``."""
-    width_us = width_s * 1_000_000
-    return df.withColumn(SLICE, F.floor(F.unix_micros(F.col(ts)) / F.lit(width_us)).cast("long"))
+def sliced(df: DataFrame, keys: list[str], ts: str = "ts", width_s: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+    """Replace the key columns by one struct and add the time slice number of ``ts``.
+
+    A struct is never NULL, so rows with a missing key part join like all others. As
+    the only copy of the key it keeps the shuffled columns of rows and tails alike,
+    which lets Spark reuse one shuffle for both. :func:`restored` undoes it.
+    """
+    number = F.call_function("div", F.unix_micros(F.col(ts)), F.lit(width_s * 1_000_000))
+    return df.select(
+        F.struct(*keys).alias(KEY),
+        F.coalesce(number, F.lit(0).cast("long")).alias(SLICE),
+        *[c for c in df.columns if c not in keys],
+    )
+
+
+def restored(columns: list[str], keys: list[str]) -> list[Column]:
+    """The given columns, those of the key taken out of the struct again."""
+    return [F.col(f"{KEY}.{c}").alias(c) if c in keys else F.col(c) for c in columns]
 
 
-def within(keys: list[str], order: list[str]):
+def within(order: list[str]):
     """Window over one slice of one key, all rows up to the current one."""
-    return Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def before(keys: list[str]):
+def strictly_within(order: list[str]):
+    """The same without the current row."""
+    return Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def rest_of_slice(order: list[str]):
+    """Window over the current and the later rows of one slice."""
+    return Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+
+
+def before():
     """Window over the slice rows of one key that come before the current slice."""
-    return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def after(keys: list[str]):
+def after():
     """Window over the slice rows of one key that come after the current slice."""
-    return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, Window.unboundedFollowing)
+    return Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(1, Window.unboundedFollowing)
 
 
-def with_carry(local: DataFrame, keys: list[str], tails: dict[str, Column], carries: dict[str, Column]) -> DataFrame:
+def with_carry(local: DataFrame, tails: dict[str, Column], *carries: dict[str, Column]) -> DataFrame:
     """Join each row with the state carried into its slice.
 
-    ``tails`` reduces a slice to one row; ``carries`` are window expressions over
-    those rows, built with :func:`before` or :func:`after`.
+    ``tails`` reduces a slice to one row; each of ``carries`` adds window expressions
+    over those rows, built with :func:`before` or :func:`after`, and may use the
+    columns of the previous one.
     """
-    tail = local.groupBy(*keys, SLICE).agg(*[e.alias(n) for n, e in tails.items()])
-    carry = tail.select(*keys, SLICE, *[e.alias(n) for n, e in carries.items()])
-    return local.join(carry, [*keys, SLICE], "left")
+    carry = local.groupBy(KEY, SLICE).agg(*[e.alias(n) for n, e in tails.items()])
+    for step in carries:
+        carry = carry.withColumns(step)
+    # every slice has a tail row, so the inner join keeps all rows
+    return local.join(carry.drop(*tails), [KEY, SLICE])
 
 
 def running_sum(df: DataFrame, keys: list[str], ts: str, order: list[str], value: Column, name: str,
                 width_s: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """Sum of ``value`` over all rows of the key up to and including this one."""
-    local = sliced(df, ts, width_s).withColumn("_v", value).withColumn(
-        "_local", F.sum("_v").over(within(keys, order))
-    )
-    joined = with_carry(local, keys, {"_t": F.sum("_v")}, {"_c": F.sum("_t").over(before(keys))})
-    return joined.select(*df.columns, (F.col("_local") + F.coalesce("_c", F.lit(0))).alias(name))
+    local = sliced(df, keys, ts, width_s).withColumn("_v", value).withColumn("_local", F.sum("_v").over(within(order)))
+    joined = with_carry(local, {"_t": F.sum("_v")}, {"_c": F.sum("_t").over(before())})
+    return joined.select(*restored(df.columns, keys), (F.col("_local") + F.coalesce("_c", F.lit(0))).alias(name))
 
 
 def running_last(df: DataFrame, keys: list[str], ts: str, order: list[str], value: Column, name: str,
                  width_s: int = DEFAULT_SLICE_SECONDS, current: bool = True) -> DataFrame:
     """Latest non-NULL ``value`` up to this row, or strictly before it."""
-    w = within(keys, order)
-    local = sliced(df, ts, width_s).withColumn("_v", value).withColumn(
-        "_local", F.last("_v", ignorenulls=True).over(w if current else w.rowsBetween(Window.unboundedPreceding, -1))
+    w = within(order) if current else strictly_within(order)
+    local = sliced(df, keys, ts, width_s).withColumn("_v", value).withColumn(
+        "_local", F.last("_v", ignorenulls=True).over(w)
     )
     tails = {"_t": F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order)))}
-    carries = {"_c": F.last("_t", ignorenulls=True).over(before(keys))}
-    joined = with_carry(local, keys, tails, carries)
-    return joined.select(*df.columns, F.coalesce("_local", "_c").alias(name))
+    joined = with_carry(local, tails, {"_c": F.last("_t", ignorenulls=True).over(before())})
+    return joined.select(*restored(df.columns, keys), F.coalesce("_local", "_c").alias(name))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inkwell import schemas
 from inkwell.functions import urls as U
@@ -49,18 +49,30 @@ def stream_files(spark: SparkSession, directory: str, archive_dir: str | None =
     return reader.load(directory)
 
 
+def bare_path(path: Column) -> Column:
+    """Path without scheme and host: ``file:///p``, ``file:/p`` and ``hdfs://host/p`` give ``/p``."""
+    return F.regexp_replace(path, r"\A[a-z0-9]+:(//[^/]*)?", "")
+
+
 def attach_content(refs: DataFrame, files: DataFrame) -> DataFrame:
     """Join references with the bytes they point to, on the storage path.
 
-    ``refs`` must already be deduplicated: each path then occurs once per name and no
-    bytes are fetched for duplicates. ``fetched`` tells found files from missing ones.
+    ``refs`` must already be deduplicated, so no bytes are fetched for duplicates.
+    ``fetched`` tells found files from missing ones. Found files come from an inner
+    join, which lets Spark broadcast a small batch of references and leave the bytes
+    where they were read; an outer join could only move the bytes to the references.
+    Missing ones are settled on paths alone, without reading content.
     """
-    # file systems print file:///p, file:/p or hdfs://host/p; messages name the bare path
-    found = files.select(
-        F.regexp_replace("path", r"\A[a-z0-9]+:(//[^/]*)?", "").alias("fetch_path"),
-        "length",
-        "content",
+    wanted = refs.withColumn("fetch_path", bare_path(U.storage_path(F.col("url"))))
+    path = bare_path(F.col("path")).alias("fetch_path")
+    found = files.select(path, "length", "content").join(wanted, "fetch_path")
+    missing = wanted.join(files.select(path), "fetch_path", "left_anti")
+    columns = [*refs.columns, "fetch_path"]
+    return found.select(*columns, "length", "content", F.lit(True).alias("fetched")).unionByName(
+        missing.select(
+            *columns,
+            F.lit(None).cast("long").alias("length"),
+            F.lit(None).cast("binary").alias("content"),
+            F.lit(False).alias("fetched"),
+        )
     )
-    bare = F.regexp_replace(U.storage_path(F.col("url")), r"\A[a-z0-9]+:(//[^/]*)?", "")
-    joined = refs.withColumn("fetch_path", bare).join(found, "fetch_path", "left")
-    return joined.withColumn("fetched", F.col("content").isNotNull())
