@@ -73,6 +73,6 @@ def processed_message(rows: DataFrame) -> DataFrame:
             ),
             "header_original_file": F.col("url"),
             "header_processed_url": F.col("processed_url"),
-            "header_text_length": TX.utf16_length(F.col("text")),
+            "header_text_length": F.col("text_length"),
         }
     )

@@ -315,7 +315,7 @@ def directory_batch(spark, sf):
 def processed_message(spark, sf):
     refs = M.validate_refs(M.parse_file_refs(FX.file_refs(spark, sf))).where("reject IS NULL")
     texts = FX.table(spark, sf, "pages").select(
-        F.col("page_id").alias("_p"), H.html_to_text(F.col("html")).alias("text")
+        F.col("page_id").alias("_p"), TX.utf16_length(H.html_to_text(F.col("html"))).alias("text_length")
     )
     rows = refs.withColumn("_p", F.col("msg_id") % 100_000_000).join(texts, "_p")
     return O.processed_message(rows).select(

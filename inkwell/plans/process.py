@@ -14,7 +14,7 @@ from inkwell.sources import files as FS, messages as M
 
 RESULT = [
     "msg_id", "arrived_at", "type", "url", "inputStream", "outputStream", "filename", "url_key",
-    "dedupe", "outcome", "mime", "length", "text_length", "text", "error_message",
+    "dedupe", "outcome", "mime", "length", "text_length", "pages", "error_message",
 ]
 
 
@@ -48,15 +48,25 @@ def extract_first(flagged: DataFrame, fetch: Fetch, **kwargs) -> DataFrame:
     outcome = O.outcome_of(F.col("reject"), F.col("dedupe"), F.col("fetched"), F.col("failure"), F.col("text"))
     return (
         texts.withColumn("outcome", outcome)
-        .withColumn("text", F.when(F.col("outcome") == "COMPLETED", F.col("text")))
-        .withColumn("text_length", TX.utf16_length(F.col("text")))
+        .withColumns(
+            {
+                # the joined text is derived from the pages, so only the pages are kept
+                "pages": F.when(F.col("outcome") == "COMPLETED", F.col("pages")),
+                "text_length": F.when(F.col("outcome") == "COMPLETED", TX.utf16_length(F.col("text"))),
+            }
+        )
         .select(*RESULT)
     )
 
 
+def with_text(rows: DataFrame) -> DataFrame:
+    """Add the joined text of completed rows."""
+    return rows.withColumn("text", F.when(F.col("pages").isNotNull(), TX.join_pages(F.col("pages"))))
+
+
 def process_refs(messages: DataFrame, fetch: Fetch, done: DataFrame | None = None,
                  stage: Callable[[DataFrame], DataFrame] = staged, **kwargs) -> DataFrame:
-    """One row per message with its outcome and, when completed, its text.
+    """One row per message with its outcome and, when completed, its pages of text.
 
     Duplicates are removed before any bytes are fetched. Text moves through no
     shuffle after extraction: first copies, further copies and rejected messages are

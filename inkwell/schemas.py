@@ -118,3 +118,5 @@ CHUNKS = T.StructType(
         T.StructField("overflow", T.BooleanType()),
     ]
 )
+
+TEXTS = T.StructType(OUTCOMES.fields + [T.StructField("pages", T.ArrayType(T.StringType()))])

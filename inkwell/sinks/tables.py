@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from inkwell import schemas
 
+BATCH_ID = StructField("batch_id", LongType())
+
 
 def _fs(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,7 +60,7 @@ class BatchTable:
         """All batches, or those before the given one."""
         if not sub_dirs(self.spark, self.path):
             return self.spark.createDataFrame([], schema)
-        full = StructType(schema.fields).add("batch_id", "long")
+        full = StructType([*schema.fields, BATCH_ID])
         df = self.spark.read.schema(full).option("basePath", self.path).parquet(self.path)
         if before is not None:
             df = df.where(F.col("batch_id") < before)  # partition filter
@@ -90,7 +92,7 @@ class LedgerTable:
         if base is None:
             return self.batches.read(schemas.LEDGER, before)
         snapshot = self.spark.read.schema(schemas.LEDGER).parquet(f"{self.path}/compact/upto={base}")
-        full = StructType(schemas.LEDGER.fields).add("batch_id", "long")
+        full = StructType([*schemas.LEDGER.fields, BATCH_ID])
         newer = self.spark.read.schema(full).option("basePath", self.batches.path).parquet(self.batches.path)
         newer = newer.where(F.col("batch_id") > base)
         if before is not None:

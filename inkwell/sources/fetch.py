@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from inkwell.functions import urls as U
 
@@ -28,7 +27,6 @@ def fetch_content(refs: DataFrame, base_uri: str = "file://", max_bytes: int = 2
     ]
     source = refs.withColumn("_path", U.storage_path(F.col("url")))
     schema = T.StructType(refs.schema.fields + added)
-    arrow_schema = to_arrow_schema(schema, timezone="UTC")
     columns = refs.columns
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,9 +38,7 @@ def fetch_content(refs: DataFrame, base_uri: str = "file://", max_bytes: int = 2
         def emit(batch, start, stop, lengths, contents, errors):
             part = batch.slice(start, stop - start).select(columns)
             arrays = [*part.columns, pa.array(lengths, pa.int64()), pa.array(contents, pa.binary()), pa.array(errors, pa.string())]
-            return pa.RecordBatch.from_arrays(
-                [a.cast(f.type) for a, f in zip(arrays, arrow_schema)], schema=arrow_schema
-            )
+            return pa.RecordBatch.from_arrays(arrays, names=[*columns, "length", "content", "fetch_error"])
 
         for batch in batches:
             start, held = 0, 0

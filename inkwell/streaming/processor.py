@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkwell import schemas
+from inkwell.functions import urls as U
 from inkwell.operators import chunks as C, ledger as L, outcomes as O, refs as R
-from inkwell.plans.process import Fetch, process_refs
+from inkwell.plans.process import Fetch, process_refs, with_text
 from inkwell.sinks.tables import BatchTable, LedgerTable
 
 Sink = Callable[[DataFrame, int], None]
@@ -63,9 +64,8 @@ class DocumentStream:
         )
         written = self.spark.read.schema(rows.schema).parquet(texts.batch_path(batch_id))
         completed = written.where("outcome = 'COMPLETED'")
-        pages = completed.withColumn("pages", F.array("text"))
         chunked = self.table("chunks").write(
-            C.chunk_text(pages, "pages", self.chunk_params, ["url_key", "filename"]), batch_id
+            C.chunk_text(completed, "pages", self.chunk_params, ["url_key", "filename"]), batch_id
         )
         outgoing = O.processed_message(completed).select(
             "msg_id", "message", "header_original_file", "header_processed_url", "header_text_length"
@@ -97,6 +97,11 @@ class DocumentStream:
     def outcomes(self) -> DataFrame:
         return self.table("outcomes").read(schemas.OUTCOMES)
 
+    def texts(self) -> DataFrame:
+        """Completed documents with their joined text and its output path."""
+        done = with_text(self.table("texts").read(schemas.TEXTS).where("outcome = 'COMPLETED'"))
+        return done.withColumn("output_path", U.output_path(F.col("url"), F.col("filename")))
+
     def chunks(self) -> DataFrame:
         return self.table("chunks").read(schemas.CHUNKS)
 
