@@ -77,18 +77,17 @@ def params_for(chunk_size: int, large: bool = False) -> ChunkParams:
 
 def _windows(text: Column, p: ChunkParams, terminators: str) -> Column:
     stop = "[" + "".join("\\n" if c == "\n" else "\\" + c for c in terminators) + "]"
-    any_char = r"[\s\S]"
     blank = TX.CONTROL_AND_SPACE
     parts = [rf"{blank}{{{p.budget}}}", rf"{blank}{{1,{p.budget}}}\z"]
     if p.budget - 1 > p.min_chars:
         # greedy: backtracks from the end of the window to its last terminator
-        parts.append(rf"{any_char}{{{p.min_chars + 1},{p.budget - 1}}}{stop}")
-    parts.append(rf"{any_char}{{1,{p.budget}}}")
-    return F.regexp_extract_all(text, F.lit("|".join(parts)), F.lit(0))
+        parts.append(rf".{{{p.min_chars + 1},{p.budget - 1}}}{stop}")
+    parts.append(rf".{{1,{p.budget}}}")
+    return F.regexp_extract_all(text, F.lit("(?s)" + "|".join(parts)), F.lit(0))
 
 
 def _trim(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{TX.CONTROL_AND_SPACE}+|{TX.CONTROL_AND_SPACE}+\z", "")
+    return F.btrim(text, F.lit("".join(map(chr, range(0x21)))))
 
 
 def split_text(text: Column, p: ChunkParams, terminators: str = TERMINATORS) -> Column:
@@ -192,7 +191,9 @@ def rejoin_chunks(chunks: DataFrame, doc: str) -> DataFrame:
 
 def page_diagnostics(df: DataFrame, pages: str, keep: list[str]) -> DataFrame:
     """Length and one-line snippets of every page."""
-    return df.select(*keep, F.posexplode(pages).alias("page_no", "_t")).select(
+    # the outer generator keeps Spark from splitting the text again for a size filter
+    rows = df.select(*keep, F.posexplode_outer(pages).alias("page_no", "_t")).where(F.col("page_no").isNotNull())
+    return rows.select(
         *keep,
         "page_no",
         F.coalesce(F.length("_t"), F.lit(0)).alias("n_chars"),

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from inkwell import schemas
 from inkwell.functions import status as S
 from inkwell.operators import timeline as TL
+from inkwell.operators.evaluate import computed_once
 
 # The two published lists of required fields.
 REQUIRED_FULL = ("instanceId", "timestamp", "event", "status", "url", "meta.service", "meta.processingStage")
@@ -18,7 +19,7 @@ def parse_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     """Typed columns of a JSON monitoring message plus ``ts`` and ``malformed``."""
     schema = T.StructType(schemas.METRICS.fields + [T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    out = df.withColumn("_m", parsed)
+    out = computed_once(df, "_m", parsed)
     keep = [c for c in df.columns if c != value]
     bad = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
     return out.select(

@@ -11,6 +11,7 @@ from inkwell.functions import html as H, mime as MT, status as S, text as TX, ur
 from inkwell.operators import (
     chunks as C, control as K, extract as X, ledger as L, monitoring as MO, outcomes as O, refs as R,
 )
+from inkwell.operators.evaluate import computed_once
 from inkwell.plans import fixtures as FX
 from inkwell.plans.process import flag_messages, from_table, process_directory, process_refs
 from inkwell.session import shared_dir
@@ -147,8 +148,9 @@ def path_collisions(spark, sf):
 
 @query
 def extract_html(spark, sf):
-    pages = FX.table(spark, sf, "pages").withColumn("text", H.html_to_text(F.col("html")))
-    joined = pages.withColumn("text", TX.join_pages(F.array("text"))).withColumn("filename", U.stream_filename(F.col("url")))
+    pages = FX.texts(spark, sf, "pages", "page_id", "url", "html")
+    texts = computed_once(pages, "page", H.html_to_text(F.col("html")))
+    joined = texts.withColumn("text", TX.join_pages(F.array("page"))).withColumn("filename", U.stream_filename(F.col("url")))
     return joined.where(~TX.is_blank_trimmed(F.col("text"))).select(
         "page_id",
         "filename",
@@ -185,7 +187,7 @@ def size_class(spark, sf):
 
 @query
 def classify_text(spark, sf):
-    docs = FX.table(spark, sf, "documents")
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text")
     text = FX.pick(F.col("doc_id") % 40, "", " \n\t", "\u2003", "\u00a0", "\u0001", "x")
     body = F.when(F.col("doc_id") % 40 < 6, text).when(F.col("doc_id") % 40 > 6, F.col("text"))
     return docs.select(
@@ -224,7 +226,7 @@ def safe_name(spark, sf):
 
 
 def _document_chunks(spark, sf, params=CHUNKING):
-    docs = FX.table(spark, sf, "documents").select("doc_id", F.array("text").alias("pages"))
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text").withColumn("pages", F.array("text"))
     return C.chunk_text(docs, "pages", params, ["doc_id"])
 
 
@@ -235,7 +237,7 @@ def chunk_text(spark, sf):
 
 @query
 def chunk_text_large(spark, sf):
-    docs = FX.table(spark, sf, "documents").select(
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", F.octet_length("text").cast("long").alias("length"), F.array("text").alias("pages")
     )
     return C.chunk_by_size(docs, "pages", "length", L.CHUNK_SIZE, ["doc_id"], SMALL_THRESHOLD)
@@ -243,7 +245,7 @@ def chunk_text_large(spark, sf):
 
 @query
 def chunk_report(spark, sf):
-    docs = FX.table(spark, sf, "documents")
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text")
     arrays = docs.select("doc_id", C.split_text(F.col("text"), CHUNKING).alias("c"))
     return arrays.select("doc_id", C.report_of(F.transform("c", lambda x: x["text"])).alias("report"))
 
@@ -314,7 +316,7 @@ def directory_batch(spark, sf):
 @query
 def processed_message(spark, sf):
     refs = M.validate_refs(M.parse_file_refs(FX.file_refs(spark, sf))).where("reject IS NULL")
-    texts = FX.table(spark, sf, "pages").select(
+    texts = FX.texts(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").alias("_p"), TX.utf16_length(H.html_to_text(F.col("html"))).alias("text_length")
     )
     rows = refs.withColumn("_p", F.col("msg_id") % 100_000_000).join(texts, "_p")
@@ -376,7 +378,7 @@ def stream_names(spark, sf):
 
 
 def _pending(spark, sf):
-    files = FX.raw_files(spark, sf).select("doc_id", "path", "filename", "source", "modificationTime")
+    files = FX.file_listing(spark, sf)
     return L.pending_files(files, files.where("doc_id % 4 <> 0"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inkwell.functions import mime as MT, urls as U
 from inkwell.operators import ledger as L
+from inkwell.operators.evaluate import spread_small
 from inkwell.session import configure
 
 EPOCH_S = 1_704_067_200  # 2024-01-01T00:00:00Z
@@ -15,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a text table, spread over the cores if the table is small."""
+    return spread_small(table(spark, sf_dir, name).select(*columns))
+
+
 def at_second(n: Column) -> Column:
     return F.timestamp_seconds(n.cast("long") + F.lit(EPOCH_S))
 
@@ -42,7 +48,7 @@ def document_body() -> Column:
 
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of six formats; every 37th is blank."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
     return docs.select(
         "doc_id",
         "source",
@@ -54,6 +60,18 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of the same files; no text is read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return docs.select(
+        "doc_id",
+        "source",
+        document_name(F.col("doc_id")).alias("filename"),
+        document_path().alias("path"),
+        at_second(F.col("doc_id") * 60).alias("modificationTime"),
+    )
+
+
 def store_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages naming the files above: a few name missing files, a third arrive twice."""
     return store_refs_of(table(spark, sf_dir, "documents"))
@@ -113,7 +131,7 @@ def store_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per line of the document, blank lines included."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", F.split("text", "\n").alias("pages"))
 
 
@@ -176,7 +194,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as JSON text, some incomplete, illegal or cut off."""
-    m = metrics(spark, sf_dir)
+    m = spread_small(metrics(spark, sf_dir))
     i = F.col("event_id")
     body = F.to_json(
         F.struct(

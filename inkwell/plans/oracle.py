@@ -150,7 +150,7 @@ backlog AS (
 def html_sql(col: str) -> str:
     sql = (
         f"regexp_replace({col}, '<!--.*?-->|<head\\b[^>]*>.*?</head\\s*>|<script\\b[^>]*>.*?</script\\s*>"
-        "|<style\\b[^>]*>.*?</style\\s*>', ' ', 'gis')"
+        "|<style\\b[^>]*>.*?</style\\s*>', '', 'gis')"
     )
     sql = (
         f"regexp_replace({sql}, '</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|html"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from inkwell import schemas
 from inkwell.functions import text as TX, urls as U
+from inkwell.operators.evaluate import computed_once
 
 CORRUPT = "_corrupt"
 ACCEPTED_TYPES = ("HDFS",)
@@ -21,7 +22,7 @@ def parse_file_refs(df: DataFrame, value: str = "value") -> DataFrame:
     parsed = F.from_json(
         F.col(value).cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    out = df.withColumn("_m", parsed)
+    out = computed_once(df, "_m", parsed)
     bad = F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()
     fields = [
         # an object or array in place of a scalar reads as empty text

@@ -101,6 +101,11 @@ def test_html(one):
     assert one(H.html_to_text, [page, "", "a < b"]) == ["A & B\nonetwo three\nfour \n5 < 6 &lt;".replace(" \n", "\n"), "", "a < b"]
 
 
+def test_entities(one):
+    raw = ["a &amp;amp; b", "&#39;&#x41;&#128512;&#0;&#xD800;", "&unknown; & &lt", "&;&amp", "no", "x&copy;&middot;y&"]
+    assert one(H.decode_entities, raw) == ["a &amp; b", "'A\U0001f600&#0;&#xD800;", "&unknown; & &lt", "&;&amp", "no", "x©·y&"]
+
+
 def test_mime(one):
     assert one(MT.mime_from_name, ["a.PDF", "a.tar.html", "a", "a.", "x.y/z"]) == ["application/pdf", "text/html", None, None, None]
     data = [b"%PDF-1.7", b"PK\x03\x04..", b" <!DOCTYPE html>", b"hello", b"\xff\xfe\x00", b"{\\rtf1"]
