@@ -13,7 +13,7 @@ from inkwell.operators import (
 )
 from inkwell.operators.evaluate import computed_once
 from inkwell.plans import fixtures as FX
-from inkwell.plans.process import flag_messages, from_table, process_directory, process_refs
+from inkwell.plans.process import flag_messages, from_table, process_directory, process_refs, staged
 from inkwell.session import shared_dir
 from inkwell.sources import files as FS, messages as M, queues as Q
 from inkwell.streaming.processor import DocumentStream
@@ -60,7 +60,7 @@ def parse_file_refs(spark, sf):
 
 @query
 def fetch_by_ref(spark, sf):
-    flagged = flag_messages(FX.store_refs(spark, sf))
+    flagged = staged(flag_messages(FX.store_refs(spark, sf)), "refs")
     files = FX.raw_files(spark, sf).select("path", "length", "content")
     got = FS.attach_content(flagged.where("dedupe = 'FIRST'"), files)
     return got.select("msg_id", "url", "outputStream", "fetched", "length", F.sha2("content", 256).alias("content_sha"))

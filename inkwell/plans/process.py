@@ -18,13 +18,17 @@ RESULT = [
 ]
 
 
-def staged(df: DataFrame) -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and continue from there.
 
-    Several consumers then read one written result instead of repeating the
-    extraction, and a lost executor costs a re-read only.
+    Several consumers then read one written result instead of repeating the work, a
+    lost executor costs a re-read only, and the next joins are planned with the true
+    size of the table.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -65,15 +69,16 @@ def with_text(rows: DataFrame) -> DataFrame:
 
 
 def process_refs(messages: DataFrame, fetch: Fetch, done: DataFrame | None = None,
-                 stage: Callable[[DataFrame], DataFrame] = staged, **kwargs) -> DataFrame:
+                 stage: Stage = staged, **kwargs) -> DataFrame:
     """One row per message with its outcome and, when completed, its pages of text.
 
     Duplicates are removed before any bytes are fetched. Text moves through no
     shuffle after extraction: first copies, further copies and rejected messages are
-    computed apart and united.
+    computed apart and united. Two results are staged because several of these parts
+    need them: the flagged messages (small) and the extracted first copies.
     """
-    flagged = flag_messages(messages, done)
-    first = stage(extract_first(flagged, fetch, **kwargs))
+    flagged = stage(flag_messages(messages, done), "refs")
+    first = stage(extract_first(flagged, fetch, **kwargs), "texts")
     copies = O.settle_copies(flagged.where(F.col("dedupe") == "DUPLICATE"), first)
     rejected = flagged.where(F.col("dedupe") == "REJECTED").withColumn("outcome", F.col("reject"))
     types = {f.name: f.dataType for f in first.schema.fields}

@@ -59,9 +59,9 @@ def attach_content(refs: DataFrame, files: DataFrame) -> DataFrame:
 
     ``refs`` must already be deduplicated, so no bytes are fetched for duplicates.
     ``fetched`` tells found files from missing ones. Found files come from an inner
-    join, which lets Spark broadcast a small batch of references and leave the bytes
-    where they were read; an outer join could only move the bytes to the references.
-    Missing ones are settled on paths alone, without reading content.
+    join: when ``refs`` is a written table small enough to broadcast, the bytes stay
+    where they were read, whereas an outer join could only move the bytes to the
+    references. Missing ones are settled on paths alone, without reading content.
     """
     wanted = refs.withColumn("fetch_path", bare_path(U.storage_path(F.col("url"))))
     path = bare_path(F.col("path")).alias("fetch_path")

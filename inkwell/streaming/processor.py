@@ -19,7 +19,7 @@ Sink = Callable[[DataFrame, int], None]
 class DocumentStream:
     """Micro-batch processor with its output tables below ``root``.
 
-    Tables: ``inbox`` (messages with the ids given to them), ``texts``, ``chunks``,
+    Tables: ``inbox`` (messages with the ids given to them), ``refs``, ``texts``, ``chunks``,
     ``outcomes``, ``messages`` and ``ledger``. The ledger is written last: a batch that
     fails before that point counts as not done and its messages are processed again
     when the batch is replayed from the checkpoint, overwriting the other tables.
@@ -51,9 +51,8 @@ class DocumentStream:
         """The ``foreachBatch`` function; also callable with a plain DataFrame."""
         messages = self.inbox(batch, batch_id)
         done = R.ledger_keys(self.ledger.read(before=batch_id))
-        texts = self.table("texts")
         rows = process_refs(
-            messages, self.fetch, done, stage=lambda df: texts.write(df, batch_id), **self.extract_options
+            messages, self.fetch, done, stage=lambda df, name: self.table(name).write(df, batch_id), **self.extract_options
         )
         outcomes = self.table("outcomes").write(
             rows.select(
@@ -62,7 +61,7 @@ class DocumentStream:
             ),
             batch_id,
         )
-        written = self.spark.read.schema(rows.schema).parquet(texts.batch_path(batch_id))
+        written = self.spark.read.schema(rows.schema).parquet(self.table("texts").batch_path(batch_id))
         completed = written.where("outcome = 'COMPLETED'")
         chunked = self.table("chunks").write(
             C.chunk_text(completed, "pages", self.chunk_params, ["url_key", "filename"]), batch_id
