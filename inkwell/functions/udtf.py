@@ -1,0 +1,42 @@
+"""The splitter as a table function for SQL users, next to the built-in expression."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+from pyspark.sql import SparkSession
+from pyspark.sql.functions import udtf
+
+CONTROL_AND_SPACE = "".join(map(chr, range(0x21)))
+
+
+@udtf(returnType="chunk_no int, text string, overflow boolean", useArrow=True)
+class SplitText:
+    """``SELECT d.id, c.* FROM docs d, LATERAL split_text(d.text, 8000, 200, 40, 1000) c``
+
+    Same rules as ``operators.chunks.split_text``, which stays in the JVM and should
+    be preferred; this one is for SQL and for boundaries that need Python.
+    """
+
+    def eval(self, text: str, budget: int, min_chars: int, min_len: int, max_chunks: int) -> Iterator[tuple]:
+        stop = re.compile(rf"(?s).{{{min_chars + 1},{budget - 1}}}[.?!\n]") if budget - 1 > min_chars else None
+        text, at, counted, number = text or "", 0, 0, 0
+        while at < len(text) and counted < max_chunks:
+            window = text[at:at + budget]
+            if window.strip(CONTROL_AND_SPACE):
+                hit = stop.match(window) if stop else None
+                window = hit.group() if hit else window
+                counted += 1
+                chunk = window.strip(CONTROL_AND_SPACE)
+                if len(chunk) > min_len:
+                    number += 1
+                    yield number, chunk, False
+            at += len(window)
+        rest = text[at:].replace("\n", " ").strip(CONTROL_AND_SPACE)
+        if len(rest) > min_len:
+            yield number + 1, rest, True
+
+
+def register(spark: SparkSession, name: str = "split_text") -> None:
+    spark.udtf.register(name, SplitText)

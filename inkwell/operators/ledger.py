@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from inkwell.functions import mime as MT
+from inkwell import schemas
+from inkwell.functions import mime as MT, urls as U
+from inkwell.sources.queues import queue_report
 
 CHUNK_SIZE = 262144
 DEFAULT_INPUT = "default-input"
@@ -88,19 +90,39 @@ def pending_files(files: DataFrame, ledger: DataFrame, key: str = "path") -> Dat
     return files.join(ledger.select(key), key, "left_anti")
 
 
-def pending_report(pending: DataFrame, mode: str, directory: Column) -> DataFrame:
-    """Pending count per directory, or the unsupported notice for an unknown mode.
+def pending_report(pending: DataFrame, directory: Column) -> DataFrame:
+    """Pending count per directory.
 
     The names stay a distributed table (:func:`pending_files`): one array of all of
     them would have to fit a single task.
     """
-    if mode.lower() not in ("standalone", "scdf"):
-        return pending.sparkSession.range(1).select(F.lit(mode).alias("mode"), F.lit("unsupported").alias("status"))
     return pending.groupBy(directory.alias("directory")).agg(F.count(F.lit(1)).alias("count")).select(
-        F.lit(mode.lower()).alias("mode"), "directory", "count", F.lit("ok").alias("status")
+        F.lit("standalone").alias("mode"), "directory", "count"
     )
 
 
+def pending_queue(samples: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """Queue depth by the latest management snapshot; -1 and a reason without one."""
+    latest = samples.agg(F.max_by("body", F.struct(*order)).alias("body"))
+    report = queue_report(latest)
+    return report.select(
+        F.lit("scdf").alias("mode"),
+        F.col("queue_depth"),
+        "status",
+        F.when(F.col("status") == "unavailable", F.lit("no queue snapshot"))
+        .when(F.col("status") == "error", F.lit("no message count in the snapshot")).alias("reason"),
+    )
+
+
+def pending_items(mode: str, pending: DataFrame, directory: Column, samples: DataFrame) -> DataFrame:
+    """The pending report of a mode; an unknown one is answered as unsupported."""
+    if mode.lower() == "standalone":
+        return pending_report(pending, directory)
+    if mode.lower() == "scdf":
+        return pending_queue(samples)
+    return pending.sparkSession.range(1).select(F.lit(mode).alias("mode"), F.lit("unsupported").alias("status"))
+
+
 def pending_estimate(pending: DataFrame, latest: DataFrame, url: str, order: list[str]) -> DataFrame:
     """Pending count, expected seconds at the average pace so far, next file in line."""
     queue = pending.agg(
@@ -127,9 +149,6 @@ def path_collisions(rows: DataFrame, path: str = "output_path", url: str = "url"
 
 def reprocess_markers(urls: DataFrame, at: Column, url: str = "url") -> DataFrame:
     """Ledger markers that let the given URLs be processed again."""
-    from inkwell import schemas
-    from inkwell.functions import urls as U
-
     given = {
         "filename": U.stream_filename(F.col(url)),
         "url_key": U.file_key(F.col(url)),

@@ -52,26 +52,26 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
 
 
 def instance_registry(metrics: DataFrame) -> DataFrame:
-    """Last activity (any message) and last heartbeat (INIT, HEARTBEAT) per instance."""
+    """Last activity (any message), heartbeat (INIT, HEARTBEAT) and shutdown per instance."""
+    event = F.col("event")
     return metrics.groupBy(*REGISTRY_KEY).agg(
         F.max("ts").alias("last_activity"),
-        F.max(F.when(F.col("event").isin("INIT", "HEARTBEAT"), F.col("ts"))).alias("last_heartbeat"),
-        F.max_by("event", F.struct("ts", "event_id")).alias("last_event"),
+        F.max(F.when(event.isin("INIT", "HEARTBEAT"), F.col("ts"))).alias("last_heartbeat"),
+        F.max(F.when(event == "SHUTDOWN", F.col("ts"))).alias("last_shutdown"),
         F.count(F.lit(1)).alias("n_messages"),
     )
 
 
 def with_liveness(registry: DataFrame, as_of: Column, alive_s: float = 30, degraded_s: float = 120,
                   stale_s: float = 20) -> DataFrame:
-    """Add ``liveness`` and ``hb_stale``; an instance that announced its end is Stopped."""
+    """Add ``liveness`` and ``hb_stale``; an instance whose last message was SHUTDOWN is Stopped."""
     now = F.unix_micros(as_of)
     age = now - F.unix_micros("last_activity")
     beat_age = now - F.unix_micros("last_heartbeat")
+    ended = F.coalesce(F.col("last_shutdown") == F.col("last_activity"), F.lit(False))
     return registry.withColumns(
         {
-            "liveness": F.when(F.col("last_event") == "SHUTDOWN", F.lit("Stopped")).otherwise(
-                S.liveness(age, alive_s, degraded_s)
-            ),
+            "liveness": F.when(ended, F.lit("Stopped")).otherwise(S.liveness(age, alive_s, degraded_s)),
             # never a heartbeat counts as stale
             "hb_stale": F.coalesce(beat_age > F.lit(int(stale_s * 1_000_000)), F.lit(True)),
         }

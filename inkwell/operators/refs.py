@@ -11,11 +11,21 @@ def ledger_keys(ledger: DataFrame) -> DataFrame:
     A ``REPROCESS`` marker after the last completion lets the key pass again.
     """
     marker = ledger.where(F.col("url_key").isNotNull() & F.col("status").isin("COMPLETED", "REPROCESS"))
-    latest = marker.groupBy("url_key").agg(
-        # at equal time the completion is older: a marker always asks for another run
-        F.max(F.struct("processed_at", (F.col("status") == "REPROCESS").alias("again"))).alias("m")
-    )
-    return latest.where(~F.col("m.again")).select("url_key")
+    # time and kind in one number, so that Spark can aggregate by hashing; at equal
+    # time the completion is the older one: a marker always asks for another run
+    again = F.when(F.col("status") == "REPROCESS", F.lit(1)).otherwise(F.lit(0))
+    stamp = F.unix_micros(F.col("processed_at").cast("timestamp")) * 2 + again
+    latest = marker.groupBy("url_key").agg(F.max(stamp).alias("_m"))
+    return latest.where(F.col("_m") % 2 == 0).select("url_key")
+
+
+def drop_repeats(messages: DataFrame, within: str = "1 hour", time: str = "arrived_at", key: str = "url") -> DataFrame:
+    """Streaming only: forget repeated keys seen within a time span, with bounded state.
+
+    The ledger join of :func:`dedupe_refs` is exact over all history. This is the
+    cheaper first filter for sources that deliver the same message twice in a row.
+    """
+    return messages.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
 
 
 def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, id_col: str = "msg_id",

@@ -13,7 +13,7 @@ from inkwell.operators import (
 )
 from inkwell.operators.evaluate import computed_once
 from inkwell.plans import fixtures as FX
-from inkwell.plans.process import flag_messages, from_table, process_directory, process_refs, staged
+from inkwell.plans.process import chunk_references, flag_messages, from_table, process_directory, process_refs, staged
 from inkwell.session import shared_dir
 from inkwell.sources import files as FS, messages as M, queues as Q
 from inkwell.streaming.processor import DocumentStream
@@ -243,6 +243,15 @@ def chunk_text_large(spark, sf):
     return C.chunk_by_size(docs, "pages", "length", L.CHUNK_SIZE, ["doc_id"], SMALL_THRESHOLD)
 
 
+@query
+def chunk_refs(spark, sf):
+    flagged = staged(flag_messages(FX.store_refs(spark, sf)), "refs")
+    files = FX.raw_files(spark, sf).select("path", "length", "content")
+    return chunk_references(flagged, from_table(files), CHUNKING, ["msg_id"], readers={}).select(
+        "msg_id", "chunk_no", "n_chunks", "text", "overflow"
+    )
+
+
 @query
 def chunk_report(spark, sf):
     docs = FX.texts(spark, sf, "documents", "doc_id", "text")
@@ -389,7 +398,16 @@ def pending_files(spark, sf):
 
 @query
 def pending_report(spark, sf):
-    return L.pending_report(_pending(spark, sf), "standalone", F.concat(F.lit("/corpus/"), F.col("source")))
+    directory = F.concat(F.lit("/corpus/"), F.col("source"))
+    return L.pending_items("standalone", _pending(spark, sf), directory, FX.queue_samples(spark, sf))
+
+
+@query
+def pending_queue(spark, sf):
+    samples = FX.queue_samples(spark, sf)
+    return samples.groupBy("user_id").agg(F.max_by("body", F.struct("ts", "event_id")).alias("body")).select(
+        "user_id", Q.queue_depth(F.col("body")).alias("queue_depth")
+    ).unionByName(L.pending_queue(samples, ("ts", "event_id")).select(F.lit(-1).cast("long").alias("user_id"), "queue_depth"))
 
 
 @query

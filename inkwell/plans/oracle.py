@@ -360,6 +360,16 @@ SELECT msg_id, dedupe, outcome, CASE outcome WHEN 'COMPLETED' THEN 'processed' W
 
 ORACLES["stream_extract"] = f"SELECT msg_id, dedupe, outcome, mime, text_length FROM ({ORACLES['route_outcome']})"
 
+CHUNK_SOURCE = f"""SELECT r.msg_id AS doc_id, CASE WHEN t.mime = 'text/html' THEN {html_sql('t.body')} ELSE t.body END AS text,
+  2000 AS budget, 200 AS min_chars, 40 AS min_len, 8 AS max_chunks
+FROM (SELECT * FROM store_refs WHERE type = 'HDFS' QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrived_at, msg_id) = 1) r
+JOIN texts t ON 'http://namenode:9870/webhdfs/v1' || t.path = r.url WHERE t.failure IS NULL"""
+ORACLES["chunk_refs"] = (
+    f"WITH RECURSIVE {RAW_FILES}, {STORE_REFS}, {TEXTS}, "
+    + chunks_sql("budget", "min_chars", "min_len", "max_chunks", CHUNK_SOURCE)
+    + " SELECT doc_id AS msg_id, chunk_no, n_chunks, text, overflow FROM chunks"
+)
+
 ORACLES["directory_batch"] = f"""WITH {RAW_FILES}, {TEXTS},
 o AS (SELECT *, CASE WHEN failure IS NOT NULL THEN failure WHEN {BLANK_UNICODE.format('text')} THEN 'BLANK' ELSE 'COMPLETED' END AS outcome
       FROM texts WHERE doc_id % 4 <> 0)
@@ -400,7 +410,11 @@ SELECT coalesce(arg_max(input_stream, (processed_at, seq)) FILTER (input_stream
 
 ORACLES["pending_files"] = f"WITH {RAW_FILES} SELECT path, filename FROM raw_files WHERE doc_id % 4 = 0"
 ORACLES["pending_report"] = f"""WITH {RAW_FILES}
-SELECT 'standalone' AS mode, '/corpus/' || source AS directory, count(*) AS count, 'ok' AS status FROM raw_files WHERE doc_id % 4 = 0 GROUP BY source"""
+SELECT 'standalone' AS mode, '/corpus/' || source AS directory, count(*) AS count FROM raw_files WHERE doc_id % 4 = 0 GROUP BY source"""
+ORACLES["pending_queue"] = """WITH q AS (
+  SELECT user_id, ts, event_id, CASE WHEN event_id % 8 < 3 THEN CAST(event_id % 500 AS INTEGER) ELSE -1 END AS depth FROM events)
+SELECT user_id, arg_max(depth, (ts, event_id)) AS queue_depth FROM q GROUP BY user_id
+UNION ALL SELECT -1, arg_max(depth, (ts, event_id)) FROM q"""
 ORACLES["pending_estimate"] = f"""WITH {RAW_FILES}, {LEDGER}
 SELECT count(*) AS pending_count,
        CAST(ceil(count(*) * (SELECT avg(elapsed_ms) FROM latest WHERE status = 'COMPLETED') / 1000.0) AS BIGINT) AS estimated_seconds,
@@ -431,7 +445,7 @@ SELECT event_id, '{{"instanceId":"' || "instanceId" || '","timestamp":"'
 
 ORACLES["instance_registry"] = f"""WITH {METRICS}
 SELECT service, "instanceId", max(ts) AS last_activity, max(ts) FILTER (event IN ('INIT', 'HEARTBEAT')) AS last_heartbeat,
-       arg_max(event, (ts, event_id)) AS last_event, count(*) AS n_messages FROM metrics GROUP BY service, "instanceId\""""
+       max(ts) FILTER (event = 'SHUTDOWN') AS last_shutdown, count(*) AS n_messages FROM metrics GROUP BY service, "instanceId\""""
 
 LIVE = """reg AS (
   SELECT service, "instanceId", max(ts) AS act, max(ts) FILTER (event IN ('INIT', 'HEARTBEAT')) AS hb FROM metrics GROUP BY service, "instanceId"),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from inkwell.functions import text as TX
-from inkwell.operators import extract as X, outcomes as O, refs as R
+from inkwell.operators import chunks as C, extract as X, outcomes as O, refs as R
 from inkwell.session import shared_dir
 from inkwell.sources import files as FS, messages as M
 
@@ -63,6 +63,12 @@ def extract_first(flagged: DataFrame, fetch: Fetch, **kwargs) -> DataFrame:
     )
 
 
+def chunk_references(flagged: DataFrame, fetch: Fetch, params: C.ChunkParams, keep: list[str], **kwargs) -> DataFrame:
+    """Fetch, extract and chunk the first copy of every reference in one pass over the bytes."""
+    pages = X.extract_text(fetch(flagged.where(F.col("dedupe") == "FIRST")), **kwargs)
+    return C.chunk_text(pages, "pages", params, keep)
+
+
 def with_text(rows: DataFrame) -> DataFrame:
     """Add the joined text of completed rows."""
     return rows.withColumn("text", F.when(F.col("pages").isNotNull(), TX.join_pages(F.col("pages"))))

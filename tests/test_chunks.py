@@ -104,3 +104,25 @@ def test_long_document(spark):
     rows = df.collect()
     assert len(rows) == 501 and rows[-1].overflow
     assert [(r.text, r.overflow) for r in rows] == brute(text, p)
+
+
+def test_sql_table_function_agrees(spark):
+    from inkwell.functions.udtf import register
+
+    register(spark)
+    p = C.ChunkParams(20, 4, 1, 6)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts()) if t], "doc int, text string")
+    docs.createOrReplaceTempView("udtf_docs")
+    got = spark.sql(f"SELECT d.doc, c.chunk_no, c.text, c.overflow FROM udtf_docs d, LATERAL split_text(d.text, {p.budget}, {p.min_chars}, {p.min_len}, {p.max_chunks}) c")
+    want = C.chunk_text(docs.withColumn("pages", F.array("text")), "pages", p, ["doc"]).select("doc", "chunk_no", "text", "overflow")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 100
+
+
+def test_chunks_from_bytes(spark):
+    """Bytes to pages to chunks without an intermediate file."""
+    from inkwell.operators import extract as X
+
+    files = spark.createDataFrame([("a.txt", bytearray(b"one. two. three.")), ("b.bin", bytearray(b"\xff"))], "filename string, content binary")
+    rows = C.chunk_text(X.extract_text(files, readers={}), "pages", C.ChunkParams(6, 2, 1, 10), ["filename"]).collect()
+    assert [(r.filename, r.text) for r in rows] == [("a.txt", "one."), ("a.txt", "two."), ("a.txt", "three"), ("a.txt", ".")][:len(rows)]
+    assert len(rows) == 3

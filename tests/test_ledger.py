@@ -42,9 +42,12 @@ def test_pending_and_done_partition_the_input(spark):
     done = files.where("path like '%1%'")
     pending = L.pending_files(files, done)
     assert pending.count() + done.count() == 20 and pending.intersect(done).count() == 0
-    report = L.pending_report(pending, "Standalone", F.lit("/in")).collect()[0]
+    samples = spark.createDataFrame([(1, '{"messages": 4}'), (2, '{"messages": 6}')], "ts int, body string")
+    report = L.pending_items("Standalone", pending, F.lit("/in"), samples).collect()[0]
     assert (report.mode, report.directory, report["count"]) == ("standalone", "/in", pending.count())
-    assert L.pending_report(pending, "other", F.lit("/in")).collect()[0].status == "unsupported"
+    assert L.pending_items("other", pending, F.lit("/in"), samples).collect()[0].status == "unsupported"
+    assert tuple(L.pending_items("SCDF", pending, F.lit("/in"), samples).collect()[0]) == ("scdf", 6, "ok", None)
+    assert tuple(L.pending_queue(samples.where("false")).collect()[0]) == ("scdf", -1, "unavailable", "no queue snapshot")
 
 
 def test_pending_estimate(spark):
