@@ -11,7 +11,7 @@ STOPPED_REASON = "Processing stopped via API"
 STARTUP_REASON = "Application startup"
 
 
-def control_replay(log: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
+def control_replay(log: DataFrame, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """State before and after every command; instances begin stopped.
 
     ``start`` sets 1, ``stop`` and ``reset`` set 0, ``toggle`` flips, anything else
@@ -22,32 +22,33 @@ def control_replay(log: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> D
     Columns: input, ``state_before``, ``state_after`` (0/1), ``changed``,
     ``reported_change`` (a reset always reports a change), ``status``.
     """
-    order = ["ts", "cmd_id"]
-    w = TL.within(order)
+    line = TL.Timeline(["instance_id"], ["ts", "cmd_id"], slicing=slicing)
+    w = line.within()
     cmd = F.lower("cmd")
     value = F.when(cmd == "start", F.lit(1)).when(cmd.isin("stop", "reset"), F.lit(0))
     local = (
-        TL.sliced(log, ["instance_id"], "ts", width_s)
+        line.sliced(log)
         .withColumn("_flip", F.when(cmd == "toggle", F.lit(1)).otherwise(F.lit(0)).cast("long"))
         .withColumn("_t", F.sum("_flip").over(w))
         .withColumn("_set", value + F.col("_t"))
-        .withColumn("_b", F.last("_set", ignorenulls=True).over(w))
-        .withColumn("_b0", F.last("_set", ignorenulls=True).over(TL.strictly_within(order)))
+        .withColumns(
+            {
+                "_b": F.last("_set", ignorenulls=True).over(w),
+                "_b0": F.last("_set", ignorenulls=True).over(line.strictly_within()),
+            }
+        )
     )
-    tails = {
-        "_toggles": F.sum("_flip"),
-        "_last_set": F.max_by("_set", F.when(F.col("_set").isNotNull(), F.struct(*order))),
-    }
-    joined = TL.with_carry(
+    joined = line.with_carry(
         local,
-        tails,
-        {"_toggles_in": F.coalesce(F.sum("_toggles").over(TL.before()), F.lit(0))},
-        {"_set_in": F.last(F.col("_last_set") + F.col("_toggles_in"), ignorenulls=True).over(TL.before())},
+        {"_toggles": F.sum("_flip"), "_last_set": line.last_of("_set")},
+        {"_toggles_in": F.sum("_toggles").over(line.before())},
+        {"_set_in": F.last(F.col("_last_set") + F.coalesce("_toggles_in", F.lit(0)), ignorenulls=True).over(line.before())},
     )
-    t_now = F.col("_t") + F.col("_toggles_in")
+    toggles_in = F.coalesce("_toggles_in", F.lit(0))
+    t_now = F.col("_t") + toggles_in
 
     def state(local_b: str, toggles: Column) -> Column:
-        base = F.coalesce(F.col(local_b) + F.col("_toggles_in"), F.col("_set_in"), F.lit(0))
+        base = F.coalesce(F.col(local_b) + toggles_in, F.col("_set_in"), F.lit(0))
         return ((base + toggles) % 2).cast("int")
 
     after = state("_b", t_now)
@@ -55,7 +56,7 @@ def control_replay(log: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> D
         joined.withColumn("state_before", state("_b0", t_now - F.col("_flip")))
         .withColumn("state_after", after)
         .select(
-            *TL.restored(log.columns, ["instance_id"]),
+            *line.restored(log.columns),
             "state_before",
             "state_after",
             (F.col("state_before") != F.col("state_after")).alias("changed"),
@@ -115,43 +116,41 @@ def control_response(replay: DataFrame) -> DataFrame:
     )
 
 
-def consume_backlog(arrivals: DataFrame, replay: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
+def consume_backlog(arrivals: DataFrame, replay: DataFrame, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """When each arrival is consumed: at once while started, else at the next start.
 
     An interval join written as one union of both logs: the state comes from the
     changes before the arrival, the next start from those after it.
     ``consumed_at`` stays NULL while no later start exists.
     """
-    order = ["ts", "event_id"]
+    line = TL.Timeline(["instance_id"], ["ts", "event_id"], slicing=slicing)
     changes = replay.where("changed").select(
         "instance_id", "ts", F.col("cmd_id").alias("event_id"), F.col("state_after").alias("_state")
     )
     both = arrivals.select("instance_id", "ts", "event_id", F.lit(None).cast("int").alias("_state")).unionByName(changes)
     start_ts = F.when(F.col("_state") == 1, F.col("ts"))
-    local = (
-        TL.sliced(both, ["instance_id"], "ts", width_s)
-        .withColumn("_now", F.last("_state", ignorenulls=True).over(TL.within(order)))
-        .withColumn("_next", F.min(start_ts).over(TL.rest_of_slice(order)))
+    local = line.sliced(both).withColumns(
+        {
+            "_now": F.last("_state", ignorenulls=True).over(line.within()),
+            "_next": F.min(start_ts).over(line.rest_of_slice()),
+        }
     )
-    tails = {
-        "_last": F.max_by("_state", F.when(F.col("_state").isNotNull(), F.struct(*order))),
-        "_first_start": F.min(start_ts),
-    }
     carries = {
-        "_now_c": F.last("_last", ignorenulls=True).over(TL.before()),
-        "_next_c": F.min("_first_start").over(TL.after()),
+        "_now_c": F.last("_last", ignorenulls=True).over(line.before()),
+        "_next_c": F.min("_first_start").over(line.after()),
     }
-    joined = TL.with_carry(local, tails, carries).where(F.col("_state").isNull())
+    tails = {"_last": line.last_of("_state"), "_first_start": F.min(start_ts)}
+    joined = line.with_carry(local, tails, carries).where(F.col("_state").isNull())
     started = F.coalesce("_now", "_now_c", F.lit(0)) == 1
     return joined.select(
-        *TL.restored(["instance_id", "event_id"], ["instance_id"]),
+        *line.restored(["instance_id", "event_id"]),
         F.col("ts").alias("arrived_at"),
         F.when(started, F.col("ts")).otherwise(F.coalesce("_next", "_next_c")).alias("consumed_at"),
         (~started).alias("waited"),
     )
 
 
-def queue_depth_series(consumed: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
+def queue_depth_series(consumed: DataFrame, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """Messages waiting after each moment at which something arrived or was consumed."""
     moves = consumed.select(
         "instance_id",
@@ -164,6 +163,5 @@ def queue_depth_series(consumed: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECO
     ).select("instance_id", "m.*").where(F.col("ts").isNotNull())
     # one row per moment first: a restart consumes a whole backlog at one instant
     steps = moves.groupBy("instance_id", "ts").agg(F.sum("arrived").alias("arrived"), F.sum("taken").alias("taken"))
-    return TL.running_sum(
-        steps, ["instance_id"], "ts", ["ts"], F.col("arrived") - F.col("taken"), "depth", width_s
-    )
+    line = TL.Timeline(["instance_id"], ["ts"], slicing=slicing)
+    return TL.running_sum(steps, line, F.col("arrived") - F.col("taken"), "depth")

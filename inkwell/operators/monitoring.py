@@ -15,6 +15,10 @@ REQUIRED_BASIC = ("instanceId", "timestamp", "status", "meta.service")
 REGISTRY_KEY = ["service", "instanceId"]
 
 
+def _timeline(slicing: TL.Slicing) -> TL.Timeline:
+    return TL.Timeline(REGISTRY_KEY, ["ts", "event_id"], slicing=slicing)
+
+
 def parse_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     """Typed columns of a JSON monitoring message plus ``ts`` and ``malformed``."""
     schema = T.StructType(schemas.METRICS.fields + [T.StructField("_corrupt", T.StringType())])
@@ -113,11 +117,11 @@ def instance_rates(metrics: DataFrame, done_event: str = "FILE_COMPLETE") -> Dat
     )
 
 
-def boot_epochs(metrics: DataFrame) -> DataFrame:
+def boot_epochs(metrics: DataFrame, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """Set ``bootEpoch`` to the epoch milliseconds of the latest INIT at or before each message."""
     init = F.when(F.col("event") == "INIT", F.unix_millis("ts"))
     rest = metrics.drop("bootEpoch")
-    return TL.running_last(rest, REGISTRY_KEY, "ts", ["ts", "event_id"], init, "bootEpoch")
+    return TL.running_last(rest, _timeline(slicing), init, "bootEpoch")
 
 
 def init_messages(metrics: DataFrame) -> DataFrame:
@@ -184,37 +188,34 @@ def restarts(metrics: DataFrame) -> DataFrame:
     )
 
 
-def error_tracking(metrics: DataFrame, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
+def error_tracking(metrics: DataFrame, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """Running error count and last error text per message."""
-    order = ["ts", "event_id"]
+    line = _timeline(slicing)
     rest = metrics.drop("errorCount")
     local = (
-        TL.sliced(rest, REGISTRY_KEY, "ts", width_s)
+        line.sliced(rest)
         .withColumn("_e", F.when(F.col("event") == "ERROR", F.lit(1)).otherwise(F.lit(0)).cast("long"))
-        .withColumn("_n", F.sum("_e").over(TL.within(order)))
-        .withColumn("_l", F.last("lastError", ignorenulls=True).over(TL.within(order)))
+        .withColumns(
+            {"_n": F.sum("_e").over(line.within()), "_l": F.last("lastError", ignorenulls=True).over(line.within())}
+        )
     )
-    tails = {
-        "_ne": F.sum("_e"),
-        "_le": F.max_by("lastError", F.when(F.col("lastError").isNotNull(), F.struct(*order))),
-    }
     carries = {
-        "_cn": F.sum("_ne").over(TL.before()),
-        "_cl": F.last("_le", ignorenulls=True).over(TL.before()),
+        "_cn": F.sum("_ne").over(line.before()),
+        "_cl": F.last("_le", ignorenulls=True).over(line.before()),
     }
-    joined = TL.with_carry(local, tails, carries)
+    joined = line.with_carry(local, {"_ne": F.sum("_e"), "_le": line.last_of("lastError")}, carries)
     return joined.select(
-        *TL.restored([c for c in rest.columns if c != "lastError"], REGISTRY_KEY),
+        *line.restored([c for c in rest.columns if c != "lastError"]),
         (F.col("_n") + F.coalesce("_cn", F.lit(0))).alias("errorCount"),
         F.coalesce("_l", "_cl").alias("lastError"),
     )
 
 
 def status_mapping(metrics: DataFrame, enabled: Column, interval_s: int,
-                   width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
+                   slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """ERROR, DISABLED, PROCESSING (work within the last interval) or IDLE per message."""
     work = F.when(F.col("event").isin("FILE_START", "FILE_COMPLETE", "CHUNK_COMPLETE"), F.col("ts"))
-    withwork = TL.running_last(metrics, REGISTRY_KEY, "ts", ["ts", "event_id"], work, "last_work", width_s)
+    withwork = TL.running_last(metrics, _timeline(slicing), work, "last_work")
     recent = F.unix_micros("ts") - F.unix_micros("last_work") <= F.lit(interval_s * 1_000_000)
     return withwork.withColumn(
         "mapped_status",
@@ -237,12 +238,10 @@ def heartbeat_windows(metrics: DataFrame, width: str = "10 seconds") -> DataFram
     )
 
 
-def missed_heartbeats(metrics: DataFrame, interval_s: int, width_s: int = TL.DEFAULT_SLICE_SECONDS) -> DataFrame:
+def missed_heartbeats(metrics: DataFrame, interval_s: int, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
     """Heartbeats that came later than one interval after the previous one, with the beats missed."""
     beats = metrics.where(F.col("event").isin("INIT", "HEARTBEAT")).select(*REGISTRY_KEY, "ts", "event_id")
-    prev = TL.running_last(
-        beats, REGISTRY_KEY, "ts", ["ts", "event_id"], F.col("ts"), "previous_ts", width_s, current=False
-    )
+    prev = TL.running_last(beats, _timeline(slicing), F.col("ts"), "previous_ts", current=False)
     gap = F.unix_micros("ts") - F.unix_micros("previous_ts")
     missed = F.call_function("div", gap - 1, F.lit(interval_s * 1_000_000))
     return prev.withColumn("missed", missed).where("missed > 0")

@@ -1,94 +1,121 @@
-"""Running values over a log, split by time so that no key has to fit one task.
+"""Running values over a log in which a few keys may own most of the rows.
 
 A plain window over ``partitionBy(instance)`` puts the whole history of an instance
-in one task. Here the window runs over (instance, time slice); each slice is
-reduced to one row, the few slice rows per instance are combined by a second window,
-and the carried value is joined back. Slice rows per key are bounded by time range /
-slice width, whatever the data volume.
+in one task. Instances with very many rows are therefore cut into time slices: the
+window runs over (slice, instance), each slice is reduced to one row, the few slice
+rows per instance are combined by a second window, and the carried value is joined
+back. All other instances have a single slice and pay only for the counting.
+
+Bounds, whatever the data volume: an unsliced key owns less than ``hot_rows`` rows or
+at most 1/``hot_keys`` of all rows; slice rows per key are time range / slice width.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-KEY, SLICE = "_key", "_slice"
-DEFAULT_SLICE_SECONDS = 3600
-
-
-def sliced(df: DataFrame, keys: list[str], ts: str = "ts", width_s: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """Replace the key columns by one struct and add the time slice number of ``ts``.
-
-    A struct is never NULL, so rows with a missing key part join like all others. As
-    the only copy of the key it keeps the shuffled columns of rows and tails alike,
-    which lets Spark reuse one shuffle for both. :func:`restored` undoes it.
-    """
-    number = F.call_function("div", F.unix_micros(F.col(ts)), F.lit(width_s * 1_000_000))
-    return df.select(
-        F.struct(*keys).alias(KEY),
-        F.coalesce(number, F.lit(0).cast("long")).alias(SLICE),
-        *[c for c in df.columns if c not in keys],
-    )
-
-
-def restored(columns: list[str], keys: list[str]) -> list[Column]:
-    """The given columns, those of the key taken out of the struct again."""
-    return [F.col(f"{KEY}.{c}").alias(c) if c in keys else F.col(c) for c in columns]
-
-
-def within(order: list[str]):
-    """Window over one slice of one key, all rows up to the current one."""
-    return Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-
-
-def strictly_within(order: list[str]):
-    """The same without the current row."""
-    return Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def rest_of_slice(order: list[str]):
-    """Window over the current and the later rows of one slice."""
-    return Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-
-
-def before():
-    """Window over the slice rows of one key that come before the current slice."""
-    return Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def after():
-    """Window over the slice rows of one key that come after the current slice."""
-    return Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(1, Window.unboundedFollowing)
-
-
-def with_carry(local: DataFrame, tails: dict[str, Column], *carries: dict[str, Column]) -> DataFrame:
-    """Join each row with the state carried into its slice.
-
-    ``tails`` reduces a slice to one row; each of ``carries`` adds window expressions
-    over those rows, built with :func:`before` or :func:`after`, and may use the
-    columns of the previous one.
-    """
-    carry = local.groupBy(KEY, SLICE).agg(*[e.alias(n) for n, e in tails.items()])
-    for step in carries:
-        carry = carry.withColumns(step)
-    # every slice has a tail row, so the inner join keeps all rows
-    return local.join(carry.drop(*tails), [KEY, SLICE])
+from typing import NamedTuple
 
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-def running_sum(df: DataFrame, keys: list[str], ts: str, order: list[str], value: Column, name: str,
-                width_s: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+SLICE, HOT = "_slice", "_hot"
+NO_KEY = "\u0000"
+
+
+class Slicing(NamedTuple):
+    """When and how finely keys are cut."""
+
+    width_s: int = 3600
+    hot_rows: int = 1_000_000
+    hot_keys: int = 16_384
+
+
+class Timeline:
+    """Windows of one log: text ``keys``, event time ``ts`` and a total ``order``."""
+
+    def __init__(self, keys: list[str], order: list[str], ts: str = "ts", slicing: Slicing = Slicing()):
+        self.keys, self.order, self.ts, self.slicing = keys, order, ts, slicing
+        # numbers first: sorting then compares them before it compares text. The flag
+        # is part of the group so that a filter on it reaches below the windows.
+        self.group = [HOT, SLICE, *keys]
+
+    def sliced(self, df: DataFrame) -> DataFrame:
+        """Add the flag of hot keys and the slice number, 0 for all other keys.
+
+        NULL keys get a stand-in so that they join like others; :meth:`restored`
+        brings them back.
+        """
+        keyed = df.select(
+            *[F.coalesce(F.col(c), F.lit(NO_KEY)).alias(c) if c in self.keys else F.col(c) for c in df.columns]
+        )
+        hot = (
+            keyed.groupBy(*self.keys)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= self.slicing.hot_rows)
+            .orderBy(F.desc("_n"), *self.keys)
+            .limit(self.slicing.hot_keys)
+            .select(*self.keys, F.lit(True).alias("_is_hot"))
+        )
+        number = F.call_function("div", F.unix_micros(F.col(self.ts)), F.lit(self.slicing.width_s * 1_000_000))
+        flag = F.coalesce("_is_hot", F.lit(False))
+        return (
+            keyed.join(F.broadcast(hot), self.keys, "left")
+            .withColumns({HOT: flag, SLICE: F.coalesce(F.when(flag, number), F.lit(0).cast("long"))})
+            .drop("_is_hot")
+        )
+
+    def restored(self, columns: list[str]) -> list[Column]:
+        return [F.nullif(F.col(c), F.lit(NO_KEY)).alias(c) if c in self.keys else F.col(c) for c in columns]
+
+    def _in_slice(self):
+        return Window.partitionBy(*self.group).orderBy(*self.order)
+
+    def within(self):
+        """All rows of the slice up to the current one."""
+        return self._in_slice().rowsBetween(Window.unboundedPreceding, 0)
+
+    def strictly_within(self):
+        """The same without the current row."""
+        return self._in_slice().rowsBetween(Window.unboundedPreceding, -1)
+
+    def rest_of_slice(self):
+        """The current and the later rows of the slice."""
+        return self._in_slice().rowsBetween(0, Window.unboundedFollowing)
+
+    def before(self):
+        """Slice rows of the key before the current slice."""
+        return Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+
+    def after(self):
+        """Slice rows of the key after the current slice."""
+        return Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(1, Window.unboundedFollowing)
+
+    def last_of(self, value: str) -> Column:
+        """Aggregate: the latest non-NULL value of the slice."""
+        return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*self.order)))
+
+    def with_carry(self, local: DataFrame, tails: dict[str, Column], *carries: dict[str, Column]) -> DataFrame:
+        """Join each row with the state carried into its slice.
+
+        ``tails`` reduces a slice to one row; each of ``carries`` adds window
+        expressions over those rows, built with :meth:`before` or :meth:`after`, and
+        may use the columns of the previous one.
+        """
+        carry = local.where(F.col(HOT)).groupBy(*self.group).agg(*[e.alias(n) for n, e in tails.items()])
+        for step in carries:
+            carry = carry.withColumns(step)
+        return local.join(carry.drop(*tails), self.group, "left")
+
+
+def running_sum(df: DataFrame, line: Timeline, value: Column, name: str) -> DataFrame:
     """Sum of ``value`` over all rows of the key up to and including this one."""
-    local = sliced(df, keys, ts, width_s).withColumn("_v", value).withColumn("_local", F.sum("_v").over(within(order)))
-    joined = with_carry(local, {"_t": F.sum("_v")}, {"_c": F.sum("_t").over(before())})
-    return joined.select(*restored(df.columns, keys), (F.col("_local") + F.coalesce("_c", F.lit(0))).alias(name))
+    local = line.sliced(df).withColumn("_v", value).withColumn("_local", F.sum("_v").over(line.within()))
+    joined = line.with_carry(local, {"_t": F.sum("_v")}, {"_c": F.sum("_t").over(line.before())})
+    return joined.select(*line.restored(df.columns), (F.col("_local") + F.coalesce("_c", F.lit(0))).alias(name))
 
 
-def running_last(df: DataFrame, keys: list[str], ts: str, order: list[str], value: Column, name: str,
-                 width_s: int = DEFAULT_SLICE_SECONDS, current: bool = True) -> DataFrame:
+def running_last(df: DataFrame, line: Timeline, value: Column, name: str, current: bool = True) -> DataFrame:
     """Latest non-NULL ``value`` up to this row, or strictly before it."""
-    w = within(order) if current else strictly_within(order)
-    local = sliced(df, keys, ts, width_s).withColumn("_v", value).withColumn(
-        "_local", F.last("_v", ignorenulls=True).over(w)
-    )
-    tails = {"_t": F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order)))}
-    joined = with_carry(local, tails, {"_c": F.last("_t", ignorenulls=True).over(before())})
-    return joined.select(*restored(df.columns, keys), F.coalesce("_local", "_c").alias(name))
+    w = line.within() if current else line.strictly_within()
+    local = line.sliced(df).withColumn("_v", value).withColumn("_local", F.last("_v", ignorenulls=True).over(w))
+    carry = {"_c": F.last("_t", ignorenulls=True).over(line.before())}
+    joined = line.with_carry(local, {"_t": line.last_of("_v")}, carry)
+    return joined.select(*line.restored(df.columns), F.coalesce("_local", "_c").alias(name))

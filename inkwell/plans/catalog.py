@@ -614,10 +614,11 @@ def control_response(spark, sf):
 
 @query
 def backlog_consume(spark, sf):
-    return K.consume_backlog(FX.arrivals(spark, sf), K.control_replay(FX.control_log(spark, sf)))
+    replay = staged(K.control_replay(FX.control_log(spark, sf)), "replay")
+    return K.consume_backlog(FX.arrivals(spark, sf), replay)
 
 
 @query
 def queue_depth_series(spark, sf):
-    consumed = K.consume_backlog(FX.arrivals(spark, sf), K.control_replay(FX.control_log(spark, sf)))
-    return K.queue_depth_series(consumed)
+    replay = staged(K.control_replay(FX.control_log(spark, sf)), "replay")
+    return K.queue_depth_series(staged(K.consume_backlog(FX.arrivals(spark, sf), replay), "consumed"))
