@@ -6,7 +6,6 @@ import io
 import re
 import zipfile
 from collections.abc import Callable
-from html import unescape
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -25,27 +24,30 @@ MEMBERS = {
     "application/epub+zip": r".*\.x?html?",
 }
 PARAGRAPHS = ("p", "h", "tr", "table-row", "div", "li", "br", "title")
+GAPS = ("tab", "s", "tc", "table-cell", "td")
 
 PageReader = Callable[[bytes], list[str]]
 
 
 def _member_text(data: bytes) -> str:
+    """Text of one XML member: a line per paragraph, a space per tab or cell."""
     parts: list[str] = []
-
-    def walk(node) -> None:
-        name = node.tag.rsplit("}", 1)[-1] if isinstance(node.tag, str) else ""
-        if node.text and name not in ("script", "style"):
-            parts.append(node.text)
-        for child in node:
-            walk(child)
-            if child.tail:
-                parts.append(child.tail)
+    todo: list = [ElementTree.fromstring(data)]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str):
+            parts.append(item)
+            continue
+        name = item.tag.rsplit("}", 1)[-1] if isinstance(item.tag, str) else ""
         if name in PARAGRAPHS:
-            parts.append("\n")
-        elif name in ("tab", "s", "tc", "table-cell", "td"):
-            parts.append(" ")
-
-    walk(ElementTree.fromstring(data))
+            todo.append("\n")
+        elif name in GAPS:
+            todo.append(" ")
+        # a stack, so children go on in reverse and deep documents are no problem
+        for child in reversed(item):
+            todo += [child.tail or "", child]
+        if name not in ("script", "style"):
+            parts.append(item.text or "")
     return re.sub(r"\n{2,}", "\n", "".join(parts)).strip()
 
 
@@ -56,7 +58,7 @@ def _archive_pages(pattern: str) -> PageReader:
 
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             names = sorted((n for n in archive.namelist() if re.fullmatch(pattern, n)), key=order)
-            return [unescape(_member_text(archive.read(n))) for n in names]
+            return [_member_text(archive.read(n)) for n in names]
 
     return read
 

@@ -34,7 +34,7 @@ def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, id_col: str = "m
 
     Only (url_key, first arrival) pairs are shuffled by key, after map-side
     combining, so copies of one URL never meet in one task. The flag goes back to
-    the messages by message id, which is unique and therefore balanced.
+    the messages by message id, which must be unique and is therefore balanced.
     """
     first = (
         refs.where(F.col("reject").isNull())

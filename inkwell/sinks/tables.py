@@ -108,3 +108,15 @@ class LedgerTable:
         rows = self.read(before=upto + 1)
         parts = rows.repartition(files, "url_key") if files else rows.repartition("url_key")
         parts.sortWithinPartitions("url_key").write.mode("overwrite").parquet(f"{self.path}/compact/upto={upto}")
+
+    def vacuum(self, upto: int) -> int:
+        """Delete batch folders that a complete snapshot covers; returns how many.
+
+        Without it the folder listing of every later batch grows with the age of the
+        stream. Only batches after ``upto`` can be replayed from then on.
+        """
+        snapshot = self._snapshot(None)
+        if snapshot is None or snapshot < upto:
+            return 0
+        old = [d for d in sub_dirs(self.spark, self.batches.path) if int(d.split("=")[1]) <= upto]
+        return sum(delete_dir(self.spark, f"{self.batches.path}/{d}") for d in old)

@@ -28,6 +28,9 @@ ODT = archive({"content.xml": '<o xmlns:t="urn:t"><t:h>Title</t:h><t:p>Body<t:s/
 PPTX = archive({f"ppt/slides/slide{i}.xml": f'<s xmlns:a="urn:a"><a:p><a:t>slide {i}</a:t></a:p></s>' for i in (10, 2, 1)})
 
 
+DEEP = archive({"content.xml": "<d>" * 3000 + "<p>down &amp;lt; here</p>" + "</d>" * 3000})
+
+
 def files(spark, items):
     return spark.createDataFrame([(n, bytearray(c)) for n, c in items], "filename string, content binary")
 
@@ -35,13 +38,14 @@ def files(spark, items):
 def test_formats(spark):
     items = [
         ("a.txt", "plain é".encode()), ("b.html", b"<html><body><p>x</p>y</body></html>"), ("c.docx", DOCX), ("d.odt", ODT),
-        ("e.pptx", PPTX), ("f.docx", b"not a zip"), ("g.txt", b"\xff\xfe"), ("h.bin", b"\x00\xff"), ("i", b"no extension"), ("j.csv", b"a,b"),
+        ("e.pptx", PPTX), ("k.odt", DEEP), ("f.docx", b"not a zip"), ("g.txt", b"\xff\xfe"), ("h.bin", b"\x00\xff"), ("i", b"no extension"), ("j.csv", b"a,b"),
     ]
     got = {r.filename: r for r in X.extract_text(files(spark, items)).collect()}
     assert got["a.txt"].text == "\n\nplain é"
     assert got["b.html"].text == "\n\nx\ny"
     assert got["c.docx"].text == "\n\nHello wörld\nSecond"
     assert got["d.odt"].text == "\n\nTitle\nBody text"
+    assert got["k.odt"].text == "\n\ndown &lt; here"
     assert got["e.pptx"].pages == ["slide 1", "slide 2", "slide 10"]
     assert (got["f.docx"].failure, got["f.docx"].text) == ("PARSE_ERROR", "") and "BadZipFile" in got["f.docx"].error_message
     assert got["g.txt"].failure == "UNDECODABLE"

@@ -136,6 +136,11 @@ def test_ledger_compaction_keeps_rows(spark, store):
     stream.ledger.compact(1, files=1)
     assert sorted(map(str, stream.ledger.read().collect())) == before
     assert stream.ledger.read(before=1).count() == 1  # a replay of batch 1 must not see the snapshot
+    assert stream.ledger.vacuum(2) == 0  # batch 2 is not covered
+    assert stream.ledger.vacuum(1) == 2
+    assert sorted(map(str, stream.ledger.read().collect())) == before
+    stream.ledger.compact(2, files=1)
+    assert stream.ledger.vacuum(2) == 1 and sorted(map(str, stream.ledger.read().collect())) == before
 
 
 def test_control_lifecycle(spark, store):
