@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Elements that break lines, elements whose content is not text, entities.
+# Elements that break lines, elements whose content is not text (besides head), entities.
 BLOCKS = (
     "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|html"
     "|li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|tr|ul"
 )
-UNSEEN = ("head", "script", "style")
+UNSEEN = ("script", "style")
 ENTITIES = {
     "nbsp": " ",
     "lt": "<",
@@ -26,10 +26,11 @@ ENTITIES = {
 }
 
 # comments, unseen elements with their content, and all tags that do not break lines;
-# every alternative begins at "<", so other characters are skipped at once
+# every alternative begins at "<", so other characters are skipped at once. An unclosed
+# comment, script or style runs to the end of the page, which also keeps the scan linear.
 INLINE = (
-    r"(?is)<(?:!--.*?-->|"
-    + "|".join(rf"{name}\b[^>]*>.*?</{name}\s*>" for name in UNSEEN)
+    r"(?is)<(?:!--.*?(?:-->|\z)|head\b[^>]*>.*?</head\s*>|"
+    + "|".join(rf"{name}\b[^>]*>.*?(?:</{name}\s*>|\z)" for name in UNSEEN)
     + rf"|(?!/?(?:{BLOCKS})\b)[a-z/!?][^>]*(?:>|\z))"
 )
 BREAKING = r"</?[a-zA-Z][^>]*(?:>|\z)"  # only block tags are left by then

@@ -328,7 +328,7 @@ def processed_message(spark, sf):
     texts = FX.texts(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").alias("_p"), TX.utf16_length(H.html_to_text(F.col("html"))).alias("text_length")
     )
-    rows = refs.withColumn("_p", F.col("msg_id") % 100_000_000).join(texts, "_p")
+    rows = refs.withColumn("_p", F.col("msg_id") % 1_000_000_000_000).join(texts, "_p")
     return O.processed_message(rows).select(
         "msg_id", "message", "header_original_file", "header_processed_url", "header_text_length"
     )

@@ -96,7 +96,7 @@ def with_copies(once: DataFrame) -> DataFrame:
     """Every third message arrives again much later, under a new id."""
     copy = F.col("msg_id") % 3 == 0
     later = F.struct(
-        (F.col("msg_id") + 100_000_000).alias("msg_id"),
+        (F.col("msg_id") + 1_000_000_000_000).alias("msg_id"),
         (F.col("arrived_at") + F.expr("INTERVAL 1000 DAYS")).alias("arrived_at"),
         "value",
     )

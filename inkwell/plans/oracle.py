@@ -48,7 +48,7 @@ STORE_REFS = f"""store_once AS (
   FROM documents),
 store_refs AS (
   SELECT * FROM store_once
-  UNION ALL SELECT msg_id + 100000000, arrived_at + INTERVAL 1000 DAY, doc_id, type, url FROM store_once WHERE msg_id % 3 = 0)"""
+  UNION ALL SELECT msg_id + 1000000000000, arrived_at + INTERVAL 1000 DAY, doc_id, type, url FROM store_once WHERE msg_id % 3 = 0)"""
 
 FILE_REFS = f"""refs_once AS (
   SELECT page_id AS msg_id, {EPOCH} + to_seconds(page_id) AS arrived_at, page_id,
@@ -60,7 +60,7 @@ FILE_REFS = f"""refs_once AS (
   FROM pages),
 parsed AS (
   SELECT * FROM refs_once
-  UNION ALL SELECT msg_id + 100000000, arrived_at + INTERVAL 1000 DAY, page_id, malformed, type, url, input_stream, output_stream
+  UNION ALL SELECT msg_id + 1000000000000, arrived_at + INTERVAL 1000 DAY, page_id, malformed, type, url, input_stream, output_stream
   FROM refs_once WHERE msg_id % 3 = 0),
 refs AS (
   SELECT *, {DEC.format(LAST.format('url'))} AS filename,
@@ -149,8 +149,8 @@ backlog AS (
 
 def html_sql(col: str) -> str:
     sql = (
-        f"regexp_replace({col}, '<!--.*?-->|<head\\b[^>]*>.*?</head\\s*>|<script\\b[^>]*>.*?</script\\s*>"
-        "|<style\\b[^>]*>.*?</style\\s*>', '', 'gis')"
+        f"regexp_replace({col}, '<!--.*?(?:-->|\\z)|<head\\b[^>]*>.*?</head\\s*>|<script\\b[^>]*>.*?(?:</script\\s*>|\\z)"
+        "|<style\\b[^>]*>.*?(?:</style\\s*>|\\z)', '', 'gis')"
     )
     sql = (
         f"regexp_replace({sql}, '</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|html"

@@ -101,6 +101,16 @@ def test_html(one):
     assert one(H.html_to_text, [page, "", "a < b"]) == ["A & B\nonetwo three\nfour \n5 < 6 &lt;".replace(" \n", "\n"), "", "a < b"]
 
 
+def test_html_unclosed_parts(one):
+    pages = ["<p>a<!-- cut", "a<script>x</p>", "a<style>b</style>c<script", "<head><title>t", "x<br" ]
+    assert one(H.html_to_text, pages) == ["a", "a", "ac", "t", "x"]
+
+
+def test_html_scan_is_linear(one):
+    page = "<!--" * 50000 + "\U0001f600a" * 50000 + "<script>" * 50000
+    assert one(H.html_to_text, ["<p>x</p>" + page]) == ["x"]
+
+
 def test_entities(one):
     raw = ["a &amp;amp; b", "&#39;&#x41;&#128512;&#0;&#xD800;", "&unknown; & &lt", "&;&amp", "no", "x&copy;&middot;y&"]
     assert one(H.decode_entities, raw) == ["a &amp; b", "'A\U0001f600&#0;&#xD800;", "&unknown; & &lt", "&;&amp", "no", "x©·y&"]
