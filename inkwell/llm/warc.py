@@ -108,7 +108,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = MIN_PAYLOAD
                 if out is None:
                     store.create_dir(base, recursive=True)
                     name, size, records = f"part-{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(f"{base}/{name}")
+                    out = store.open_output_stream(f"{base}/{name}", compression=None)
                 kind = "response" if row == first_row else "revisit"
                 data = record_bytes(kind, page_id, row, url, payload, base32_sha1(payload), (first_page, first_row), date)
                 packer = zlib.compressobj(level, zlib.DEFLATED, 31)
