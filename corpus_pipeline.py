@@ -1,30 +1,52 @@
 """The training-data pipeline: toxicity, near duplicates, benchmark leaks, secrets, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
-Parquet and read again as the next stage's documents.
+Parquet and read again as the next stage's documents. All but the last return the columns
+of the documents, whatever these are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import secrets, toxicity
+from inkwell.llm import decontaminate, mixing, neardup, secrets, toxicity
 from inkwell.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the learnt lexicon scores below 0.5; the labels are those of op7's training part."""
+    """Documents that the learnt lexicon scores below 0.5."""
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
-def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first row of each group of near duplicates."""
+    return neardup.keep_first(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage like an item of the benchmark."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced."""
     return secrets.redact_secrets(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("secrets", redact)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with tokens, weight of their source and number of readings."""
+    return mixing.mix_sources(docs)[0]
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("secrets", redact_secrets),
+    ("mixing", mix),
+]
 
-# Learnt weights and signatures are not expressible in SQL; the tests hold run() against brute force.
+# Learnt weights, signatures and lexing are not expressible in SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
