@@ -50,7 +50,7 @@ def _symbols(text: str) -> np.ndarray:
 def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values and their counts."""
     values = np.sort(values)
-    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    first = np.flatnonzero(np.concatenate(([True] * min(1, len(values)), values[1:] != values[:-1])))
     return values[first], np.diff(np.append(first, len(values)))
 
 
@@ -70,7 +70,7 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         c = s[at : at + BLOCK + 2]
         one = c[:BLOCK]
         two = (c[:-1] << 21 | c[1:])[:BLOCK]
-        three = (c[:-2] << 42 | c[1:-1] << 21 | c[2:])[c[1:-1] != BLANK][:BLOCK] if len(c) > 2 else c[:0]
+        three = (c[:-2] << 42 | c[1:-1] << 21 | c[2:])[c[1:-1] != BLANK] if len(c) > 2 else c[:0]
         parts.append(_unique(np.concatenate((one[one != BLANK], two, three))))
     return parts[0] if len(parts) == 1 else _merge(parts)
 

@@ -130,9 +130,10 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def redact(text: str, spans: list[tuple[str, int, int]], mark: str = "[SECRET]") -> str:
-    """Replace every maximal covered run by the mark."""
+    """Replace what the spans cover by the mark; of an ``assign`` span only the value goes."""
+    hidden = sorted((ASSIGN.match(text, a).start(2) if kind == "assign" else a, b) for kind, a, b in spans)
     out, at = [], 0
-    for _, a, b in spans:
+    for a, b in hidden:
         if a >= at:
             out += [text[at:a], mark]
         at = max(at, b)

@@ -16,7 +16,6 @@ precision per word). Words recur, so counts are remembered up to a fixed number
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -56,8 +55,8 @@ class Vocabulary:
 class Counter(dict):
     """Token counts of segments, searched on first use; one per worker process.
 
-    Segments are cut before blanks and around characters that no piece contains (no piece
-    can cross either), so a text's count is the sum of its segments' counts.
+    Segments are cut before blanks and, with byte tokens, around characters that no piece
+    contains (no piece can cross either), so a text's count is the sum of its segments' counts.
     """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
@@ -77,7 +76,7 @@ class Counter(dict):
             self.automaton.make_automaton()
 
     def __missing__(self, word: str) -> int:
-        segment = word[1:] if word[:1] == CUT else META + word
+        segment = word[1:] if self.bytes and word[:1] == CUT else META + word
         n = self.search(segment)[0]
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
@@ -125,16 +124,13 @@ class Counter(dict):
             return 0
         text = text.replace(" ", META) if META in text else text
         total, strange = 0, set(text) - self.alphabet - {" "}
-        if strange:
-            if self.bytes:
-                total = sum(text.count(c) * len(c.encode("utf-8", "surrogatepass")) for c in strange)
-            else:
-                total = len(re.findall(f"[{re.escape(''.join(sorted(strange)))}]+", text))
+        if strange and self.bytes:  # without byte tokens their runs have to stay with their neighbours
+            total = sum(text.count(c) * len(c.encode("utf-8", "surrogatepass")) for c in strange)
             for c in strange - {CUT}:
                 text = text.replace(c, CUT)
             text = text.replace(CUT, f" {CUT}")
         words = text.replace(META, " ").split(" ")
-        if words[0] == "" and len(words) > 1 and text[0] in (" ", META) and words[1][:1] != CUT:
+        if words[0] == "" and len(words) > 1 and text[0] in (" ", META) and not (self.bytes and words[1][:1] == CUT):
             words = words[1:]  # the text's own blank stands in for the one before it
         return total + sum(map(self.__getitem__, words))
 

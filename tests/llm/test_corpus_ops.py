@@ -1,0 +1,434 @@
+"""Repeats, top-k, decontamination, WARC, mixing, near duplicates and the pipeline against brute force."""
+
+import base64
+import hashlib
+import io
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from inkwell.llm import components, decontaminate, mixing, neardup, suffixes, topk, warc
+from inkwell.llm.common import shingles, word_hashes, work_path
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(r, n):
+    return [f"{r.choice('bcdfgklmnprst')}{r.choice('aeiou')}{r.choice('lmnrst')}{r.randint(0, 60)}" for _ in range(n)]
+
+
+def docs_of(spark, texts):
+    return spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)], DOCS)
+
+
+# repeats
+
+
+def cut_by_loop(texts):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[i : i + 400] for d in data for i in range(len(d) - 399))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - 399):
+            if seen[d[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))) == 1)
+        kept = np.frombuffer(d, np.uint8)[~gone].tobytes()
+        out.append((len(d), int(gone.sum()), len(edges), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def repeat_texts():
+    r = random.Random(11)
+    passage, other = " ".join(words(r, 120)), " ".join(words(r, 70))
+    texts = [" ".join(words(r, r.randint(1, 300))) for _ in range(12)]
+    texts += [f"{' '.join(words(r, 30))} {passage} {' '.join(words(r, 20))}" for _ in range(4)]
+    texts += [passage[100:], passage[:450], passage[:399], passage[:400], texts[0], texts[0], other + other, other * 3 + passage[5:420]]
+    texts += ["", None, "x", "a" * 399, "a" * 1000, "ab" * 500, "é" * 300, passage.replace(words(r, 1)[0], "zz")]
+    edited = passage.split(" ")
+    for i in range(6):
+        edited[r.randrange(len(edited))] = f"edit{i}"
+        texts.append(" ".join(edited))
+    return texts
+
+
+def test_repeats_match_brute_force(spark, monkeypatch):
+    texts = repeat_texts()
+    for run in (16_384, 40):  # one range of suffixes, and many
+        monkeypatch.setattr(suffixes, "RUN", run)
+        docs = docs_of(spark, texts).repartition(3).selectExpr("*", "1 as row", "2 as n_removed")
+        docs.write.mode("overwrite").parquet(path := work_path(spark, "test"))
+        found = {r.doc_id: tuple(r)[1:] for r in suffixes.repeats_query(spark.read.parquet(path)).collect()}
+        assert found == dict(enumerate(cut_by_loop(texts)))
+    assert suffixes.repeats_query(docs_of(spark, []).limit(0)).collect() == []
+
+
+def test_anchors_do_not_depend_on_place_or_block(monkeypatch):
+    r = random.Random(4)
+    text = " ".join(words(r, 300)).encode()
+    whole = {(int(p), int(h)) for p, h in zip(*suffixes.anchors(text))}
+    shifted = {(int(p) - 1000, int(h)) for p, h in zip(*suffixes.anchors(b"z" * 1000 + text))}
+    assert {x for x in shifted if 400 <= x[0] < len(text) - 400} == {x for x in whole if 400 <= x[0] < len(text) - 400}
+    monkeypatch.setattr(suffixes, "BLOCK", 64)
+    monkeypatch.setattr(suffixes, "_TABLES", {})
+    assert {(int(p), int(h)) for p, h in zip(*suffixes.anchors(text))} == whole
+    starts = sorted(p for p, _ in whole)
+    assert all(any(s <= p <= s + suffixes.LEFT for p in starts) for s in range(len(text) - 399))
+
+
+def test_loser_tree_merges_with_common_prefixes(monkeypatch):
+    r = random.Random(8)
+    strings = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 12))) for _ in range(400)]
+    for k in (1, 2, 5, 9):
+        runs = []
+        for i in range(k):
+            mine = sorted(strings[i::k])
+            runs.append(iter([(suffixes.common(mine[j - 1], s) if j else 0, s[suffixes.common(mine[j - 1], s) if j else 0 :], i) for j, s in enumerate(mine)]))
+        looked = []
+        plain = suffixes.common
+        monkeypatch.setattr(suffixes, "common", lambda a, b, known=0: looked.append(known) or plain(a, b, known))
+        out = list(suffixes.LoserTree(runs))
+        monkeypatch.setattr(suffixes, "common", plain)
+        assert [s for _, s, _ in out] == sorted(strings)
+        assert all(n == plain(a, b) for (_, a, _), (n, b, _) in zip(out, out[1:]))
+        assert k == 1 or max(looked) > 0
+
+
+def test_partings_match_pairs():
+    r = random.Random(9)
+    strings = sorted({bytes(r.choice(b"abc") for _ in range(r.randint(1, 8))) for _ in range(60)})
+    shared = [0] + [suffixes.common(a, b) for a, b in zip(strings, strings[1:])]
+    for i, found in enumerate(suffixes.partings(shared, 2)):
+        assert found == {n for j, s in enumerate(strings) if j != i and (n := suffixes.common(strings[i], s)) >= 2}
+
+
+# top-k
+
+
+def top_by_loop(rows):
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    asked = {}
+    for i, v in sorted(fine):
+        if i % 50 == 0:
+            asked.setdefault(i, v)
+    out = []
+    for q, v in asked.items():
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in fine if i != q and len(w) == len(v))
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+    return sorted(out)
+
+
+def test_top_k_matches_brute_force(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, [r.choice([-0.5, 0.25, 0.3, 1.0, -1.0]) for _ in range(6)]) for i in range(220)]
+    rows += [(300 + i, rows[7][1]) for i in range(40)] + [(50, rows[9][1]), (8, rows[8][1])]
+    rows += [(400, None), (None, rows[0][1]), (401, [1.0, None] * 3), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (404, []), (450, [1.0, 2.0]), (451, [3.0, -2.0]), (500, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as score", "2 as id", "3 as rank").repartition(3)
+    for values in (1 << 20, 7):  # one block of queries, and many
+        monkeypatch.setattr(topk, "BLOCK_VALUES", values)
+        assert sorted(tuple(x) for x in topk.topk_query(df).collect()) == top_by_loop(rows)
+    assert topk.topk_query(df.limit(0)).collect() == []
+
+
+def test_top_k_of_few_and_of_large_components(spark):
+    rows = [(0, [1e9, 1e9]), (1, [1e9, -1e9]), (2, [3.0, 1e12])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = [(q, n, i, min(s, 2**63 - 1)) for q, n, i, s in top_by_loop(rows)]
+    assert sorted(tuple(x) for x in topk.topk_query(df).collect()) == want
+
+
+# decontamination
+
+
+def leaks_by_loop(texts, items):
+    out = {}
+    for d, t in texts:
+        w = word_hashes(t)
+        for i, item in items:
+            q = word_hashes(item)
+            if not len(w) or not len(q):
+                continue
+            bag, n = Counter(shingles(q).tolist()), min(len(q), len(w))
+            size = min(5, len(q))
+            for a in range(len(w) - n + 1):
+                own = Counter(shingles(w[a : a + n], size).tolist()) if n >= size else Counter()
+                both = sum((own & bag).values())
+                like = both / (sum(own.values()) + sum(bag.values()) - both)
+                if like >= 0.8:
+                    out[d, i] = max(out.get((d, i), 0), like)
+    return out
+
+
+def test_leaks_match_brute_force(spark, monkeypatch):
+    r = random.Random(12)
+    items = [(i, " ".join(words(r, n))) for i, n in enumerate((3, 16, 30, 59, 60, 1))] + [(6, None), (7, ""), (8, "Same Words here twice again now"), (9, "same words, here twice again now!")]
+    texts = []
+    for i, item in items[:6]:
+        w = item.split()
+        for edit in range(4):
+            v = list(w)
+            for _ in range(edit if len(v) > 20 else 0):
+                at = r.randrange(len(v))
+                v[at : at + 1] = r.choice(([], ["new"], [v[at], "more"]))
+            texts.append(" ".join(words(r, r.randint(0, 80)) + [x.upper() + "," for x in v] + words(r, r.randint(0, 50))))
+    texts += [items[2][1][:-30], " ".join(items[3][1].split()[:52]), "", None, " ".join(words(r, 5000)), items[1][1] + " " + items[1][1], "Same words here twice again now"]
+    texts = [(i, t) for i, t in enumerate(texts)] + [(None, items[2][1]), (0, texts[0])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 as item_id", "2 as similarity")
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as doc_id")
+    want = leaks_by_loop(texts, items)
+    for block in (20_000, 3):
+        monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
+        found = decontaminate.decontamination_query(docs, bench).collect()
+        assert {(x.doc_id, x.item_id): pytest.approx(x.similarity) for x in found} == want
+        kept = decontaminate.drop_contaminated(docs, bench)
+        assert kept.columns == docs.columns
+        assert Counter(x.doc_id for x in kept.collect()) == Counter(d for d, t in texts if d not in {k[0] for k in want})
+    assert decontaminate.decontamination_query(docs, bench.limit(0)).collect() == []
+    assert decontaminate.decontamination_query(docs.limit(0), bench).collect() == []
+
+
+def test_blocks_find_every_fingerprint_within_the_radius():
+    r = random.Random(13)
+    items = decontaminate.Items([(i, " ".join(words(r, 20))) for i in range(50)])
+    for _ in range(300):
+        i = r.randrange(50)
+        bits = np.unpackbits(items.prints[i])
+        for b in r.sample(range(64), decontaminate.RADIUS):
+            bits[b] ^= 1
+        assert i in items.within(np.packbits(bits))
+
+
+# WARC
+
+
+def test_archives_hold_what_was_written(spark):
+    rows = [(1, "u1", "<p>a</p>"), (2, "u2", "<p>a</p>"), (0, "u0\r\nX: y", "<p>é</p>"), (3, None, None), (4, "u4", ""), (None, "n", "<p>é</p>"), (9, "u", "x" * 300_000), (9, "u", "x" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as payload", "2 as digest", "3 as row").repartition(3)
+    pages.write.parquet(path := work_path(spark, "test"))
+    pages = spark.read.parquet(path)
+    want = Counter()
+    first = {}
+    for i, _, html in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
+        data = (html or "").encode()
+        sha = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        want[i, len(data), sha, "revisit" if sha in first else "response", first.get(sha)] += 1
+        first.setdefault(sha, i)
+    for split in (64 << 20, 100):
+        assert Counter(tuple(x) for x in warc.warc_query(pages, split).collect()) == want
+    files = warc.write_archives(pages, work_path(spark, "warc"), least_bytes=5, file_bytes=200)
+    assert files.count() > 2
+    records = warc.read_archives(files, 77).collect()
+    assert Counter(r.record_type for r in records) == {"response": 5, "revisit": 3}
+    assert len({r.record_id for r in records}) == len(rows) and {r.uri for r in records if r.page_id == 0} == {"u0%0D%0AX: y"}
+    assert warc.warc_query(pages.limit(0)).collect() == []
+
+
+def test_ranges_own_the_records_that_start_in_them():
+    data, starts = b"", []
+    for i in range(30):
+        body = bytes(random.Random(i).randrange(256) for _ in range(i * 9)) + warc.MAGIC * (i % 3)
+        record = warc.record_bytes("response", i, i, "http://x", body, warc.base32_sha1(body), (i, i), "2024-01-01T00:00:00Z")
+        if i == 17:  # a payload that is an archive itself, kept as it is
+            body = b"".join(zlib.compress(warc.record_bytes("response", 1, 1, "y", b"z", "", (1, 1), "d"), 6, 31) for _ in range(1)) + b"tail"
+            record = warc.record_bytes("response", i, i, "http://x", body, warc.base32_sha1(body), (i, i), "2024-01-01T00:00:00Z")
+        starts.append(len(data))
+        data += zlib.compress(record, 0 if i == 17 else 6, 31)
+    for size in (1, 7, 64, 1000, len(data)):
+        found = [(a, s) for a in range(0, len(data), size) for s, _, _ in warc.records_in(io.BytesIO(data), len(data), a, min(len(data), a + size))]
+        assert [s for _, s in found] == starts and all(a <= s < a + size for a, s in found)
+    assert [s for s, _, _ in warc.records_in(io.BytesIO(data[:-5]), len(data) - 5, 0, len(data) - 5)] == starts[:-1]
+    assert warc.parse_record(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nab\r\n\r\n") is None
+
+
+# mixing
+
+
+def test_mix_meets_weights_budget_and_limit(spark):
+    r = random.Random(14)
+    rows = [(i, " ".join(words(r, r.randint(1, 30))), "en", s, 1) for i, s in enumerate(["big"] * 300 + ["mid"] * 60 + ["low"] * 15 + [None] * 15)]
+    rows += [(900, None, None, "big", 0), (901, "", None, "empty", 0), (None, "a b c", None, "mid", 0), (5, rows[5][1], "en", "big", 1)]
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as copies", "2 as weight", "3 as hash", "4 as tokens")
+    for options in ({}, {"max_repeats": 3.0}, {"budget": 2000}, {"entropy": 1.0}):
+        out, (n, w, c) = mixing.mix_sources(docs, **options)
+        assert out.columns[: len(docs.columns)] == docs.columns and len(set(out.columns)) == len(out.columns)
+        found = [x.asDict() for x in out.collect()]
+        assert len(found) == len(rows)
+        assert all(x[n] == len((x["text"] or "").split()) for x in found)
+        tokens, read, weight = Counter(), Counter(), {}
+        for x in found:
+            tokens[x["source"]] += x[n]
+            read[x["source"]] += x[n] * x[c]
+            weight[x["source"]] = max(weight.get(x["source"], 0), x[w])
+        assert sum(weight.values()) == pytest.approx(1)
+        total = sum(tokens.values())
+        if "budget" in options:
+            size = options["budget"]
+        else:
+            size = max(tokens[s] / weight[s] for s in tokens if tokens[s])
+            assert all(x[c] >= 1 for x in found)
+        if "entropy" in options:
+            assert -sum(v * math.log(v) for v in weight.values() if v) == pytest.approx(1.0, abs=1e-6)
+        else:
+            assert max(weight[s] * size / tokens[s] for s in tokens if tokens[s]) <= options.get("max_repeats", 4) + 1e-6
+        for s in tokens:
+            assert weight[s] * size - 60 <= read[s] <= weight[s] * size + 1e-3, (options, s)
+        a = {s: math.log(weight[s] / weight["big"]) / math.log(tokens[s] / tokens["big"]) for s in tokens if tokens[s] not in (0, tokens["big"])}
+        assert max(a.values()) == pytest.approx(min(a.values())) and 0 <= min(a.values()) <= 1 and total
+    plan = mixing.schedule(spark.createDataFrame([(1, "x", 2), (2, "y", 0)], "doc_id long, text string, copies int"))
+    assert [(x.doc_id, x.epoch) for x in plan.orderBy("epoch").collect()] == [(1, 1), (1, 2)]
+    assert mixing.mixing_query(docs.limit(0)).collect() == []
+
+
+def test_bisection_uses_spark_for_many_sources(spark, monkeypatch):
+    totals = spark.createDataFrame([(t,) for t in (1000, 500, 20, 3)], "tokens long")
+    near = mixing.Shares.of(totals)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
+    far = mixing.Shares.of(totals)
+    for a in (0.0, 0.4, 1.0):
+        assert near.power_sum(a) == pytest.approx(far.power_sum(a)) and near.entropy(a) == pytest.approx(far.entropy(a))
+
+
+# near duplicates
+
+
+def groups_by_loop(texts):
+    bags = [neardup.weighted_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    inverted = defaultdict(set)
+    for i, b in enumerate(bags):
+        near = set().union(*(inverted[s] for s in b[0].tolist())) if len(b[0]) else set()
+        for j in near:
+            if neardup.similarity(b, bags[j]) >= 0.8:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+        for s in b[0].tolist():
+            inverted[s].add(i)
+    return [find(i) for i in range(len(texts))]
+
+
+def near_texts():
+    r = random.Random(15)
+    base = [words(r, r.randint(5, 200)) for _ in range(15)]
+    texts = [" ".join(b) for b in base]
+    for b in base:
+        for edits in (0, 1, 1, 2, 4, 8):
+            v = list(b)
+            for _ in range(edits):
+                v[r.randrange(len(v))] = f"new{r.randint(0, 999)}"
+            texts.append(" ".join(v))
+    hub = words(r, 120)
+    for i in range(25):  # all near the hub, not all near each other
+        v = list(hub)
+        v[4 * i % 115] = f"edit{i}"
+        v[(4 * i + 50) % 115] = f"edit{i}"
+        texts.append(" ".join(v))
+    line = "the very same line again and again"
+    texts += [" ".join([line] * n) for n in (1, 2, 9, 10)] + ["one two", "one two", "One, TWO!", "one", "", "", None, "?!", " ".join(words(r, 20_000))]
+    return texts
+
+
+def test_near_groups_match_brute_force(spark):
+    texts = near_texts()
+    df = docs_of(spark, texts).selectExpr("*", "1 as row", "2 as kept", "'z' as `_row`").coalesce(1)
+    found = {x.doc_id: x for x in neardup.neardup_query(df).collect()}
+    want = groups_by_loop(texts)
+    assert [found[i].class_id for i in range(len(texts))] == want
+    assert [found[i].kept for i in range(len(texts))] == [i == g for i, g in enumerate(want)]
+    kept = neardup.keep_first(df)
+    assert kept.columns == df.columns and sorted(x.doc_id for x in kept.collect()) == sorted(set(want))
+    assert neardup.neardup_query(df.limit(0)).collect() == [] and neardup.keep_first(df.limit(0)).collect() == []
+
+
+def test_repeated_rows_and_null_ids(spark):
+    df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (None, None)], "doc_id long, text string").coalesce(1)
+    rows = neardup.neardup_query(df).collect()
+    assert sorted((x.kept, x.doc_id is None) for x in rows) == [(False, False), (False, False), (True, True), (True, True)]
+
+
+def test_signature_agreement_estimates_weighted_similarity():
+    r = np.random.default_rng(1)
+    values = np.sort(r.integers(0, 2**63, 700).astype(np.uint64))
+    for share in (0.3, 0.6, 0.8):
+        a = (values[:300], r.integers(1, 4, 300))
+        at = int(300 * (1 - share))
+        b = (values[at : at + 300], np.concatenate((a[1][at:], r.integers(1, 4, at))))
+        s = neardup.signatures([a, b], 4096)
+        assert abs((s[0] == s[1]).mean() - neardup.similarity(a, b)) < 0.035
+    alone = neardup.signatures([(values[:1], np.array([1]))])
+    assert (alone == neardup.signatures([(values[:300], np.ones(300, int)), (values[:1], np.array([1]))])[1]).all() and (alone != 0).all()
+
+
+def test_signatures_do_not_depend_on_blocks(monkeypatch):
+    bags = [neardup.weighted_shingles(" ".join(words(random.Random(i), 50 * i + 5))) for i in range(6)]
+    whole = neardup.signatures(bags)
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    assert (neardup.signatures(bags) == whole).all()
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    r = random.Random(16)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(200, 260)] + [(7, 7), (9, 8), (8, 9), (9, 8)] + [(r.randint(300, 360), r.randint(300, 360)) for _ in range(40)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    found = dict(tuple(x) for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert found == {x: find(x) for x in root if find(x) != x}
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+# pipeline
+
+
+def test_pipeline_on_planted_cases(spark, tmp_path):
+    r = random.Random(17)
+    bad = "idiot moron scum clown".split()
+    rows, labels = [], []
+    for i in range(200):
+        t = words(r, 60)
+        if i % 5 == 0:
+            t[10:10] = r.sample(bad, 3)
+        rows.append((i, " ".join(t), "en", f"s{i % 2}", 1))
+        labels.append((i, 1, int(i % 5 == 0)))
+    leak = " ".join(words(r, 30))
+    rows += [(300, rows[1][1], "en", "s1", 1), (301, rows[2][1] + " end", "en", "s1", 1), (302, f"{rows[3][1][:80]} {leak} {' '.join(words(r, 40))}", "en", "s0", 1)]
+    rows += [(303, " ".join(words(r, 30)) + " password=hunter2secret " + " ".join(words(r, 30)), "en", "s0", 1), (304, None, None, None, None), (305, "", "en", "s0", 0)]
+    docs = spark.createDataFrame([(*x, "more") for x in rows], DOCS + ", copies string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    found = {x.doc_id: x for x in out.collect()}
+    assert set(found) == ({i for i in range(200) if i % 5} | {303, 304, 305})
+    assert "hunter2secret" not in found[303].text and "[SECRET]" in found[303].text
+    assert out.columns[:6] == docs.columns and all(x[8] >= 1 for x in found.values())
+    text = {x[0]: x[1] for x in rows}
+    assert all(x.text == text[i] for i, x in found.items() if i != 303)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "mixing"]
+
+
+def test_stages_take_empty_tables(spark, tmp_path):
+    docs = docs_of(spark, ["x"])
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
