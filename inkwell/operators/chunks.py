@@ -8,10 +8,12 @@ Rules (sizes in characters, four per token):
 
 1. A window takes at most ``budget`` characters and ends after its last ``.``, ``?``,
    ``!`` or newline, if that lies beyond ``min_chars``. Without one it is a full window.
-2. Blank windows are skipped and do not count; the first ``max_chunks`` others become chunks.
-3. Chunks are trimmed; those not longer than ``min_len`` are left out.
-4. All text after the last counted window becomes one closing chunk on a single line
-   (``overflow``), so the maximum bounds the number of chunks but loses no text.
+2. Blank windows are skipped; every other one, trimmed, is a chunk.
+
+So no text is lost, no chunk is longer than the budget, and texts of all sizes follow the
+same rule. Two options of the caller, both off by default, change that: ``min_len`` leaves
+out chunks not longer than it (:func:`left_out` counts what goes), and ``max_chunks`` puts
+all text after that many chunks into one closing chunk on a single line (``overflow``).
 
 Windows concatenate to exactly the input text.
 """
@@ -31,8 +33,8 @@ TERMINATORS = ".?!\n"
 class ChunkParams(NamedTuple):
     budget: int
     min_chars: int
-    min_len: int
-    max_chunks: int
+    min_len: int = 0
+    max_chunks: int | None = None
 
 
 class _Rule(NamedTuple):
@@ -50,7 +52,10 @@ LARGE_RULE = _Rule(bytes_per_token=8, low=500, high=1000, least_min=50, least_le
 
 
 def rule_columns(chunk_size: Column, large: Column) -> dict[str, Column]:
-    """tokens, min_chars, min_len, max_chunks as columns; all divisions are integer."""
+    """tokens, min_chars, min_len, max_chunks as columns; all divisions are integer.
+
+    The last two are what a caller may pass as options; :func:`params_for` leaves them off.
+    """
 
     def pick(field: str) -> Column:
         return F.when(large, F.lit(getattr(LARGE_RULE, field))).otherwise(F.lit(getattr(NORMAL_RULE, field)))
@@ -67,12 +72,11 @@ def rule_columns(chunk_size: Column, large: Column) -> dict[str, Column]:
     }
 
 
-def params_for(chunk_size: int, large: bool = False) -> ChunkParams:
-    rule = LARGE_RULE if large else NORMAL_RULE
-    tokens = max(rule.low, min(rule.high, chunk_size // rule.bytes_per_token))
-    return ChunkParams(
-        tokens * CHARS_PER_TOKEN, max(rule.least_min, tokens // 10), max(rule.least_len, tokens // 50), rule.max_chunks
-    )
+def params_for(chunk_size: int, rule: str = "normal") -> ChunkParams:
+    """Window sizes by a rule that the caller names (``normal`` or ``large``)."""
+    r = {"normal": NORMAL_RULE, "large": LARGE_RULE}[rule]
+    tokens = max(r.low, min(r.high, chunk_size // r.bytes_per_token))
+    return ChunkParams(tokens * CHARS_PER_TOKEN, max(r.least_min, tokens // 10))
 
 
 def _windows(text: Column, p: ChunkParams, terminators: str) -> Column:
@@ -108,15 +112,22 @@ def split_text(text: Column, p: ChunkParams, terminators: str = TERMINATORS) ->
 
 
 def _assemble(s: Column, p: ChunkParams) -> Column:
-    counted = F.slice(s["filled"], 1, p.max_chunks)
+    counted = s["filled"] if p.max_chunks is None else F.slice(s["filled"], 1, p.max_chunks)
     chunks = F.transform(counted, lambda x: F.struct(_trim(x["w"]).alias("text"), F.lit(False).alias("overflow")))
-    kept = F.filter(chunks, lambda c: F.length(c["text"]) > p.min_len)
-    over = F.size(s["filled"]) > p.max_chunks
-    last = F.try_element_at(s["filled"], F.lit(p.max_chunks))["i"]
-    rest = F.array_join(F.transform(F.filter(s["all"], lambda x: x["i"] > last), lambda x: x["w"]), "")
-    tail = F.struct(_trim(F.translate(rest, "\n", " ")).alias("text"), F.lit(True).alias("overflow"))
-    closing = F.filter(F.array(tail), lambda c: F.length(c["text"]) > p.min_len)
-    return F.when(over, F.concat(kept, closing)).otherwise(kept)
+    if p.max_chunks is not None:
+        over = F.size(s["filled"]) > p.max_chunks
+        last = F.try_element_at(s["filled"], F.lit(p.max_chunks))["i"]
+        rest = F.array_join(F.transform(F.filter(s["all"], lambda x: x["i"] > last), lambda x: x["w"]), "")
+        tail = F.struct(_trim(F.translate(rest, "\n", " ")).alias("text"), F.lit(True).alias("overflow"))
+        closing = F.filter(F.array(tail), lambda c: F.length(c["text"]) > 0)
+        chunks = F.when(over, F.concat(chunks, closing)).otherwise(chunks)
+    return F.filter(chunks, lambda c: F.length(c["text"]) > p.min_len) if p.min_len else chunks
+
+
+def left_out(text: Column, p: ChunkParams) -> Column:
+    """Characters of the trimmed chunks that ``min_len`` leaves out of one text."""
+    short = F.filter(split_text(text, p._replace(min_len=0)), lambda c: F.length(c["text"]) <= p.min_len)
+    return F.aggregate(short, F.lit(0).cast("long"), lambda n, c: n + F.length(c["text"]))
 
 
 def split_pages(pages: Column, p: ChunkParams, terminators: str = TERMINATORS) -> Column:
@@ -136,15 +147,6 @@ def chunk_text(df: DataFrame, pages: str, p: ChunkParams, keep: list[str], termi
     return _emit(df.select(*keep, split_pages(F.col(pages), p, terminators).alias("_c")), keep)
 
 
-def chunk_by_size(df: DataFrame, pages: str, length: str, chunk_size: int, keep: list[str],
-                  threshold: int = 50 * 1024 * 1024) -> DataFrame:
-    """Chunk with the parameters of each row's size class, in one pass over the rows."""
-    by_class = F.when(F.col(length) > threshold, split_pages(F.col(pages), params_for(chunk_size, True))).otherwise(
-        split_pages(F.col(pages), params_for(chunk_size, False))
-    )
-    return _emit(df.select(*keep, by_class.alias("_c")), keep)
-
-
 def _emit(arrays: DataFrame, keep: list[str]) -> DataFrame:
     # the outer generator: a plain one would add a size filter below the projection
     # and split every text twice

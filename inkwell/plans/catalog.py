@@ -23,7 +23,7 @@ QUERIES: dict[str, Query] = {}
 
 # thresholds scaled to the sizes in the given tables, so that every class occurs
 SMALL_THRESHOLD = 8192
-CHUNKING = C.ChunkParams(budget=2000, min_chars=200, min_len=40, max_chunks=8)
+CHUNKING = C.ChunkParams(budget=2000, min_chars=200)
 ALIVE_S, DEGRADED_S, STALE_S = 6 * 3600, 12 * 3600, 4 * 3600
 
 
@@ -237,10 +237,28 @@ def chunk_text(spark, sf):
 
 @query
 def chunk_text_large(spark, sf):
-    docs = FX.texts(spark, sf, "documents", "doc_id", "text").select(
-        "doc_id", F.octet_length("text").cast("long").alias("length"), F.array("text").alias("pages")
+    """The rule for large files, named by the caller, over all texts."""
+    return _document_chunks(spark, sf, C.params_for(L.CHUNK_SIZE, "large"))
+
+
+@query
+def chunk_capped(spark, sf):
+    """Both options of the caller: short chunks left out and counted, the rest after the cap in one chunk."""
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text")
+    p = C.ChunkParams(budget=2000, min_chars=200, min_len=40, max_chunks=8)
+    return docs.select("doc_id", F.size(C.split_text(F.col("text"), p)).alias("n_chunks"), C.left_out(F.col("text"), p).alias("left_out"))
+
+
+@query
+def chunk_loss(spark, sf):
+    """Non-blank characters in and out of the chunker, and the longest chunk, per document."""
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text")
+    solid = lambda c: F.length(F.regexp_replace(c, TX.CONTROL_AND_SPACE, "")).cast("long")
+    rows = docs.where(~TX.is_blank_trimmed(F.col("text"))).select("doc_id", solid(F.col("text")).alias("n_in"), C.split_text(F.col("text"), CHUNKING).alias("c"))
+    return rows.select(
+        "doc_id", "n_in", F.aggregate("c", F.lit(0).cast("long"), lambda n, c: n + solid(c["text"])).alias("n_out"),
+        (F.array_max(F.transform("c", lambda c: F.length(c["text"]))) <= CHUNKING.budget).alias("within_budget"),
     )
-    return C.chunk_by_size(docs, "pages", "length", L.CHUNK_SIZE, ["doc_id"], SMALL_THRESHOLD)
 
 
 @query

@@ -215,7 +215,7 @@ chunks AS (
 
 DOC_CHUNKS = "WITH RECURSIVE " + chunks_sql(
     "budget", "min_chars", "min_len", "max_chunks",
-    "SELECT doc_id, text, 2000 AS budget, 200 AS min_chars, 40 AS min_len, 8 AS max_chunks FROM documents",
+    "SELECT doc_id, text, 2000 AS budget, 200 AS min_chars, 0 AS min_len, 1000000000 AS max_chunks FROM documents",
 )
 
 # -- sources ---------------------------------------------------------------
@@ -311,15 +311,22 @@ ORACLES["chunk_text"] = f"{DOC_CHUNKS} SELECT * FROM chunks"
 
 ORACLES["chunk_text_large"] = (
     "WITH RECURSIVE "
-    + chunks_sql(
-        "budget", "min_chars", "min_len", "max_chunks",
-        """SELECT doc_id, text, CASE WHEN strlen(text) > 8192 THEN 4000 ELSE 8000 END AS budget,
-           CASE WHEN strlen(text) > 8192 THEN 100 ELSE 200 END AS min_chars, CASE WHEN strlen(text) > 8192 THEN 20 ELSE 40 END AS min_len,
-           CASE WHEN strlen(text) > 8192 THEN 500 ELSE 1000 END AS max_chunks FROM documents""",
-    )
+    + chunks_sql("budget", "min_chars", "min_len", "max_chunks", "SELECT doc_id, text, 4000 AS budget, 100 AS min_chars, 0 AS min_len, 1000000000 AS max_chunks FROM documents")
     + " SELECT * FROM chunks"
 )
 
+ORACLES["chunk_capped"] = (
+    "WITH RECURSIVE "
+    + chunks_sql("budget", "min_chars", "min_len", "max_chunks", "SELECT doc_id, text, 2000 AS budget, 200 AS min_chars, 40 AS min_len, 8 AS max_chunks FROM documents")
+    + """ SELECT doc_id, CAST(count(*) FILTER (length(p.text) > 40) AS INTEGER) AS n_chunks,
+       CAST(coalesce(sum(length(p.text)) FILTER (length(p.text) <= 40), 0) AS BIGINT) AS left_out
+FROM documents d LEFT JOIN pieces p USING (doc_id) GROUP BY doc_id"""
+)
+
+ORACLES["chunk_loss"] = f"""SELECT doc_id, length(regexp_replace(text, '[\\x00-\\x20]', '', 'g')) AS n_in,
+       length(regexp_replace(text, '[\\x00-\\x20]', '', 'g')) AS n_out, true AS within_budget
+FROM documents WHERE NOT {BLANK.format('text')}"""
+
 ORACLES["chunk_report"] = f"""{DOC_CHUNKS}
 SELECT d.doc_id, coalesce(string_agg('=== CHUNK ' || chunk_no || ' OF ' || n_chunks || ' ===' || chr(10) || c.text || chr(10) || chr(10), '' ORDER BY chunk_no), '') AS report
 FROM documents d LEFT JOIN chunks c USING (doc_id) GROUP BY d.doc_id"""
@@ -361,7 +368,7 @@ SELECT msg_id, dedupe, outcome, CASE outcome WHEN 'COMPLETED' THEN 'processed' W
 ORACLES["stream_extract"] = f"SELECT msg_id, dedupe, outcome, mime, text_length FROM ({ORACLES['route_outcome']})"
 
 CHUNK_SOURCE = f"""SELECT r.msg_id AS doc_id, CASE WHEN t.mime = 'text/html' THEN {html_sql('t.body')} ELSE t.body END AS text,
-  2000 AS budget, 200 AS min_chars, 40 AS min_len, 8 AS max_chunks
+  2000 AS budget, 200 AS min_chars, 0 AS min_len, 1000000000 AS max_chunks
 FROM (SELECT * FROM store_refs WHERE type = 'HDFS' QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrived_at, msg_id) = 1) r
 JOIN texts t ON 'http://namenode:9870/webhdfs/v1' || t.path = r.url WHERE t.failure IS NULL"""
 ORACLES["chunk_refs"] = (

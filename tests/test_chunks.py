@@ -13,7 +13,7 @@ BLANK = "".join(chr(i) for i in range(0x21))
 def brute(text, p):
     """The rules, one window at a time."""
     chunks, counted = [], 0
-    while text and counted < p.max_chunks:
+    while text and (p.max_chunks is None or counted < p.max_chunks):
         window = text[: p.budget]
         if not window.strip(BLANK):
             text = text[len(window):]
@@ -38,7 +38,7 @@ def texts():
 
 
 @pytest.mark.parametrize(
-    "p", [C.ChunkParams(20, 4, 0, 1000), C.ChunkParams(20, 4, 3, 3), C.ChunkParams(7, 6, 1, 5), C.ChunkParams(50, 10, 2, 1)]
+    "p", [C.ChunkParams(20, 4), C.ChunkParams(20, 4, 0, 1000), C.ChunkParams(20, 4, 3, 3), C.ChunkParams(7, 6, 1, 5), C.ChunkParams(50, 10, 2, 1)]
 )
 def test_matches_sequential_splitter(spark, p):
     docs = spark.createDataFrame(list(enumerate(texts())), "doc int, text string")
@@ -73,22 +73,40 @@ def test_report_and_rejoin(spark):
 
 
 @pytest.mark.parametrize(
-    "size,large,want",
+    "size,rule,want",
     [
-        (0, False, (4000, 100, 20, 1000)), (3999, False, (4000, 100, 20, 1000)), (4000, False, (4000, 100, 20, 1000)),
-        (8000, False, (8000, 200, 40, 1000)), (8001, False, (8000, 200, 40, 1000)), (262144, False, (8000, 200, 40, 1000)),
-        (262144, True, (4000, 100, 20, 500)), (0, True, (2000, 50, 10, 500)),
+        (0, "normal", (4000, 100)), (3999, "normal", (4000, 100)), (4000, "normal", (4000, 100)), (8000, "normal", (8000, 200)),
+        (8001, "normal", (8000, 200)), (262144, "normal", (8000, 200)), (262144, "large", (4000, 100)), (0, "large", (2000, 50)),
     ],
 )
-def test_params(size, large, want):
-    assert tuple(C.params_for(size, large)) == want
+def test_params(size, rule, want):
+    assert tuple(C.params_for(size, rule)) == (*want, 0, None)
 
 
 def test_rule_columns_agree_with_params(spark):
     df = spark.createDataFrame([(s, b) for s in (0, 3999, 4000, 6001, 262144) for b in (True, False)], "s int, big boolean")
     for r in df.select("s", "big", *[e.alias(n) for n, e in C.rule_columns(F.col("s"), F.col("big")).items()]).collect():
-        p = C.params_for(r.s, r.big)
-        assert (r.tokens * 4, r.min_chars, r.min_len, r.max_chunks) == tuple(p)
+        p = C.params_for(r.s, "large" if r.big else "normal")
+        assert (r.tokens * 4, r.min_chars) == (p.budget, p.min_chars)
+        assert (r.min_len, r.max_chunks) == (max(10 if r.big else 20, r.tokens // 50), 500 if r.big else 1000)
+
+
+def test_nothing_is_lost_and_budget_holds(spark):
+    """Short texts, short pieces and texts of very many windows; one more byte changes nothing before it."""
+    p = C.ChunkParams(20, 4)
+    samples = [t for t in texts() if t] + ["tiny", "a. b", "word. " * 3000]
+    docs = spark.createDataFrame(list(enumerate(samples)), "doc int, text string")
+    for r in docs.select("doc", C.split_text(F.col("text"), p).alias("c")).collect():
+        solid = lambda t: "".join(ch for ch in t if ch not in BLANK)
+        assert solid("".join(c.text for c in r.c)) == solid(samples[r.doc])
+        assert all(0 < len(c.text) <= p.budget and not c.overflow for c in r.c)
+
+
+def test_left_out_is_counted(spark):
+    p = C.ChunkParams(20, 4, 6, 3)
+    docs = spark.createDataFrame([(t,) for t in texts()], "text string")
+    for r in docs.select("text", C.left_out(F.col("text"), p).alias("n")).collect():
+        assert r.n == sum(len(t) for t, _ in brute(r.text or "", p._replace(min_len=0)) if len(t) <= 6)
 
 
 def test_text_is_split_once_and_never_shuffled(spark):
@@ -99,23 +117,11 @@ def test_text_is_split_once_and_never_shuffled(spark):
 
 def test_long_document(spark):
     text = ("word " * 40 + ". ") * 20000
-    p = C.params_for(262144, True)
-    df = spark.createDataFrame([(text,)], "t string").select(F.explode(C.split_text(F.col("t"), p)).alias("c")).select("c.*")
-    rows = df.collect()
-    assert len(rows) == 501 and rows[-1].overflow
-    assert [(r.text, r.overflow) for r in rows] == brute(text, p)
-
-
-def test_sql_table_function_agrees(spark):
-    from inkwell.functions.udtf import register
-
-    register(spark)
-    p = C.ChunkParams(20, 4, 1, 6)
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts()) if t], "doc int, text string")
-    docs.createOrReplaceTempView("udtf_docs")
-    got = spark.sql(f"SELECT d.doc, c.chunk_no, c.text, c.overflow FROM udtf_docs d, LATERAL split_text(d.text, {p.budget}, {p.min_chars}, {p.min_len}, {p.max_chunks}) c")
-    want = C.chunk_text(docs.withColumn("pages", F.array("text")), "pages", p, ["doc"]).select("doc", "chunk_no", "text", "overflow")
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 100
+    for p in (C.params_for(262144, "large"), C.params_for(262144, "large")._replace(max_chunks=500)):
+        df = spark.createDataFrame([(text,)], "t string").select(F.explode(C.split_text(F.col("t"), p)).alias("c")).select("c.*")
+        rows = df.collect()
+        assert [(r.text, r.overflow) for r in rows] == brute(text, p)
+        assert len(rows) == 501 if p.max_chunks else len(rows) > 1000 and max(len(r.text) for r in rows) <= p.budget
 
 
 def test_chunks_from_bytes(spark):
@@ -124,5 +130,4 @@ def test_chunks_from_bytes(spark):
 
     files = spark.createDataFrame([("a.txt", bytearray(b"one. two. three.")), ("b.bin", bytearray(b"\xff"))], "filename string, content binary")
     rows = C.chunk_text(X.extract_text(files, readers={}), "pages", C.ChunkParams(6, 2, 1, 10), ["filename"]).collect()
-    assert [(r.filename, r.text) for r in rows] == [("a.txt", "one."), ("a.txt", "two."), ("a.txt", "three"), ("a.txt", ".")][:len(rows)]
-    assert len(rows) == 3
+    assert [(r.filename, r.text) for r in rows] == [("a.txt", "one."), ("a.txt", "two."), ("a.txt", "three")]  # the option leaves out "."
