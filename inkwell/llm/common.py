@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from inkwell.session import shared_dir
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -22,9 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Long texts: at most so many rows per Arrow batch, so a worker's memory stays bounded."""
+    """Long texts: at most so many rows and bytes per Arrow batch, so a worker's memory stays bounded."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def work_path(spark: SparkSession, name: str) -> str:
