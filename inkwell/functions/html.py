@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
-# Elements that break lines, elements whose content is not text (besides head), entities.
+# Elements that break lines, elements whose content is not text (besides head).
 BLOCKS = (
     "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|html"
     "|li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|tr|ul"
 )
 UNSEEN = ("script", "style")
-ENTITIES = {
-    "nbsp": " ",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "copy": "©",
-    "reg": "®",
-    "middot": "·",
-    "hellip": "…",
-    "ndash": "–",
-    "mdash": "—",
-    "amp": "&",
-}
+# the frequent ones first, because a map literal is searched in order; "nbsp" reads as a blank
+COMMON = ("amp", "lt", "gt", "quot", "nbsp", "apos", "copy", "reg", "middot", "hellip", "ndash", "mdash")
+ENTITIES = {n: html5[f"{n};"] for n in COMMON} | {n[:-1]: c for n, c in html5.items() if n.endswith(";")} | {"nbsp": " "}
 
 # comments, unseen elements with their content, and all tags that do not break lines;
 # every alternative begins at "<", so other characters are skipped at once. An unclosed
@@ -47,9 +38,9 @@ def decode_entities(text: Column) -> Column:
     def decoded(piece: Column) -> Column:
         name = F.substring_index(piece, ";", 1)
         code = F.when(
-            name.rlike(r"\A#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6})\z"),
-            F.when(F.substring(name, 2, 1).isin("x", "X"), F.conv(F.substring(name, 3, 6), 16, 10))
-            .otherwise(F.substring(name, 2, 7))
+            name.rlike(r"\A#(?:0*[0-9]{1,7}|[xX]0*[0-9a-fA-F]{1,6})\z"),
+            F.when(F.substring(name, 2, 1).isin("x", "X"), F.conv(F.substring(name, 3, F.length(name)), 16, 10))
+            .otherwise(F.substring(name, 2, F.length(name)))
             .cast("int"),
         )
         in_range = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))

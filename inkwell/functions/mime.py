@@ -35,6 +35,8 @@ PLAIN_TYPES = (
     "text/plain", "text/csv", "text/tab-separated-values", "text/markdown",
     "application/json", "application/xml",
 )
+# white space, byte order mark, prolog and comments of any length may come first
+HTML_START = r"(?is)\A\x{FEFF}?\s*+(?:<\?xml.*?\?>\s*+|<!--.*?-->\s*+)*+<(?:!doctype\s|html[\s>])"
 HTML_TYPES = ("text/html", "application/xhtml+xml")
 
 
@@ -55,12 +57,12 @@ def mime_from_name(name: Column) -> Column:
 def mime_from_bytes(content: Column) -> Column:
     """Content type by leading bytes; any other valid UTF-8 counts as plain text."""
     head = F.hex(F.substring(content, 1, 5))
-    start = F.lower(F.regexp_extract(F.substring(content, 1, 64).cast("string"), r"\A\s*<(!?[a-zA-Z]+)", 1))
+    page = content.cast("string").rlike(HTML_START)
     return (
         F.when(head.startswith("255044462D"), F.lit("application/pdf"))
         .when(head.startswith("504B0304"), F.lit("application/zip"))
         .when(head.startswith("7B5C727466"), F.lit("application/rtf"))
-        .when(start.isin("!doctype", "html"), F.lit("text/html"))
+        .when(page, F.lit("text/html"))
         .when(F.is_valid_utf8(content.cast("string")), F.lit("text/plain"))
     )
 

@@ -65,12 +65,12 @@ def local_output_path(output_dir: str, filename: Column) -> Column:
 def storage_path(url: Column) -> Column:
     """Hadoop path of a REST storage URL (``http://host:port/webhdfs/v1/p`` -> ``/p``).
 
-    Other schemes keep their URL. The query string never belongs to the path.
+    Other schemes keep their URL. The query string never belongs to the path. Only
+    percent escapes are decoded: in a path ``+`` is a plus sign. NULL if undecodable.
     """
     plain = F.substring_index(url, "?", 1)
-    return F.try_url_decode(
-        F.when(
-            F.contains(plain, F.lit(STORE_MARKER)),
-            F.concat(F.lit("/"), F.substring(plain, F.locate(STORE_MARKER, plain) + F.lit(len(STORE_MARKER)), F.length(plain))),
-        ).otherwise(plain)
-    )
+    path = F.when(
+        F.contains(plain, F.lit(STORE_MARKER)),
+        F.concat(F.lit("/"), F.substring(plain, F.locate(STORE_MARKER, plain) + F.lit(len(STORE_MARKER)), F.length(plain))),
+    ).otherwise(plain)
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))

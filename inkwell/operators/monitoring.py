@@ -28,12 +28,18 @@ def parse_metrics(df: DataFrame, value: str = "value") -> DataFrame:
     bad = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull()
     return out.select(
         *keep,
-        *[F.when(~bad, F.col(f"_m.{f.name}")).alias(f.name) for f in schemas.METRICS.fields],
+        *[F.when(~bad, _with_tags(F.col("_m.meta")) if f.name == "meta" else F.col(f"_m.{f.name}")).alias(f.name) for f in schemas.METRICS.fields],
         S.message_time(F.col("_m.timestamp")).alias("ts"),
         bad.alias("malformed"),
     )
 
 
+def _with_tags(meta: Column) -> Column:
+    """Absent tags are an empty map."""
+    none = F.create_map().cast("map<string,string>")
+    return F.when(meta.isNotNull(), meta.withField("tags", F.coalesce(meta["tags"], none)))
+
+
 def validate_metrics(parsed: DataFrame, required: tuple[str, ...] = REQUIRED_FULL) -> DataFrame:
     """Add ``violations``, the names of missing fields and of values outside the vocabularies."""
     checks = [F.when(F.col(n).isNull(), F.lit(f"missing:{n}")) for n in required]

@@ -8,20 +8,34 @@ from inkwell.functions import text as TX, urls as U
 from inkwell.operators.skew import attach_by_key
 
 
+FETCH_ERRORS = ("NOT_FOUND", "TOO_LARGE")
+
+
 def outcome_of(reject: Column, dedupe: Column, fetched: Column, failure: Column, text: Column,
-               unicode_blank: bool = False) -> Column:
-    """First applicable outcome in processing order."""
+               unicode_blank: bool = False, fetch_error: Column | None = None) -> Column:
+    """First applicable outcome in processing order.
+
+    ``fetch_error`` tells why bytes are missing: NOT_FOUND, TOO_LARGE, or else the text of
+    a READ_ERROR. Without it they were not found.
+    """
     blank = TX.is_blank_unicode(text) if unicode_blank else TX.is_blank_trimmed(text)
     return (
         F.when(reject.isNotNull(), reject)
         .when(dedupe == "DUPLICATE", F.lit("DUPLICATE"))
-        .when(~fetched, F.lit("NOT_FOUND"))
+        .when(~fetched, _missing(fetch_error))
         .when(failure.isNotNull(), failure)
         .when(blank, F.lit("BLANK"))
         .otherwise(F.lit("COMPLETED"))
     )
 
 
+def _missing(fetch_error: Column | None) -> Column:
+    if fetch_error is None:
+        return F.lit("NOT_FOUND")
+    known = F.coalesce(fetch_error, F.lit("NOT_FOUND"))
+    return F.when(known.isin(*FETCH_ERRORS), known).otherwise(F.lit("READ_ERROR"))
+
+
 def route(outcome: Column) -> Column:
     """Destination folder: completed inputs are processed, all others are errors.
 
@@ -34,7 +48,7 @@ def route(outcome: Column) -> Column:
     )
 
 
-def settle_copies(copies: DataFrame, firsts: DataFrame, id_col: str = "msg_id") -> DataFrame:
+def settle_copies(copies: DataFrame, firsts: DataFrame) -> DataFrame:
     """Outcome of further copies of a message, from the outcome of its first copy.
 
     A copy counts as duplicate only if the first one completed (in this batch or
@@ -42,7 +56,7 @@ def settle_copies(copies: DataFrame, firsts: DataFrame, id_col: str = "msg_id")
     """
     failed = firsts.where(F.col("outcome") != "COMPLETED").select("url_key", F.col("outcome").alias("_failed"))
     return (
-        attach_by_key(copies, failed, "url_key", id_col)
+        attach_by_key(copies, failed, "url_key")
         .withColumn("outcome", F.coalesce("_failed", F.lit("DUPLICATE")))
         .drop("_failed")
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+STEP = "CAST(10000000000000000000 AS DECIMAL(20,0))"  # above any row number
+
 
 def ledger_keys(ledger: DataFrame) -> DataFrame:
     """URL keys that count as done: the latest marker of the key is COMPLETED.
@@ -19,36 +21,34 @@ def ledger_keys(ledger: DataFrame) -> DataFrame:
     return latest.where(F.col("_m") % 2 == 0).select("url_key")
 
 
-def drop_repeats(messages: DataFrame, within: str = "1 hour", time: str = "arrived_at", key: str = "url") -> DataFrame:
-    """Streaming only: forget repeated keys seen within a time span, with bounded state.
-
-    The ledger join of :func:`dedupe_refs` is exact over all history. This is the
-    cheaper first filter for sources that deliver the same message twice in a row.
-    """
-    return messages.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
-
-
-def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, id_col: str = "msg_id",
-                order: tuple[str, ...] = ("arrived_at", "msg_id")) -> DataFrame:
+def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, time: str = "arrived_at") -> DataFrame:
     """Add ``dedupe``: REJECTED, FIRST or DUPLICATE. No row is dropped.
 
-    Only (url_key, first arrival) pairs are shuffled by key, after map-side
-    combining, so copies of one URL never meet in one task. The flag goes back to
-    the messages by message id, which must be unique and is therefore balanced.
+    The first arrival of a URL is FIRST, equal times go by place in the input. Message
+    ids of the source are not looked at, so missing and repeated ones do no harm: rows
+    get numbers of their own. ``refs`` is read twice and must not change in between (a
+    table or scan with row-wise expressions on it).
+
+    Only (url_key, first arrival) pairs are shuffled by key, after map-side combining,
+    so copies of one URL never meet in one task; time and number are packed into one
+    decimal to be combined by hashing. The flag goes back by row number.
     """
+    numbered = refs.withColumn("_row", F.monotonically_increasing_id())
+    at = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(2**62)).cast("decimal(19,0)")
+    packed = (at * F.expr(STEP) + F.col("_row")).cast("decimal(38,0)")
     first = (
-        refs.where(F.col("reject").isNull())
+        numbered.where(F.col("reject").isNull())
         .groupBy("url_key")
-        .agg(F.min(F.struct(*order, F.col(id_col).alias("_id"))).alias("_f"))
-        .select("url_key", F.col("_f._id").alias(id_col))
+        .agg(F.min(packed).alias("_f"))
+        .select("url_key", (F.col("_f") % F.expr(STEP)).cast("long").alias("_row"))
     )
     if done is not None:
         # keys of the batch prune the ledger side before the anti join
         seen = done.join(first.select("url_key"), "url_key", "left_semi")
         first = first.join(seen, "url_key", "left_anti")
-    flags = first.select(id_col, F.lit(True).alias("_first"))
+    flags = first.select("_row", F.lit(True).alias("_first"))
     return (
-        refs.join(flags, id_col, "left")
+        numbered.join(flags, "_row", "left")
         .withColumn(
             "dedupe",
             F.when(F.col("reject").isNotNull(), F.lit("REJECTED"))

@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-HOT_KEYS = 1024
-SPREAD = 4096
+from inkwell.session import configure
 
 
-def attach_by_key(rows: DataFrame, lookup: DataFrame, key: str, spread_on: str) -> DataFrame:
+def attach_by_key(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join ``rows`` to ``lookup`` (at most one row per key) without a hot task.
 
-    The 1024 most frequent keys of ``rows`` are looked up through a broadcast of at
-    most 1024 rows. Any other key owns at most 1/1024 of the rows, so it can safely
-    take the shuffle join; hot rows pass through that join spread over
-    ``spread_on``, where they match nothing and keep their broadcast values.
+    A plain shuffle join: since ``lookup`` has one row per key, the adaptive planner can
+    cut the partition of a frequent (or missing) key into pieces of any number and give
+    each of them that one row. No key list, count or bound is involved.
     """
-    values = [c for c in lookup.columns if c != key]
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).count()
-    hottest = counts.orderBy(F.desc("count"), key).limit(HOT_KEYS).select(key)
-    hot = F.broadcast(hottest).join(lookup, key, "left").select(
-        key, F.struct(*values).alias("_hot"), F.lit(True).alias("_is_hot")
-    )
-    tagged = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt",
-        # NULL keys match nothing either and are spread the same way
-        F.when(F.col("_is_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread_on), F.lit(SPREAD)) + 1)
-        .otherwise(F.lit(0).cast("long")),
-    )
-    cold = lookup.select(key, F.struct(*values).alias("_cold"), F.lit(0).cast("long").alias("_salt"))
-    out = tagged.join(cold, [key, "_salt"], "left").withColumn("_v", F.coalesce("_hot", "_cold"))
-    return out.select(*rows.columns, *[F.col("_v")[v].alias(v) for v in values])
+    configure(rows.sparkSession)
+    return rows.join(lookup, key, "left").select(*rows.columns, *[c for c in lookup.columns if c != key])

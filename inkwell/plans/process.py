@@ -48,10 +48,16 @@ def from_table(files: DataFrame) -> Fetch:
 def extract_first(flagged: DataFrame, fetch: Fetch, **kwargs) -> DataFrame:
     """Fetch and extract the first copy of every new reference."""
     firsts = flagged.where(F.col("dedupe") == "FIRST")
-    texts = X.extract_text(fetch(firsts), **kwargs)
-    outcome = O.outcome_of(F.col("reject"), F.col("dedupe"), F.col("fetched"), F.col("failure"), F.col("text"))
+    fetched = fetch(firsts)
+    if "fetch_error" not in fetched.columns:
+        fetched = fetched.withColumn("fetch_error", F.when(~F.col("fetched"), F.lit("NOT_FOUND")))
+    texts = X.extract_text(fetched, **kwargs)
+    outcome = O.outcome_of(
+        F.col("reject"), F.col("dedupe"), F.col("fetched"), F.col("failure"), F.col("text"), fetch_error=F.col("fetch_error")
+    )
     return (
         texts.withColumn("outcome", outcome)
+        .withColumn("error_message", F.coalesce("error_message", F.when(F.col("outcome") == "READ_ERROR", F.col("fetch_error"))))
         .withColumns(
             {
                 # the joined text is derived from the pages, so only the pages are kept

@@ -81,21 +81,52 @@ def test_attach_by_key_equals_left_join_on_skewed_keys(spark):
     lookup = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")).unionByName(
         spark.range(1).select(F.lit("hot").alias("k"), F.lit(-5).cast("long").alias("v"))
     )
-    got = attach_by_key(rows, lookup, "k", "id")
+    got = attach_by_key(rows, lookup, "k")
     want = rows.join(lookup, "k", "left").select("id", "k", "v")
     assert got.columns == ["id", "k", "v"] and got.count() == 30000
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_source_ids_may_be_missing_or_repeated(spark):
+    rows = [
+        (None, T0, ref("http://h/a")), (None, T0 + timedelta(seconds=1), ref("http://h/b")), (5, T0, ref("http://h/c")),
+        (5, T0, ref("http://h/c")), (None, T0, ref("http://h/a")), (7, None, ref("http://h/d")), (7, T0, ref("http://h/d")),
+    ]
+    refs = M.validate_refs(M.parse_file_refs(spark.createDataFrame(rows, "msg_id long, arrived_at timestamp, value string").coalesce(1)))
+    out = R.dedupe_refs(refs).collect()
+    assert Counter((r.url, r.dedupe) for r in out) == Counter(
+        [("http://h/a", "FIRST"), ("http://h/a", "DUPLICATE"), ("http://h/b", "FIRST"), ("http://h/c", "FIRST"), ("http://h/c", "DUPLICATE"),
+         ("http://h/d", "FIRST"), ("http://h/d", "DUPLICATE")]
+    )
+    assert [r.arrived_at for r in out if (r.url, r.dedupe) == ("http://h/d", "FIRST")] == [T0]
+
+
 def test_skewed_dedupe_spreads_over_tasks(spark):
     """Two thirds of the messages carry one URL; no join of the plan is keyed by it."""
     values = spark.range(20000).select(
         F.col("id").alias("msg_id"),
         F.timestamp_seconds("id").alias("arrived_at"),
         F.concat(
-            F.lit('{"type":"HDFS","url":"http://h/'), F.when(F.col("id") % 3 != 0, F.lit(0)).otherwise(F.col("id")), F.lit('"}')
+            F.lit('{"type":"HDFS","url":"http://h/'), F.when(F.col("id") % 3 != 0, F.lit("x")).otherwise(F.col("id").cast("string")), F.lit('"}')
         ).alias("value"),
     )
     out = R.dedupe_refs(M.validate_refs(M.parse_file_refs(values)))
-    counts = Counter(r.dedupe for r in out.select("dedupe").collect())
-    assert counts == {"FIRST": 6667, "DUPLICATE": 13333} or counts == {"FIRST": 6668, "DUPLICATE": 13332}
+    assert Counter(r.dedupe for r in out.select("dedupe").collect()) == {"FIRST": 6668, "DUPLICATE": 13332}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    # messages move by their own number; by key only what the partial aggregate left over
+    assert sum("hashpartitioning(url_key" in x for x in exchanges) == 1, plan
+    assert "SortAggregate" not in plan and plan.count("partial_min") == 1
+
+
+def test_plus_signs_and_escapes_in_paths(spark):
+    names = ["a+b.txt", "a%20b.txt", "a%2Bb.txt", "a b.txt", "bad%zz"]
+    urls = spark.createDataFrame([(f"http://nn:1/webhdfs/v1/d/{n}?op=OPEN",) for n in names], "url string")
+    assert [r[0] for r in urls.select(U.storage_path(F.col("url"))).collect()] == ["/d/a+b.txt", "/d/a b.txt", "/d/a+b.txt", "/d/a b.txt", None]
+
+
+def test_reason_of_missing_bytes(spark):
+    df = spark.createDataFrame([(None,), ("NOT_FOUND",), ("TOO_LARGE",), ("PermissionError: no",)], "e string")
+    none = F.lit(None).cast("string")
+    got = df.select(O.outcome_of(none, F.lit("FIRST"), F.lit(False), none, F.lit("x"), fetch_error=F.col("e")).alias("o")).collect()
+    assert [r.o for r in got] == ["NOT_FOUND", "NOT_FOUND", "TOO_LARGE", "READ_ERROR"]

@@ -218,17 +218,6 @@ def test_heartbeat_windows_on_a_stream(spark, tmp_path):
     assert got == {("a", 0): (2, 2), ("a", 10): (1, 0)}
 
 
-def test_drop_repeats_within_a_time_span(spark, tmp_path):
-    from inkwell.operators.refs import drop_repeats
-
-    rows = spark.createDataFrame([(1, "u", 0), (2, "u", 5), (3, "v", 6)], "msg_id long, url string, s int")
-    rows.withColumn("arrived_at", F.timestamp_seconds("s")).drop("s").coalesce(1).write.parquet(str(tmp_path / "m"))
-    src = spark.readStream.schema(spark.read.parquet(str(tmp_path / "m")).schema).parquet(str(tmp_path / "m"))
-    q = drop_repeats(src, "10 seconds").writeStream.format("memory").queryName("rep").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert sorted(r.url for r in spark.table("rep").collect()) == ["u", "v"]
-
-
 def test_live_presence(spark, tmp_path):
     src = tmp_path / "m"
     schema = "event_id long, service string, instanceId string, ts timestamp, event string"
