@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column, functions as F
@@ -33,7 +34,7 @@ def decode_entities(text: Column) -> Column:
 
     One split at ``&`` instead of one pass per entity; unknown references stay.
     """
-    table = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
+    table = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")  # folds to one literal
 
     def decoded(piece: Column) -> Column:
         name = F.substring_index(piece, ";", 1)

@@ -11,7 +11,8 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkwell.functions import html as H, mime as MT, text as TX
+from inkwell.functions import charset as CS, html as H, mime as MT, text as TX
+from inkwell.session import configure
 
 # Container formats, the archive members that hold text and the
 # XML elements that end a paragraph or hold a tab.
@@ -63,22 +64,9 @@ def _archive_pages(pattern: str) -> PageReader:
     return read
 
 
-def _pdf_pages(content: bytes) -> list[str]:
-    from pypdf import PdfReader
-
-    return [page.extract_text() or "" for page in PdfReader(io.BytesIO(content)).pages]
-
-
 def default_readers() -> dict[str, PageReader]:
-    """Readers of formats that need Python; PDF only where a parser is installed."""
-    readers = {mime: _archive_pages(pattern) for mime, pattern in MEMBERS.items()}
-    try:
-        import pypdf  # noqa: F401
-
-        readers["application/pdf"] = _pdf_pages
-    except ImportError:
-        pass
-    return readers
+    """Readers of formats that need Python; others plug in by the caller."""
+    return {mime: _archive_pages(pattern) for mime, pattern in MEMBERS.items()}
 
 
 def _container_column(content: Column, mime: Column, readers: dict[str, PageReader]) -> Column:
@@ -100,19 +88,22 @@ def _container_column(content: Column, mime: Column, readers: dict[str, PageRead
 
 def extract_pages(df: DataFrame, content: str = "content", mime: str = "mime",
                   readers: dict[str, PageReader] | None = None,
-                  native: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+                  native: dict[str, Callable[[Column], Column]] | None = None,
+                  fallback: str | None = "windows-1252") -> DataFrame:
     """Add ``pages ARRAY<STRING>`` and ``failure`` (outcome of unreadable rows, else NULL).
 
     Plain text and HTML are built-in expressions; further text formats plug in
     through ``native`` (MIME type to Column function) and binary ones through
     ``readers`` (MIME type to Python function). Pass ``readers={}`` to keep the plan
-    free of Python.
+    free of Python. Encodings are those of :func:`inkwell.functions.charset.decoded`; with
+    ``fallback=None`` bytes of no known encoding are UNDECODABLE.
     """
+    configure(df.sparkSession)
     readers = default_readers() if readers is None else readers
-    kind, raw = F.col(mime), F.col(content).cast("string")
+    kind = F.col(mime)
     builders: dict[str, Callable[[Column], Column]] = {t: H.html_to_text for t in MT.HTML_TYPES}
     builders.update(native or {})
-    decoded = F.when(F.is_valid_utf8(raw), raw)
+    decoded = F.when(kind.isin(*MT.HTML_TYPES), CS.decoded(F.col(content), True, fallback)).otherwise(CS.decoded(F.col(content), False, fallback))
     text_types = list(MT.PLAIN_TYPES) + list(builders)
     out = df.withColumn("_t", F.when(kind.isin(*text_types), decoded))
     text = F.when(kind.isin(*MT.PLAIN_TYPES), F.col("_t"))

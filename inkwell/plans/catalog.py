@@ -187,13 +187,15 @@ def size_class(spark, sf):
 
 @query
 def classify_text(spark, sf):
+    """Every text, and as many made ones at the edges of blankness."""
+    i = F.col("doc_id")
+    made = F.when(i % 7 < 6, FX.pick(i % 7, "", " \n\t", "\u2003", "\u00a0", "\u0001", "x"))
     docs = FX.texts(spark, sf, "documents", "doc_id", "text")
-    text = FX.pick(F.col("doc_id") % 40, "", " \n\t", "\u2003", "\u00a0", "\u0001", "x")
-    body = F.when(F.col("doc_id") % 40 < 6, text).when(F.col("doc_id") % 40 > 6, F.col("text"))
-    return docs.select(
+    rows = docs.union(FX.table(spark, sf, "documents").select(i + F.lit(FX.BLANK_FILES), made))
+    return rows.select(
         "doc_id",
-        TX.is_blank_trimmed(body).alias("blank_trimmed"),
-        TX.is_blank_unicode(body).alias("blank_unicode"),
+        TX.is_blank_trimmed(F.col("text")).alias("blank_trimmed"),
+        TX.is_blank_unicode(F.col("text")).alias("blank_unicode"),
     )
 
 

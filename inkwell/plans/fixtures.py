@@ -34,39 +34,62 @@ def pick(index: Column, *values: str) -> Column:
     return out
 
 
-def document_name(doc_id: Column) -> Column:
-    return F.concat(F.lit("doc_"), doc_id, pick(doc_id, ".txt", ".html", ".pdf", ".csv", ".json", ""))
+# ids of files made besides the documents, which all go through as they are
+BLANK_FILES, PDF_FILES, PLUS_FILES = 1_000_000_000, 2_000_000_000, 3_000_000_000
 
 
-def document_path() -> Column:
-    return F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), document_name(F.col("doc_id")))
+def with_made_files(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, source and, if given, text) and further ones: blank files, a format without reader, odd names."""
+    has_text = "text" in docs.columns
+
+    def row(shift: int, kind: str | None, text: Column) -> Column:
+        fields = [(F.col("doc_id") + F.lit(shift)).cast("long").alias("doc_id"), "source", F.lit(kind).cast("string").alias("kind")]
+        return F.struct(*fields, *([text.alias("text")] if has_text else []))
+
+    text = F.col("text") if has_text else F.lit(None)
+    rows = F.array(
+        row(0, None, text),
+        F.when(F.col("doc_id") % 37 == 0, row(BLANK_FILES, "blank", F.lit(" \n\t "))),
+        F.when(F.col("doc_id") % 6 == 2, row(PDF_FILES, "pdf", text)),
+        F.when(F.col("doc_id") % 31 == 0, row(PLUS_FILES, "plus", text)),
+    )
+    return docs.select(F.explode(F.array_compact(rows)).alias("f")).select("f.*")
 
 
-def document_body() -> Column:
-    return F.when(F.col("doc_id") % 37 == 0, F.lit(" \n\t ")).otherwise(F.col("text"))
+def document_name() -> Column:
+    i, kind = F.col("doc_id"), F.col("kind")
+    ending = (
+        F.when(kind == "blank", F.lit(".txt")).when(kind == "pdf", F.lit(".pdf")).when(kind == "plus", F.lit("+x y.txt"))
+        .otherwise(pick(i, ".txt", ".html", ".md", ".csv", ".json", ""))
+    )
+    return F.concat(F.lit("doc_"), i, ending)
+
+
+def document_path() -> Column:
+    return F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), document_name())
 
 
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of six formats; every 37th is blank."""
-    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
+    """Documents as files of six formats, and the made ones."""
+    docs = with_made_files(texts(spark, sf_dir, "documents", "doc_id", "source", "text"))
     return docs.select(
         "doc_id",
         "source",
-        document_name(F.col("doc_id")).alias("filename"),
+        document_name().alias("filename"),
         document_path().alias("path"),
         at_second(F.col("doc_id") * 60).alias("modificationTime"),
-        F.octet_length(document_body()).cast("long").alias("length"),
-        F.encode(document_body(), "UTF-8").alias("content"),
+        F.octet_length("text").cast("long").alias("length"),
+        F.encode("text", "UTF-8").alias("content"),
     )
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of the same files; no text is read."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    docs = with_made_files(table(spark, sf_dir, "documents").select("doc_id", "source"))
     return docs.select(
         "doc_id",
         "source",
-        document_name(F.col("doc_id")).alias("filename"),
+        document_name().alias("filename"),
         document_path().alias("path"),
         at_second(F.col("doc_id") * 60).alias("modificationTime"),
     )
@@ -79,9 +102,9 @@ def store_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_refs_of(documents: DataFrame) -> DataFrame:
     """The same on any documents table, streaming ones included."""
-    docs = documents.select("doc_id", "source")
+    docs = with_made_files(documents.select("doc_id", "source"))
     name = F.when(F.col("doc_id") % 23 == 0, F.concat(F.lit("missing_"), F.col("doc_id"))).otherwise(
-        document_name(F.col("doc_id"))
+        F.replace(document_name(), F.lit(" "), F.lit("%20"))
     )
     url = F.concat(F.lit("http://namenode:9870/webhdfs/v1/corpus/"), F.col("source"), F.lit("/"), name)
     value = F.concat(

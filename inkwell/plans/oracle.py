@@ -23,29 +23,35 @@ BLANK_UNICODE = (
     "\\x{{2028}}\\x{{2029}}\\x{{205f}}\\x{{3000}}]*\\z'))"
 )
 EXT = (
-    "CASE doc_id % 6 WHEN 0 THEN '.txt' WHEN 1 THEN '.html' WHEN 2 THEN '.pdf' "
-    "WHEN 3 THEN '.csv' WHEN 4 THEN '.json' ELSE '' END"
+    "CASE WHEN kind = 'blank' THEN '.txt' WHEN kind = 'pdf' THEN '.pdf' WHEN kind = 'plus' THEN '+x y.txt' "
+    "WHEN doc_id % 6 = 0 THEN '.txt' WHEN doc_id % 6 = 1 THEN '.html' WHEN doc_id % 6 = 2 THEN '.md' "
+    "WHEN doc_id % 6 = 3 THEN '.csv' WHEN doc_id % 6 = 4 THEN '.json' ELSE '' END"
 )
 MIME = (
-    "CASE doc_id % 6 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'text/html' WHEN 2 THEN 'application/pdf' "
-    "WHEN 3 THEN 'text/csv' WHEN 4 THEN 'application/json' END"
+    "CASE WHEN kind IN ('blank', 'plus') THEN 'text/plain' WHEN kind = 'pdf' THEN 'application/pdf' WHEN doc_id % 6 = 0 THEN 'text/plain' "
+    "WHEN doc_id % 6 = 1 THEN 'text/html' WHEN doc_id % 6 = 2 THEN 'text/markdown' WHEN doc_id % 6 = 3 THEN 'text/csv' "
+    "WHEN doc_id % 6 = 4 THEN 'application/json' END"
 )
 SERVICE = "CASE user_id % 3 WHEN 0 THEN 'watcher' WHEN 1 THEN 'extractor' ELSE 'embedder' END"
 
-RAW_FILES = f"""raw_files AS (
+RAW_FILES = f"""raw_base AS (
+  SELECT doc_id, source, NULL AS kind, text AS body FROM documents
+  UNION ALL SELECT doc_id + 1000000000, source, 'blank', ' ' || chr(10) || chr(9) || ' ' FROM documents WHERE doc_id % 37 = 0
+  UNION ALL SELECT doc_id + 2000000000, source, 'pdf', text FROM documents WHERE doc_id % 6 = 2
+  UNION ALL SELECT doc_id + 3000000000, source, 'plus', text FROM documents WHERE doc_id % 31 = 0),
+raw_files AS (
   SELECT doc_id, source, 'doc_' || doc_id || {EXT} AS filename,
          '/corpus/' || source || '/doc_' || doc_id || {EXT} AS path,
          {EPOCH} + to_minutes(doc_id) AS mtime,
-         {MIME} AS by_name,
-         CASE WHEN doc_id % 37 = 0 THEN ' ' || chr(10) || chr(9) || ' ' ELSE text END AS body
-  FROM documents)"""
+         {MIME} AS by_name, body
+  FROM raw_base)"""
 
 STORE_REFS = f"""store_once AS (
   SELECT doc_id AS msg_id, {EPOCH} + to_seconds(doc_id) AS arrived_at, doc_id,
          CASE WHEN doc_id % 29 = 0 THEN 'S3' ELSE 'HDFS' END AS type,
          'http://namenode:9870/webhdfs/v1/corpus/' || source || '/' ||
-         CASE WHEN doc_id % 23 = 0 THEN 'missing_' || doc_id ELSE 'doc_' || doc_id || {EXT} END AS url
-  FROM documents),
+         CASE WHEN doc_id % 23 = 0 THEN 'missing_' || doc_id ELSE 'doc_' || doc_id || replace({EXT}, ' ', '%20') END AS url
+  FROM raw_base),
 store_refs AS (
   SELECT * FROM store_once
   UNION ALL SELECT msg_id + 1000000000000, arrived_at + INTERVAL 1000 DAY, doc_id, type, url FROM store_once WHERE msg_id % 3 = 0)"""
@@ -226,7 +232,7 @@ SELECT msg_id, arrived_at, type, url, input_stream AS "inputStream", output_stre
 ORACLES["fetch_by_ref"] = f"""WITH {RAW_FILES}, {STORE_REFS}
 SELECT r.msg_id, r.url, 'out' AS "outputStream", f.path IS NOT NULL AS fetched, CAST(strlen(f.body) AS BIGINT) AS length, {SHA.format('f.body')} AS content_sha
 FROM (SELECT * FROM store_refs WHERE type = 'HDFS' QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrived_at, msg_id) = 1) r
-LEFT JOIN raw_files f ON 'http://namenode:9870/webhdfs/v1' || f.path = r.url"""
+LEFT JOIN raw_files f ON 'http://namenode:9870/webhdfs/v1' || replace(f.path, ' ', '%20') = r.url"""
 
 ORACLES["queue_depth_parse"] = """WITH q AS (
   SELECT event_id, event_id % 8 AS shape, CAST(event_id % 500 AS INTEGER) AS n FROM events)
@@ -276,7 +282,7 @@ SELECT page_id, filename, {output_path_sql('url', 'filename')} AS output_path, t
 FROM t WHERE NOT {BLANK.format('text')}"""
 
 TEXTS = f"""texts AS (
-  SELECT *, coalesce(by_name, CASE WHEN regexp_matches(left(body, 64), '(?i)\\A\\s*<(!doctype|html)\\b') THEN 'text/html' ELSE 'text/plain' END) AS mime,
+  SELECT *, coalesce(by_name, CASE WHEN regexp_matches(body, '(?i)\\A\\s*<(!doctype|html)\\b') THEN 'text/html' ELSE 'text/plain' END) AS mime,
          CASE WHEN by_name = 'application/pdf' THEN 'UNSUPPORTED_FORMAT' END AS failure,
          CASE WHEN by_name = 'application/pdf' THEN '' WHEN by_name = 'text/html' THEN chr(10) || chr(10) || {html_sql('body')}
               ELSE chr(10) || chr(10) || body END AS text
@@ -292,8 +298,9 @@ SELECT CASE WHEN strlen(body) > 8192 THEN 'LARGE' ELSE 'NORMAL' END AS size_clas
        CAST(sum(strlen(body)) AS BIGINT) AS bytes, CAST(max(strlen(body)) AS BIGINT) AS largest FROM raw_files GROUP BY 1"""
 
 ORACLES["classify_text"] = f"""WITH b AS (
-  SELECT doc_id, CASE doc_id % 40 WHEN 0 THEN '' WHEN 1 THEN ' ' || chr(10) || chr(9) WHEN 2 THEN chr(8195) WHEN 3 THEN chr(160)
-                      WHEN 4 THEN chr(1) WHEN 5 THEN 'x' WHEN 6 THEN NULL ELSE text END AS body FROM documents)
+  SELECT doc_id, text AS body FROM documents
+  UNION ALL SELECT doc_id + 1000000000, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN ' ' || chr(10) || chr(9) WHEN 2 THEN chr(8195) WHEN 3 THEN chr(160)
+                      WHEN 4 THEN chr(1) WHEN 5 THEN 'x' WHEN 6 THEN NULL END FROM documents)
 SELECT doc_id, {BLANK.format('body')} AS blank_trimmed, {BLANK_UNICODE.format('body')} AS blank_unicode FROM b"""
 
 ORACLES["join_pages"] = """SELECT doc_id, chr(10) || chr(10) || replace(text, chr(10), chr(10) || chr(10)) AS text,
@@ -353,7 +360,7 @@ ORACLES["route_outcome"] = f"""WITH {RAW_FILES}, {STORE_REFS}, {TEXTS},
 first AS (
   SELECT r.*, f.mime, f.body IS NOT NULL AS fetched, f.failure, f.text
   FROM (SELECT * FROM store_refs WHERE type = 'HDFS' QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrived_at, msg_id) = 1) r
-  LEFT JOIN texts f ON 'http://namenode:9870/webhdfs/v1' || f.path = r.url),
+  LEFT JOIN texts f ON 'http://namenode:9870/webhdfs/v1' || replace(f.path, ' ', '%20') = r.url),
 settled AS (
   SELECT *, CASE WHEN NOT fetched THEN 'NOT_FOUND' WHEN failure IS NOT NULL THEN failure
                  WHEN {BLANK.format('text')} THEN 'BLANK' ELSE 'COMPLETED' END AS outcome FROM first),
@@ -370,7 +377,7 @@ ORACLES["stream_extract"] = f"SELECT msg_id, dedupe, outcome, mime, text_length
 CHUNK_SOURCE = f"""SELECT r.msg_id AS doc_id, CASE WHEN t.mime = 'text/html' THEN {html_sql('t.body')} ELSE t.body END AS text,
   2000 AS budget, 200 AS min_chars, 0 AS min_len, 1000000000 AS max_chunks
 FROM (SELECT * FROM store_refs WHERE type = 'HDFS' QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrived_at, msg_id) = 1) r
-JOIN texts t ON 'http://namenode:9870/webhdfs/v1' || t.path = r.url WHERE t.failure IS NULL"""
+JOIN texts t ON 'http://namenode:9870/webhdfs/v1' || replace(t.path, ' ', '%20') = r.url WHERE t.failure IS NULL"""
 ORACLES["chunk_refs"] = (
     f"WITH RECURSIVE {RAW_FILES}, {STORE_REFS}, {TEXTS}, "
     + chunks_sql("budget", "min_chars", "min_len", "max_chunks", CHUNK_SOURCE)

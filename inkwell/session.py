@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     # naive event timestamps are read as UTC instants
     "spark.sql.session.timeZone": "UTC",
+    # a broken unit in a UTF-16 file is a replacement character, not a failed job
+    "spark.sql.legacy.codingErrorAction": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

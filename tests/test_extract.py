@@ -38,7 +38,7 @@ def files(spark, items):
 def test_formats(spark):
     items = [
         ("a.txt", "plain é".encode()), ("b.html", b"<html><body><p>x</p>y</body></html>"), ("c.docx", DOCX), ("d.odt", ODT),
-        ("e.pptx", PPTX), ("k.odt", DEEP), ("f.docx", b"not a zip"), ("g.txt", b"\xff\xfe"), ("h.bin", b"\x00\xff"), ("i", b"no extension"), ("j.csv", b"a,b"),
+        ("e.pptx", PPTX), ("k.odt", DEEP), ("f.docx", b"not a zip"), ("g.txt", b"caf\xe9 \x80"), ("h.bin", b"\x00\xff"), ("i", b"no extension"), ("j.csv", b"a,b"),
     ]
     got = {r.filename: r for r in X.extract_text(files(spark, items)).collect()}
     assert got["a.txt"].text == "\n\nplain é"
@@ -48,12 +48,32 @@ def test_formats(spark):
     assert got["k.odt"].text == "\n\ndown &lt; here"
     assert got["e.pptx"].pages == ["slide 1", "slide 2", "slide 10"]
     assert (got["f.docx"].failure, got["f.docx"].text) == ("PARSE_ERROR", "") and "BadZipFile" in got["f.docx"].error_message
-    assert got["g.txt"].failure == "UNDECODABLE"
+    assert got["g.txt"].text == "\n\ncafé €"
+    strict = {r.filename: r for r in X.extract_text(files(spark, items), readers={}, fallback=None).collect()}
+    assert strict["g.txt"].failure == "UNDECODABLE" and strict["a.txt"].failure is None
     assert got["h.bin"].failure == "UNSUPPORTED_FORMAT"
     assert got["i"].text == "\n\nno extension" and got["j.csv"].text == "\n\na,b"
     assert all(got[n].failure is None for n in ("a.txt", "b.html", "c.docx", "d.odt", "i", "j.csv"))
 
 
+def test_encodings(spark):
+    page = '<html><head><meta charset="{}"></head><p>é € ü</p>'
+    items = [
+        ("a.txt", b"\xef\xbb\xbf" + "é".encode()), ("b.txt", "é🙂".encode("utf-16")), ("c.txt", b"\xfe\xff" + "é🙂".encode("utf-16-be")),
+        ("d.html", page.format("windows-1252").encode("cp1252")), ("e.html", page.format("utf-8").encode()),
+        ("f.html", page.format("ISO-8859-1").encode("cp1252")), ("g.txt", b"\xff\xfea"), ("h.txt", b""),
+        ("i", b" " * 70 + b"<html><p>x</p></html>"), ("j", b"\n<?xml version='1.0'?>\n<!-- c --><!DOCTYPE html><p>x"), ("k", b"<htmlish>"),
+        ("l.html", b"<p>&eacute;&euro;&#0000000233;&#x000E9;&nosuch;&notin;&amp;lt;</p>"),
+    ]
+    got = {r.filename: r for r in X.extract_text(files(spark, items), readers={}).collect()}
+    texts = {n: (r.text or "").strip() for n, r in got.items()}
+    assert [texts[x] for x in ("a.txt", "b.txt", "c.txt")] == ["é", "é🙂", "é🙂"]
+    assert [texts[x] for x in ("d.html", "e.html", "f.html")] == ["é € ü"] * 3
+    assert texts["g.txt"] == "\ufffd" and texts["h.txt"] == ""
+    assert [got[x].mime for x in "ijk"] == ["text/html", "text/html", "text/plain"] and texts["i"] == texts["j"] == "x"
+    assert texts["l.html"] == "é€éé&nosuch;∉&lt;"
+
+
 def test_pluggable_readers(spark):
     got = X.extract_text(
         files(spark, [("a.rtf", b"{\\rtf1 x}"), ("b.md", b"# T")]),
