@@ -20,10 +20,14 @@ of neighbours come out with the order. Their running minima to both sides are th
 at which a suffix parts from others; ranges hand theirs over to the neighbours, so a range
 may end anywhere and no group needs to fit one task.
 
-What is removed. For anchors a, b the repeated strings are those that start L or less and
-LENGTH - R or more before a. Their extremes cover them all, and both are among the lengths
-just found, on both sides of the pair. So each anchor proposes these few starts, and those
-whose LENGTH bytes (as a 128-bit digest) are proposed at two places are repeats.
+What is removed. Each anchor owns the starts of the strings it is chosen for, a run of
+neighbouring positions; its block is the bytes of all these strings. Anchors with equal
+blocks are copies: all strings of the block repeat, and one of them stands for the others.
+K-grams that have one block only are then done. For anchors a, b with different blocks the
+repeated strings are those that start L or less and LENGTH - R or more before a. Their
+extremes cover them all, and they are among the lengths just found or the ends of the owned
+run, on both sides of the pair. So each block proposes these few starts, and those whose
+LENGTH bytes (as a 128-bit digest) two blocks propose are repeats.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from inkwell.llm.common import mix, small_batches, written
 
@@ -46,6 +50,7 @@ TAG = 8  # bytes of the K-gram's digest before a left context
 BLOCK = 1 << 19
 RUN = 16_384
 SAMPLE = 4096
+CHUNK = 4 << 20
 _INDEX = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -83,20 +88,23 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and K-gram hashes of the anchors, in order."""
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and K-gram hashes of the anchors, in order, and first and last start that each owns."""
     raw = np.frombuffer(data, np.uint8)
-    where, what = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    where, what, first = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for at in range(0, len(raw) - LENGTH + 1, BLOCK):
         h = _kgrams(raw[at : at + BLOCK + LENGTH - 1])
         index = np.arange(len(h), dtype=np.uint64)
         best = (_window_minima((h & ~_INDEX) | index, WINDOW) & _INDEX).astype(np.int64)
-        best = best[np.concatenate(([True], best[1:] != best[:-1]))]
-        where.append(best + at)
-        what.append(h[best])
-    where, what = np.concatenate(where), np.concatenate(what)
-    first = np.concatenate(([True], where[1:] != where[:-1])) if len(where) else slice(0)
-    return where[first], what[first]
+        new = np.flatnonzero(np.concatenate(([True], best[1:] != best[:-1])))
+        where.append(best[new] + at)
+        what.append(h[best[new]])
+        first.append(new + at)
+    where, what, first = np.concatenate(where), np.concatenate(what), np.concatenate(first)
+    if len(where):
+        new = np.concatenate(([True], where[1:] != where[:-1]))
+        where, what, first = where[new], what[new], first[new]
+    return where, what, first, np.append(first[1:] - 1, len(raw) - LENGTH)[: len(where)]
 
 
 def digest(data: bytes, size: int = 16) -> bytes:
@@ -309,33 +317,32 @@ def sorted_partings(strings: DataFrame, least: int) -> DataFrame:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: an anchor with the names of its contexts; 1 and 2: a right and a left context, once per batch."""
+    """Kind 0: an anchor with the names of its contexts within its block; 1 and 2: a right and a left context."""
+    names = ["kind", "row", "pos", "first", "last", "name", "other", "text"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    rows: list[tuple] = []
+    texts: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        some = [*rows, *((kind, None, None, None, None, n, None, t) for kind, held in enumerate(texts, 1) for n, t in held.items())]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*some, strict=True)) or [[]] * 8, kinds, strict=True)], names)
+
     for batch in batches:
-        names: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
-        rows, positions, rights, lefts = [], [], [], []
-        for row, data, where in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for p in where:
-                right = data[p : p + LENGTH]
-                left = digest(right[:K], TAG) + data[max(0, p - LEFT) : p][::-1]
+        for i, (row, where) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            data = batch.column(1)[i].as_py()
+            for anchor in where:
+                pos, first, last = anchor["pos"], anchor["first"], anchor["last"]
+                right = data[pos : last + LENGTH]
+                left = digest(data[pos : pos + K], TAG) + data[first:pos][::-1]
                 a, b = digest(right), digest(left)
-                names[0][a], names[1][b] = right, left
-                rows.append(row)
-                positions.append(p)
-                rights.append(a)
-                lefts.append(b)
-        columns = lambda kind, row, pos, a, b, text: pa.record_batch([pa.array([kind] * len(a), pa.int32()), pa.array(row, pa.int64()), pa.array(pos, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(text, pa.binary())], ["kind", "row", "pos", "name", "other", "text"])
-        yield columns(0, rows, positions, rights, lefts, [None] * len(rows))
-        for kind, texts in enumerate(names, 1):
-            none = [None] * len(texts)
-            yield columns(kind, none, none, list(texts), none, list(texts.values()))
-
-
-def _starts(right: Column, left: Column) -> Column:
-    """Distances from an anchor back to the starts it proposes, from the lengths of both contexts."""
-    most_right, most_left = F.array_max(right), F.array_max(left) - TAG
-    by_left = F.filter(F.transform(left, lambda v: v - TAG), lambda d: d >= LENGTH - most_right)
-    by_right = F.filter(F.transform(right, lambda v: F.lit(LENGTH) - v), lambda d: d <= most_left)
-    return F.array_distinct(F.concat(by_left, by_right))
+                texts[0][a], texts[1][b] = right, left
+                rows.append((0, row, pos, first, last, a, b, None))
+                size += len(right) + len(left)
+                if size > CHUNK:
+                    yield out()
+                    rows, texts, size = [], ({}, {}), 0
+    yield out()
 
 
 def repeated_starts(rows: DataFrame) -> DataFrame:
@@ -343,8 +350,7 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
 
     ``rows``: row (long, unique), data (binary); it must give the same rows when read again.
     """
-    spark = rows.sparkSession
-    small_batches(spark)
+    small_batches(rows.sparkSession)
 
     def kgram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,41 +358,49 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
             values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
             yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["kgram", "n"])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                where, what = anchors(d)
+                where, what, first, last = anchors(d)
                 if len(where):
-                    yield pa.record_batch([pa.array(np.full(len(where), row)), pa.array(where), pa.array(what.view(np.int64))], ["row", "pos", "kgram"])
+                    block = [digest(d[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                    columns = [np.full(len(where), row), where, first, last, what.view(np.int64)]
+                    yield pa.record_batch([*map(pa.array, columns), pa.array(block, pa.binary())], ["row", "pos", "first", "last", "kgram", "block"])
 
     again = rows.select("data").mapInArrow(kgram_counts, "kgram long, n long").groupBy("kgram").agg(F.sum("n").alias("n")).where("n > 1").select("kgram")
     again = written(again, "kgrams")
-    found = rows.select("row", "data").mapInArrow(places, "row long, pos long, kgram long").join(again, "kgram")
-    wanted = written(found.groupBy("row").agg(F.collect_list("pos").alias("where")), "anchors")
+    found = rows.select("row", "data").mapInArrow(blocks_of, "row long, pos long, first long, last long, kgram long, block binary")
+    found = written(found.join(again, "kgram"), "anchors")
+    # one anchor stands for each block; K-grams with several blocks go on
+    blocks = written(found.groupBy("kgram", "block").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos", "first", "last")).alias("one")), "blocks")
+    several = blocks.groupBy("kgram").agg(F.count("*").alias("m")).where("m > 1").select("kgram")
+    wanted = blocks.join(several, "kgram").select("one.*").groupBy("row").agg(F.collect_list(F.struct("pos", "first", "last")).alias("where"))
+    wanted = written(wanted, "wanted")
     contexts = written(
-        rows.select("row", "data").join(wanted, "row").select("row", "data", "where").mapInArrow(_contexts, "kind int, row long, pos long, name binary, other binary, text binary"),
+        rows.select("row", "data").join(wanted, "row").select("row", "data", "where")
+        .mapInArrow(_contexts, "kind int, row long, pos long, first long, last long, name binary, other binary, text binary"),
         "contexts",
     )
-    anchor = contexts.where("kind = 0").select("row", "pos", F.col("name").alias("right"), F.col("other").alias("left"))
+    anchor = contexts.where("kind = 0").select("row", "pos", "first", "last", F.col("name").alias("right"), F.col("other").alias("left"))
     for side, kind, least in (("right", 1, K), ("left", 2, TAG)):
         at = sorted_partings(contexts.where(F.col("kind") == kind).select("name", "text"), least)
-        size = contexts.where(F.col("kind") == kind).groupBy("name").agg(F.max(F.octet_length("text")).cast("int").alias("size"))
-        times = contexts.where("kind = 0").groupBy(F.col("name" if kind == 1 else "other").alias("name")).agg(F.count("*").alias("n"))
-        # equal contexts part nowhere: their whole length counts if two anchors have it
-        whole = at.join(size, "name").join(times, "name").select(F.col("name").alias(side), F.when(F.col("n") > 1, F.array_union("at", F.array("size"))).otherwise(F.col("at")).alias(f"{side}_at"))
-        anchor = anchor.join(whole.where(F.size(f"{side}_at") > 0), side)
-    proposed = anchor.select("row", F.explode(F.transform(_starts(F.col("right_at"), F.col("left_at")), lambda d: F.col("pos") - d)).alias("start"))
-    proposed = written(proposed.where("start >= 0").groupBy("row").agg(F.collect_set("start").alias("starts")), "starts")
+        anchor = anchor.join(at.select(F.col("name").alias(side), F.col("at").alias(f"{side}_at")), side)
+    by_right = F.transform("right_at", lambda v: F.col("pos") - LENGTH + v)
+    by_left = F.transform("left_at", lambda v: F.col("pos") + TAG - v)
+    inside = F.filter(F.concat(by_right, by_left), lambda s: (s > F.col("first")) & (s < F.col("last")))
+    starts = F.array_distinct(F.concat(F.array("first", "last"), inside))
+    proposed = written(anchor.select("row", starts.alias("starts")).groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                starts = [s for s in starts if s + LENGTH <= len(data)]
+            for i, (row, starts) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                data = batch.column(1)[i].as_py()
                 yield pa.record_batch([pa.array([row] * len(starts), pa.int64()), pa.array(starts, pa.int64()), pa.array([digest(data[s : s + LENGTH]) for s in starts], pa.binary())], ["row", "start", "name"])
 
     strings = written(rows.select("row", "data").join(proposed, "row").select("row", "data", "starts").mapInArrow(hashed, "row long, start long, name binary"), "strings")
     twice = strings.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    return strings.join(twice, "name").groupBy("row").agg(F.collect_list("start").alias("starts"))
+    copies = found.join(blocks.where("n > 1").select("block"), "block").select("row", F.explode(F.array("first", "last")).alias("start"))
+    return strings.join(twice, "name").select("row", "start").union(copies).groupBy("row").agg(F.collect_list("start").alias("starts"))
 
 
 def spans_of(starts: list[int]) -> list[tuple[int, int]]:
@@ -408,7 +422,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Data
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, data, where in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, (row, where) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                data = batch.column(1)[i].as_py()
                 spans, at, kept = spans_of(where), 0, []
                 for a, b in spans:
                     kept.append(data[at:a])

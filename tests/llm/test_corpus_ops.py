@@ -72,14 +72,15 @@ def test_repeats_match_brute_force(spark, monkeypatch):
 def test_anchors_do_not_depend_on_place_or_block(monkeypatch):
     r = random.Random(4)
     text = " ".join(words(r, 300)).encode()
-    whole = {(int(p), int(h)) for p, h in zip(*suffixes.anchors(text))}
-    shifted = {(int(p) - 1000, int(h)) for p, h in zip(*suffixes.anchors(b"z" * 1000 + text))}
-    assert {x for x in shifted if 400 <= x[0] < len(text) - 400} == {x for x in whole if 400 <= x[0] < len(text) - 400}
+    whole = set(zip(*(x.tolist() for x in suffixes.anchors(text))))
+    shifted = {(p - 1000, h, a - 1000, b - 1000) for p, h, a, b in zip(*(x.tolist() for x in suffixes.anchors(b"z" * 1000 + text)))}
+    assert {x for x in shifted if 400 <= x[2]} == {x for x in whole if 400 <= x[2]}
+    owned = sorted((a, b) for _, _, a, b in whole)
+    assert owned[0][0] == 0 and owned[-1][1] == len(text) - 400 and all(b + 1 == a for (_, b), (a, _) in zip(owned, owned[1:]))
     monkeypatch.setattr(suffixes, "BLOCK", 64)
     monkeypatch.setattr(suffixes, "_TABLES", {})
-    assert {(int(p), int(h)) for p, h in zip(*suffixes.anchors(text))} == whole
-    starts = sorted(p for p, _ in whole)
-    assert all(any(s <= p <= s + suffixes.LEFT for p in starts) for s in range(len(text) - 399))
+    assert set(zip(*(x.tolist() for x in suffixes.anchors(text)))) == whole
+    assert all(a <= b <= p <= a + suffixes.LEFT for p, _, a, b in whole)
 
 
 def test_loser_tree_merges_with_common_prefixes(monkeypatch):
