@@ -6,9 +6,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.operators import timeline as TL
 
+# Reasons and answers of the control interface, used here and by the live control.
 STARTED_REASON = "Processing started via API"
 STOPPED_REASON = "Processing stopped via API"
 STARTUP_REASON = "Application startup"
+START_ANSWER = "Processing started successfully"
+STOP_ANSWER = "Processing stopped successfully. Messages will remain in queue."
+RESET_ANSWER = "Reset completed successfully. Processing stopped and files cleared."
+TOGGLE_ANSWER = "Processing %s successfully. Previous state: %s, Current state: %s. %s"
+WORDS = ("stopped", "started")
+STATES = ("disabled", "enabled")
+TAILS = ("Messages will remain in queue.", "Now consuming messages from queue.")
 
 
 def control_replay(log: DataFrame, slicing: TL.Slicing = TL.Slicing()) -> DataFrame:
@@ -86,25 +94,19 @@ def control_state(replay: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def control_response(replay: DataFrame) -> DataFrame:
     """The answer each command gives: success flag, states, consumer status, message."""
-    word = F.when(F.col("state_after") == 1, F.lit("started")).otherwise(F.lit("stopped"))
 
-    def label(c: str) -> Column:
-        return F.when(F.col(c) == 1, F.lit("enabled")).otherwise(F.lit("disabled"))
+    def choose(c: str, values: tuple[str, str]) -> Column:
+        return F.when(F.col(c) == 1, F.lit(values[1])).otherwise(F.lit(values[0]))
 
-    tail = F.when(F.col("state_after") == 1, F.lit("Now consuming messages from queue.")).otherwise(
-        F.lit("Messages will remain in queue.")
-    )
+    word = choose("state_after", WORDS)
     cmd = F.lower("cmd")
     message = (
-        F.when(cmd == "start", F.lit("Processing started successfully"))
-        .when(cmd == "stop", F.lit("Processing stopped successfully. Messages will remain in queue."))
-        .when(cmd == "reset", F.lit("Reset completed successfully. Processing stopped and files cleared."))
+        F.when(cmd == "start", F.lit(START_ANSWER))
+        .when(cmd == "stop", F.lit(STOP_ANSWER))
+        .when(cmd == "reset", F.lit(RESET_ANSWER))
         .when(
             cmd == "toggle",
-            F.format_string(
-                "Processing %s successfully. Previous state: %s, Current state: %s. %s",
-                word, label("state_before"), label("state_after"), tail,
-            ),
+            F.format_string(TOGGLE_ANSWER, word, choose("state_before", STATES), choose("state_after", STATES), choose("state_after", TAILS)),
         )
     )
     return replay.select(

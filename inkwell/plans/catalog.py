@@ -15,7 +15,9 @@ from inkwell.operators.evaluate import computed_once
 from inkwell.plans import fixtures as FX
 from inkwell.plans.process import chunk_references, flag_messages, from_table, process_directory, process_refs, staged
 from inkwell.session import shared_dir
+from inkwell.sinks import exports as EX
 from inkwell.sources import files as FS, messages as M, queues as Q
+from inkwell.sources.fetch import fetch_content
 from inkwell.streaming.processor import DocumentStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,13 +46,34 @@ def query(fn: Query) -> Query:
 # -- sources ---------------------------------------------------------------
 
 
+def _text_files(spark, sf) -> str:
+    """Every document as a text file of its own, in a new folder."""
+    docs = FX.texts(spark, sf, "documents", "doc_id", "source", "text")
+    folder = f"{shared_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    named = docs.select(F.concat("source", F.lit("/doc+"), "doc_id", F.lit(".txt")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    EX.export_text_files(named, folder, "path", "text")
+    return folder
+
+
 @query
 def scan_binary(spark, sf):
-    return FS.scan_files(FX.configure(spark), sf, glob="*.parquet", metadata_only=True).select(
-        F.substring_index("path", "/", -1).alias("filename"), "length"
+    """Export of all texts and a scan of the folder."""
+    return FS.scan_files(spark, _text_files(spark, sf), recursive=True, glob="*.txt").select(
+        F.substring_index("path", "/", -1).alias("filename"), "length", F.sha2("content", 256).alias("content_sha")
     )
 
 
+@query
+def fetch_files(spark, sf):
+    """The same files opened one by one by their references; some references name no file."""
+    folder = _text_files(spark, sf)
+    docs = FX.table(spark, sf, "documents").select("doc_id", "source")
+    missing = docs.where("doc_id % 23 = 0").select((F.col("doc_id") + FX.BLANK_FILES).alias("doc_id"), "source")
+    url = F.concat(F.lit("http://namenode:9870/webhdfs/v1/"), "source", F.lit("/doc+"), "doc_id", F.lit(".txt"))
+    got = fetch_content(docs.union(missing).select(F.col("doc_id").alias("msg_id"), url.alias("url")), folder)
+    return got.select("msg_id", "fetched", "length", F.sha2("content", 256).alias("content_sha"), "fetch_error")
+
+
 @query
 def parse_file_refs(spark, sf):
     return M.parse_file_refs(FX.file_refs(spark, sf)).select(

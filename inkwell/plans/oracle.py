@@ -226,6 +226,13 @@ DOC_CHUNKS = "WITH RECURSIVE " + chunks_sql(
 
 # -- sources ---------------------------------------------------------------
 
+ORACLES["scan_binary"] = f"""SELECT 'doc+' || doc_id || '.txt' AS filename, CAST(strlen(coalesce(text, '')) AS BIGINT) AS length,
+       {SHA.format("coalesce(text, '')")} AS content_sha FROM documents"""
+
+ORACLES["fetch_files"] = f"""SELECT doc_id AS msg_id, true AS fetched, CAST(strlen(coalesce(text, '')) AS BIGINT) AS length,
+       {SHA.format("coalesce(text, '')")} AS content_sha, NULL AS fetch_error FROM documents
+UNION ALL SELECT doc_id + 1000000000, false, NULL, NULL, 'NOT_FOUND' FROM documents WHERE doc_id % 23 = 0"""
+
 ORACLES["parse_file_refs"] = f"""WITH {FILE_REFS}
 SELECT msg_id, arrived_at, type, url, input_stream AS "inputStream", output_stream AS "outputStream", malformed FROM parsed"""
 

@@ -108,7 +108,7 @@ def process_directory(files: DataFrame, done_paths: DataFrame | None = None, **k
     texts = X.extract_text(named, **kwargs)
     outcome = O.outcome_of(
         F.lit(None).cast("string"), F.lit("FIRST"), F.col("content").isNotNull(), F.col("failure"), F.col("text"),
-        unicode_blank=True,
+        unicode_blank=True, fetch_error=F.when(F.col("length") > FS.MAX_FILE_BYTES, F.lit("TOO_LARGE")),
     )
     return (
         texts.withColumn("outcome", outcome)

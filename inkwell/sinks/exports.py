@@ -7,9 +7,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
 
-def last_write_per_path(df: DataFrame, path: str = "output_path", order: str = "arrived_at") -> DataFrame:
-    """The text that would remain after overwriting in arrival order."""
-    w = Window.partitionBy(path).orderBy(F.desc(order))
+def last_write_per_path(df: DataFrame, path: str = "output_path", order: tuple[str, ...] = ("arrived_at",)) -> DataFrame:
+    """The row that would remain after overwriting in the order given; name a column that settles ties."""
+    w = Window.partitionBy(path).orderBy(*[F.desc(c) for c in order])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

@@ -56,15 +56,15 @@ class BatchTable:
         df.write.mode("overwrite").parquet(self.batch_path(batch_id))
         return self.spark.read.schema(df.schema).parquet(self.batch_path(batch_id))
 
-    def read(self, schema: StructType, before: int | None = None) -> DataFrame:
-        """All batches, or those before the given one."""
-        if not sub_dirs(self.spark, self.path):
-            return self.spark.createDataFrame([], schema)
+    def read(self, schema: StructType, before: int | None = None, with_batch: bool = False) -> DataFrame:
+        """All batches, or those before the given one; ``with_batch`` keeps their number."""
         full = StructType([*schema.fields, BATCH_ID])
+        if not sub_dirs(self.spark, self.path):
+            return self.spark.createDataFrame([], full if with_batch else schema)
         df = self.spark.read.schema(full).option("basePath", self.path).parquet(self.path)
         if before is not None:
             df = df.where(F.col("batch_id") < before)  # partition filter
-        return df.select(*schema.fieldNames())
+        return df if with_batch else df.select(*schema.fieldNames())
 
 
 class LedgerTable:
@@ -78,6 +78,16 @@ class LedgerTable:
         names = schemas.LEDGER.fieldNames()
         self.batches.write(df.select(*[F.col(n).cast(schemas.LEDGER[n].dataType) for n in names]), batch_id)
 
+    def next_batch(self) -> int:
+        """The first batch that is not committed: batches run in order and the ledger is written last."""
+        done = [
+            int(d.split("=")[1])
+            for d in sub_dirs(self.spark, self.batches.path)
+            if path_exists(self.spark, f"{self.batches.path}/{d}/_SUCCESS")
+        ]
+        snapshot = self._snapshot(None)
+        return max([*done, -1 if snapshot is None else snapshot], default=-1) + 1
+
     def _snapshot(self, before: int | None) -> int | None:
         done = [
             int(d.split("=")[1])

@@ -16,7 +16,7 @@ def scan_files(spark: SparkSession, directory: str, recursive: bool = False, glo
     """Regular files of a directory: path, modificationTime, length and content.
 
     ``metadata_only`` leaves ``content`` out, so no file is opened. Files above the
-    binary row limit are not read here; see :func:`oversized_files`.
+    binary row limit keep their row, with NULL content.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
@@ -24,11 +24,12 @@ def scan_files(spark: SparkSession, directory: str, recursive: bool = False, glo
     files = reader.load(directory)
     if metadata_only:
         return files.select("path", "modificationTime", "length")
-    return files.where(F.col("length") <= MAX_FILE_BYTES)  # pushed into the scan
+    large = files.where(F.col("length") > MAX_FILE_BYTES).select("path", "modificationTime", "length", F.lit(None).cast("binary").alias("content"))
+    return files.where(F.col("length") <= MAX_FILE_BYTES).unionByName(large)  # both filters are pushed into the scan
 
 
 def oversized_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """Files that get a TOO_LARGE outcome instead of being read."""
+    """The files that are not read."""
     return scan_files(spark, directory, recursive, metadata_only=True).where(F.col("length") > MAX_FILE_BYTES)
 
 

@@ -17,7 +17,12 @@ Starter = Callable[[str, str], StreamingQuery]
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    """With its zone: a naive time would be read in the zone of the driver."""
+    return datetime.now(timezone.utc)
+
+
+def _text(at: datetime) -> str:
+    return at.replace(tzinfo=None).isoformat() + "Z"
 
 
 class PipelineControl:
@@ -53,6 +58,15 @@ class PipelineControl:
         row = [(int(_now().timestamp() * 1_000_000), self.instance_id, _now(), cmd)]
         self.spark.createDataFrame(row, schemas.CONTROL_LOG).write.mode("append").parquet(self._log_path)
 
+    def _notice_end(self) -> None:
+        """A query that ended by itself is logged as a stop, with its reason."""
+        if self.query is not None and not self.query.isActive:
+            error = self.query.exception()
+            self.query = None
+            self.reason = f"Query ended: {error}" if error else "Query ended"
+            self.last_changed = _now()
+            self._record("stop")
+
     def _set(self, on: bool) -> bool:
         if on == self.enabled:
             return False
@@ -75,54 +89,56 @@ class PipelineControl:
             "enabled": on,
             "status": "STARTED" if on else "STOPPED",
             "consumerStatus": "CONSUMING" if on else "IDLE",
-            "lastChanged": self.last_changed.isoformat() + "Z",
-            "timestamp": _now().isoformat() + "Z",
+            "lastChanged": _text(self.last_changed),
+            "timestamp": _text(_now()),
             **extra,
         }
 
     def start(self) -> dict:
+        self._notice_end()
         self._record("start")
-        return self._answer("Processing started successfully", self._set(True))
+        return self._answer(K.START_ANSWER, self._set(True))
 
     def stop(self) -> dict:
+        self._notice_end()
         self._record("stop")
         changed = self._set(False)
-        return self._answer("Processing stopped successfully. Messages will remain in queue.", changed)
+        return self._answer(K.STOP_ANSWER, changed)
 
     def toggle(self) -> dict:
+        self._notice_end()
         self._record("toggle")
         was = self.enabled
         changed = self._set(not was)
-        word, names = ("stopped" if was else "started"), ("enabled", "disabled")
-        tail = "Messages will remain in queue." if was else "Now consuming messages from queue."
-        message = (
-            f"Processing {word} successfully. Previous state: {names[0] if was else names[1]}, "
-            f"Current state: {names[1] if was else names[0]}. {tail}"
-        )
+        now = int(not was)
+        word = K.WORDS[now]
+        message = K.TOGGLE_ANSWER % (word, K.STATES[int(was)], K.STATES[now], K.TAILS[now])
         before = {"enabled": was, "status": "STARTED" if was else "STOPPED"}
         return self._answer(message, changed, action=word, previousState=before)
 
     def reset(self) -> dict:
         """Stop, drop all output and processing history, continue in a new generation."""
+        self._notice_end()
         self._record("reset")
         self._set(False)
         old, number = self.tables, self.generation
         created = TB.ensure_dir(self.spark, f"{self.root}/generations/gen={number + 1}")
         cleared = TB.delete_dir(self.spark, old)
         return self._answer(
-            "Reset completed successfully. Processing stopped and files cleared.", True,
+            K.RESET_ANSWER, True,
             hdfsCleared=cleared, directoryRecreated=created,
         )
 
     def state(self) -> dict:
+        self._notice_end()
         on = self.enabled
         return {
             "enabled": on,
             "status": "STARTED" if on else "STOPPED",
             "consumerStatus": "CONSUMING" if on else "IDLE",
-            "lastChanged": self.last_changed.isoformat() + "Z",
+            "lastChanged": _text(self.last_changed),
             "lastChangeReason": self.reason,
-            "timestamp": _now().isoformat() + "Z",
+            "timestamp": _text(_now()),
         }
 
     def log(self) -> DataFrame:

@@ -26,7 +26,8 @@ def partial_activity(metrics: DataFrame) -> DataFrame:
         for pdf in batches:
             if pdf.empty:
                 continue
-            pdf = pdf.sort_values(["activity_us", "event_id"], kind="stable")
+            # of equal times a SHUTDOWN counts as the later one, in whatever order they come
+            pdf = pdf.assign(_down=pdf["event"] == "SHUTDOWN").sort_values(["activity_us", "_down"], kind="stable")
             yield pdf.groupby(["service", "instanceId"], as_index=False, dropna=False).agg(
                 activity_us=("activity_us", "max"), beat_us=("beat_us", "max"), last_event=("event", "last")
             ).astype({"beat_us": "Int64"})
@@ -34,7 +35,7 @@ def partial_activity(metrics: DataFrame) -> DataFrame:
     us = F.unix_micros("ts")
     slim = metrics.select(
         "service", "instanceId", us.alias("activity_us"),
-        F.when(F.col("event").isin("INIT", "HEARTBEAT"), us).alias("beat_us"), "event", "event_id",
+        F.when(F.col("event").isin("INIT", "HEARTBEAT"), us).alias("beat_us"), "event",
     )
     return slim.mapInPandas(combine, ACTIVITY)
 
@@ -61,7 +62,7 @@ class PresenceProcessor(StatefulProcessor):
         now = timerValues.getCurrentProcessingTimeInMs()
         latest, event = -1, None
         for r in rows:
-            if r.activity_us >= latest:
+            if (r.activity_us, r.last_event == "SHUTDOWN") > (latest, event == "SHUTDOWN"):
                 latest, event = r.activity_us, r.last_event
         old = self.state.get() if self.state.exists() else None
         if old is not None and old[2] > latest:

@@ -11,6 +11,7 @@ from inkwell import schemas
 from inkwell.functions import urls as U
 from inkwell.operators import chunks as C, ledger as L, outcomes as O, refs as R
 from inkwell.plans.process import Fetch, process_refs, with_text
+from inkwell.sinks import exports as EX
 from inkwell.sinks.tables import BatchTable, LedgerTable
 
 Sink = Callable[[DataFrame, int], None]
@@ -76,11 +77,16 @@ class DocumentStream:
         self.ledger.write(self._ledger_rows(outcomes, chunked), batch_id)
 
     def _ledger_rows(self, outcomes: DataFrame, chunked: DataFrame) -> DataFrame:
-        """Terminal outcomes of accepted references; duplicates are in the ledger already."""
+        """Terminal outcomes of accepted references; duplicates are in the ledger already.
+
+        ``processed_at`` is the time of this write, so a marker set after it asks for
+        another run and one set before it does not; ``elapsed_ms`` counts from arrival.
+        """
         per_url = chunked.groupBy("url_key").agg(F.count(F.lit(1)).alias("_chunks"))
         settled = outcomes.where(F.col("dedupe") == "FIRST").join(per_url, "url_key", "left")
+        waited = F.unix_millis(F.current_timestamp()) - F.unix_millis("arrived_at")
         return L.ledger_rows(
-            settled, status=F.col("outcome"), processed_at=F.col("arrived_at"),
+            settled.withColumn("elapsed_ms", F.greatest(waited, F.lit(0))), status=F.col("outcome"), processed_at=F.localtimestamp(),
             chunk_count=F.coalesce("_chunks", F.lit(0)),
         )
 
@@ -93,20 +99,31 @@ class DocumentStream:
             .start()
         )
 
+    def _committed(self, name: str, schema) -> DataFrame:
+        """Rows with their batch number; a batch counts when its ledger rows are there."""
+        return self.table(name).read(schema, before=self.ledger.next_batch(), with_batch=True)
+
     def outcomes(self) -> DataFrame:
-        return self.table("outcomes").read(schemas.OUTCOMES)
+        return self._committed("outcomes", schemas.OUTCOMES).drop("batch_id")
+
+    def _current(self) -> DataFrame:
+        """(batch_id, url_key) of the text that each output path holds: a later one overwrites it."""
+        done = self._committed("texts", schemas.TEXTS).where("outcome = 'COMPLETED'")
+        paths = done.select("batch_id", "url_key", "arrived_at", "msg_id", U.output_path(F.col("url"), F.col("filename")).alias("output_path"))
+        return EX.last_write_per_path(paths, order=("batch_id", "arrived_at", "msg_id", "url_key")).select("batch_id", "url_key")
 
     def texts(self) -> DataFrame:
-        """Completed documents with their joined text and its output path."""
-        done = with_text(self.table("texts").read(schemas.TEXTS).where("outcome = 'COMPLETED'"))
-        return done.withColumn("output_path", U.output_path(F.col("url"), F.col("filename")))
+        """Completed documents with their joined text, one per output path."""
+        done = self._committed("texts", schemas.TEXTS).where("outcome = 'COMPLETED'").join(self._current(), ["batch_id", "url_key"], "left_semi")
+        return with_text(done).withColumn("output_path", U.output_path(F.col("url"), F.col("filename"))).drop("batch_id")
 
     def chunks(self) -> DataFrame:
-        return self.table("chunks").read(schemas.CHUNKS)
+        """Chunks of the same documents."""
+        return self._committed("chunks", schemas.CHUNKS).join(self._current(), ["batch_id", "url_key"], "left_semi").drop("batch_id")
 
     def processed(self) -> DataFrame:
         """Latest completed ledger row per file name."""
-        return L.processed_view(L.ledger_latest(self.ledger.read()))
+        return L.processed_view(L.ledger_latest(self.ledger.read(), order=("processed_at", "url_key")))
 
     def backlog(self, seen: DataFrame) -> DataFrame:
         """Referenced URL keys that have no terminal outcome yet."""

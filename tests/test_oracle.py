@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle as CO
+from inkwell.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not available")
@@ -20,12 +21,12 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_twins_exist_for_all_but_the_file_listing():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"scan_binary"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_a_twin():
+    assert set(catalog.QUERIES) == set(oracle.ORACLES)
+    assert set(oracle.ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLES))
 def test_query_matches_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = CO.rows_of(df.columns, [tuple(r) for r in df.collect()])

@@ -103,7 +103,9 @@ def test_failed_sink_leaves_no_ledger_rows(spark, store):
     with pytest.raises(RuntimeError):
         stream.process_batch(batch, 0)
     assert stream.ledger.read().count() == 0
+    assert stream.outcomes().count() == stream.texts().count() == stream.chunks().count() == 0  # not committed yet
     stream.process_batch(batch, 0)
+    assert stream.texts().count() == 1
     assert calls == [1, 1] and [r.status for r in stream.ledger.read().collect()] == ["COMPLETED"]
 
 
@@ -123,9 +125,13 @@ def test_reprocess_marker_lets_a_url_pass(spark, store):
     batch = spark.createDataFrame([(message(store, "a.txt"),)], "value string")
     stream.process_batch(batch, 0)
     urls = stream.outcomes().select("url")
-    stream.ledger.write(L.reprocess_markers(urls, F.lit("2100-01-01").cast("timestamp_ntz")), 1)
+    stream.ledger.write(L.reprocess_markers(urls, F.localtimestamp()), 1)
     stream.process_batch(batch, 2)
     assert [r.outcome for r in spark.read.parquet(str(store / "out" / "outcomes" / "batch_id=2")).collect()] == ["COMPLETED"]
+    stream.process_batch(batch, 3)  # the completion after the marker counts, though the message is older than it
+    assert [r.outcome for r in spark.read.parquet(str(store / "out" / "outcomes" / "batch_id=3")).collect()] == ["DUPLICATE"]
+    assert stream.texts().count() == 1 and stream.chunks().select("chunk_no").distinct().count() == stream.chunks().count()
+    assert all(r.elapsed_ms is not None and r.elapsed_ms >= 0 for r in stream.processed().collect())
 
 
 def test_ledger_compaction_keeps_rows(spark, store):
@@ -220,12 +226,12 @@ def test_heartbeat_windows_on_a_stream(spark, tmp_path):
 
 def test_live_presence(spark, tmp_path):
     src = tmp_path / "m"
-    schema = "event_id long, service string, instanceId string, ts timestamp, event string"
+    schema = "service string, instanceId string, ts timestamp, event string"
 
     def send(n, rows):
         spark.createDataFrame(rows, "event_id long, service string, instanceId string, s int, event string").withColumn(
             "ts", F.timestamp_seconds("s")
-        ).drop("s").coalesce(1).write.mode("append").parquet(str(src))
+        ).drop("s", "event_id").coalesce(1).write.mode("append").parquet(str(src))
 
     send(0, [(1, "s", "a", 1, "INIT"), (2, "s", "a", 2, "HEARTBEAT"), (3, "s", "b", 1, "INIT"), (4, "s", "b", 2, "SHUTDOWN")])
     got = []
