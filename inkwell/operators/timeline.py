@@ -1,69 +1,49 @@
 """Running values over a log in which a few keys may own most of the rows.
 
-A plain window over ``partitionBy(instance)`` puts the whole history of an instance
-in one task. Instances with very many rows are therefore cut into time slices: the
-window runs over (slice, instance), each slice is reduced to one row, the few slice
-rows per instance are combined by a second window, and the carried value is joined
-back. All other instances have a single slice and pay only for the counting.
-
-Bounds, whatever the data volume: an unsliced key owns less than ``hot_rows`` rows or
-at most 1/``hot_keys`` of all rows; slice rows per key are time range / slice width.
+A plain window over ``partitionBy(instance)`` puts the whole history of an instance in
+one task. Here every key is cut into time slices of one width: the window runs over
+(slice, instance), each slice is reduced to one row, the slice rows of an instance are
+combined by a second window, and the carried value is joined back. All keys take this
+path; there are no counts, key lists or bounds that choose between plans.
+
+The rows move once, by (slice, key); the slices' reduction and the join use the same
+partitioning. Besides them only slice rows move: at most one per key and slice. A task's
+window holds one key's rows of one slice, so the width is what bounds it: choose it for
+the busiest key. Rows of one moment stay together.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICE, HOT = "_slice", "_hot"
-NO_KEY = "\u0000"
+SLICE = "_slice"
+BEFORE_ALL = -(1 << 62)  # rows without a time sort first
 
 
 class Slicing(NamedTuple):
-    """When and how finely keys are cut."""
+    """How finely keys are cut."""
 
     width_s: int = 3600
-    hot_rows: int = 1_000_000
-    hot_keys: int = 16_384
 
 
 class Timeline:
-    """Windows of one log: text ``keys``, event time ``ts`` and a total ``order``."""
+    """Windows of one log: ``keys``, event time ``ts`` and a total ``order``."""
 
     def __init__(self, keys: list[str], order: list[str], ts: str = "ts", slicing: Slicing = Slicing()):
         self.keys, self.order, self.ts, self.slicing = keys, order, ts, slicing
-        # numbers first: sorting then compares them before it compares text. The flag
-        # is part of the group so that a filter on it reaches below the windows.
-        self.group = [HOT, SLICE, *keys]
+        # the number first: sorting then compares it before it compares text
+        self.group = [SLICE, *keys]
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        """Add the flag of hot keys and the slice number, 0 for all other keys.
-
-        NULL keys get a stand-in so that they join like others; :meth:`restored`
-        brings them back.
-        """
-        keyed = df.select(
-            *[F.coalesce(F.col(c), F.lit(NO_KEY)).alias(c) if c in self.keys else F.col(c) for c in df.columns]
-        )
-        hot = (
-            keyed.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= self.slicing.hot_rows)
-            .orderBy(F.desc("_n"), *self.keys)
-            .limit(self.slicing.hot_keys)
-            .select(*self.keys, F.lit(True).alias("_is_hot"))
-        )
-        number = F.call_function("div", F.unix_micros(F.col(self.ts)), F.lit(self.slicing.width_s * 1_000_000))
-        flag = F.coalesce("_is_hot", F.lit(False))
-        return (
-            keyed.join(F.broadcast(hot), self.keys, "left")
-            .withColumns({HOT: flag, SLICE: F.coalesce(F.when(flag, number), F.lit(0).cast("long"))})
-            .drop("_is_hot")
-        )
+        """Add the slice number."""
+        number = F.floor(F.unix_micros(F.col(self.ts).cast("timestamp")) / F.lit(self.slicing.width_s * 1_000_000))
+        return df.withColumn(SLICE, F.coalesce(number.cast("long"), F.lit(BEFORE_ALL)))
 
     def restored(self, columns: list[str]) -> list[Column]:
-        return [F.nullif(F.col(c), F.lit(NO_KEY)).alias(c) if c in self.keys else F.col(c) for c in columns]
+        return [F.col(c) for c in columns]
 
     def _in_slice(self):
         return Window.partitionBy(*self.group).orderBy(*self.order)
@@ -99,10 +79,12 @@ class Timeline:
         expressions over those rows, built with :meth:`before` or :meth:`after`, and
         may use the columns of the previous one.
         """
-        carry = local.where(F.col(HOT)).groupBy(*self.group).agg(*[e.alias(n) for n, e in tails.items()])
+        carry = local.groupBy(*self.group).agg(*[e.alias(n) for n, e in tails.items()])
         for step in carries:
             carry = carry.withColumns(step)
-        return local.join(carry.drop(*tails), self.group, "left")
+        theirs = carry.drop(*tails).withColumnsRenamed({c: f"_of{c}" for c in self.group})
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in self.group])
+        return local.join(theirs, same, "left").drop(*[f"_of{c}" for c in self.group])
 
 
 def running_sum(df: DataFrame, line: Timeline, value: Column, name: str) -> DataFrame:

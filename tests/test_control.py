@@ -36,7 +36,7 @@ def sequential(rows):
 def test_replay_matches_loop(spark):
     rows = make_log()
     # all keys sliced, only the hot one, none; and fewer slots than hot keys
-    for slicing in (Slicing(60, 1), Slicing(3600, 500), Slicing(), Slicing(60, 1, 3)):
+    for slicing in (Slicing(60), Slicing(3600), Slicing(), Slicing(1)):
         got = K.control_replay(spark.createDataFrame(rows, schemas.CONTROL_LOG), slicing).collect()
         assert {r.cmd_id: (r.state_before, r.state_after) for r in got} == sequential(rows)
         assert all(r.changed == (r.state_before != r.state_after) for r in got)
@@ -50,7 +50,7 @@ def test_replay_edges(spark):
         (8, None, T0 + timedelta(days=1), "state"), (9, "before1970", datetime(1969, 12, 31, 23), "start"),
         (10, "before1970", datetime(1970, 1, 1, 1), "state"),
     ]
-    got = {r.cmd_id: r for r in K.control_replay(spark.createDataFrame(rows, schemas.CONTROL_LOG), Slicing(3600, 1)).collect()}
+    got = {r.cmd_id: r for r in K.control_replay(spark.createDataFrame(rows, schemas.CONTROL_LOG), Slicing(3600)).collect()}
     assert [got[i].state_after for i in range(1, 11)] == [1, 1, 0, 0, 1, 1, 1, 1, 1, 1]
     assert [got[i].changed for i in (1, 2, 3, 4, 5, 6)] == [True, False, True, False, True, False]
     assert got[4].reported_change
@@ -82,7 +82,7 @@ def test_backlog_and_depth(spark):
     arr = [(r[1], T0 + timedelta(seconds=rnd.randint(0, 45000), microseconds=500), 100000 + i) for i, r in enumerate(make_log(1500, seed=9))]
     replay = K.control_replay(spark.createDataFrame(log, schemas.CONTROL_LOG))
     arrivals = spark.createDataFrame(arr, "instance_id string, ts timestamp, event_id long")
-    consumed = K.consume_backlog(arrivals, replay, slicing=Slicing(1800, 1))
+    consumed = K.consume_backlog(arrivals, replay, slicing=Slicing(1800))
     got = {r.event_id: r for r in consumed.collect()}
     assert len(got) == len(arr)
     states = sequential(log)
@@ -92,7 +92,7 @@ def test_backlog_and_depth(spark):
         starts = [r[2] for r in ordered if r[1] == inst and r[2] > ts and states[r[0]] == (0, 1)]
         want = ts if past and past[-1] == 1 else (starts[0] if starts else None)
         assert got[eid].consumed_at == want, (inst, ts)
-    series = K.queue_depth_series(consumed, slicing=Slicing(900, 1)).collect()
+    series = K.queue_depth_series(consumed, slicing=Slicing(900)).collect()
     by_inst = {}
     for r in sorted(series, key=lambda r: r.ts):
         depth = by_inst.get(r.instance_id, 0) + r.arrived - r.taken

@@ -104,12 +104,12 @@ def random_rows(n=2000):
 def test_running_values_match_loops(spark):
     rows = random_rows()
     m = stream(spark, rows)
-    errors = {r.event_id: (r.errorCount, r.lastError) for r in MO.error_tracking(m, slicing=Slicing(700, 1)).collect()}
-    boots = {r.event_id: r.bootEpoch for r in MO.boot_epochs(m, slicing=Slicing(700, 1)).collect()}
-    missed = {r.event_id: (r.previous_ts, r.missed) for r in MO.missed_heartbeats(m, 60, slicing=Slicing(700, 1)).collect()}
+    errors = {r.event_id: (r.errorCount, r.lastError) for r in MO.error_tracking(m, slicing=Slicing(700)).collect()}
+    boots = {r.event_id: r.bootEpoch for r in MO.boot_epochs(m, slicing=Slicing(700)).collect()}
+    missed = {r.event_id: (r.previous_ts, r.missed) for r in MO.missed_heartbeats(m, 60, slicing=Slicing(700)).collect()}
     status = {
         r.event_id: r.mapped_status
-        for r in MO.status_mapping(m.withColumn("status", F.col("event")), F.lit(True), 300, slicing=Slicing(700, 1)).collect()
+        for r in MO.status_mapping(m.withColumn("status", F.col("event")), F.lit(True), 300, slicing=Slicing(700)).collect()
     }
     seen, n_err, last_err, boot, beat, work = set(), {}, {}, {}, {}, {}
     for i, inst, sec, ev in sorted(rows, key=lambda r: (r[2], r[0])):
