@@ -48,7 +48,7 @@ MIN_LITERAL = 6
 
 _NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*|\[\s*[\"'][\w.-]+[\"']\s*\])*"
 _STRING = r"[rbuf]?(?:\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*')"
-_TARGET = re.compile(rf"(?<![\w$.])(?:(?P<q>[\"'])(?P<qname>[\w.-]+)(?P=q)|(?P<name>{_NAME}))(?:\s*:\s*[A-Za-z_][\w\[\], .]*?(?=\s*=))?[ \t]*(?P<op>:=|=>|=(?![=>~])|:(?![:/]))[ \t]*")
+_TARGET = re.compile(rf"(?<![\w$.])(?<!\w-)(?:(?P<q>[\"'])(?P<qname>[\w.-]+)(?P=q)|(?P<name>{_NAME}))(?:\s*:\s*[A-Za-z_][\w\[\], .]*?(?=\s*=))?[ \t]*(?P<op>:=|=>|=(?![=>~])|:(?![:/]))[ \t]*")
 _VALUE = re.compile(rf"(?P<joined>{_STRING}(?:[ \t]*[+.][ \t]*{_STRING})*)|(?P<ref>{_NAME})(?=[ \t]*(?:[;,)}}\]#]|$))|(?P<bare>[^\s\"'`,;(){{}}\[\]<>]+)", re.MULTILINE)
 _LITERAL = re.compile(_STRING)
 _OPERATOR = re.compile(r"[:=]")

@@ -72,6 +72,7 @@ def with_first(pages: DataFrame, least_bytes: int = MIN_PAYLOAD) -> DataFrame:
     """page_id, url, payload, row, and the page_id and row of the first row with an equal payload.
 
     Only digests are grouped, combined before the shuffle; the payload joins by digest.
+    ``pages`` must give the same rows when read again (a table does).
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
