@@ -31,6 +31,7 @@ MIN_DOCS = 5
 MIN_LOG_ODDS = 2.5
 STEMS = (4, 8)
 FLUSH = 500_000
+BROADCAST_LABELS = 1_000_000
 
 # Letters of other scripts that look like Latin ones, and their readings.
 LOOKALIKE = dict(zip("авекмнорстухіјѕԁԛԝһαβεικνορτυχ", "abekmhopctyxijsdqwhabeikvoptux", strict=True))
@@ -242,7 +243,10 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     known = labels.where(remainder(F.col("doc_id"), 5) != 0).where("toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).where("toxic = _most").drop("_most")
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
+    texts = docs.select("doc_id", "text")
+    if known.count() <= BROADCAST_LABELS:  # then no text moves
+        return texts.join(F.broadcast(known), "doc_id").select("text", "toxic")
+    return written(texts.join(known, "doc_id").select("text", "toxic"), "labelled")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
