@@ -49,7 +49,8 @@ LEFT = LENGTH - K  # no anchor is farther from the start of its string
 TAG = 8  # bytes of the K-gram's digest before a left context
 BLOCK = 1 << 19
 RUN = 16_384
-SAMPLE = 4096
+SAMPLE = 1000
+SAMPLES_PER_RANGE = 8
 CHUNK = 4 << 20
 _INDEX = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -302,7 +303,9 @@ def sorted_partings(strings: DataFrame, least: int) -> DataFrame:
     spark = strings.sparkSession
     n = strings.count()
     ranges = max(1, -(-n // RUN))
-    sample = sorted(r.text for r in strings.orderBy("name").limit(SAMPLE).collect()) if ranges > 1 else []
+    share = max(SAMPLE, SAMPLES_PER_RANGE * ranges) / max(1, n)
+    chosen = strings.where(F.pmod(F.xxhash64("name"), F.lit(1 << 31)) < int(share * (1 << 31)))
+    sample = sorted(r.text for r in chosen.select("text").collect()) if ranges > 1 else []
     splitters = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
     runs = strings.select("name", "text").mapInArrow(_runs(splitters), "to int, shared array<int>, rest array<binary>, names array<binary>")
     dealt = runs.repartition(len(splitters) + 1, "to").sortWithinPartitions("to")
