@@ -15,10 +15,12 @@ agree in a coordinate with the probability of their similarity.
 
 Search. Documents with equal multisets are one class from the start (only one stands for
 it). BANDS bands of ROWS coordinates are hashed to buckets; at similarity 0.8 a pair shares
-none with probability (1 - 0.8**ROWS)**BANDS = 6e-5. Each bucket compares its smallest
-member with the others (no pairs within the group); buckets whose members are then in
-different components get further leaders, and what is left after ROUNDS of them is
-compared across components only, so that no link between different components is lost.
+none with probability (1 - 0.8**ROWS)**BANDS = 6e-5. Each bucket compares its most central
+member, the one with the most company in all its buckets, with the others (no pairs within
+the group). Where a bucket's members then lie in different components, pairs across them are
+not given up: the numbers of a document's cells that one, a few, some or many documents of
+such buckets have bound the similarity of a pair from above, and pairs that the bound lets
+through are compared too.
 """
 
 from __future__ import annotations
@@ -36,9 +38,10 @@ from inkwell.llm.components import components
 SIMILARITY = 0.8
 ROWS, BANDS = 6, 32
 K = ROWS * BANDS
-ROUNDS = 2
 FIRST_SLAB, LAST_SLAB = 2.0**-8, 4.0
 BLOCK = 1 << 20
+FEW, SOME = 4, 32
+STEP = "CAST(10000000000000000000 AS DECIMAL(20,0))"  # above any row number
 
 
 def weighted_shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -118,24 +121,25 @@ def bands(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Row number, hash of the multiset (null if empty) and band hashes."""
+    """Row number, hash and size of the multiset and band hashes; nothing for empty ones."""
     for batch in batches:
         rows, texts = batch.column(0).to_pylist(), batch.column(1)
         at = 0
         while at < len(rows):
-            bags, ids, digests, n = [], [], [], 0
+            bags, ids, digests, sizes, n = [], [], [], [], 0
             while at < len(rows) and n < BLOCK:  # long texts make smaller groups
                 bag = weighted_shingles(texts[at].as_py())
                 if len(bag[0]):
                     bags.append(bag)
                     ids.append(rows[at])
+                    sizes.append(int(bag[1].sum()))
                     digests.append(hashlib.blake2b(bag[0].tobytes() + bag[1].tobytes(), digest_size=16).digest())
                 n += int(bag[1].sum())
                 at += 1
             if bags:
                 found = bands(signatures(bags))
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(bags) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), flat], ["row", "bag", "bands"])
+                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), flat], ["row", "bag", "size", "bands"])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -158,41 +162,70 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(alike, "a long, b long")
 
 
+def _tiers(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(rep, own, few, some): unit cells that 1, 2 to FEW and up to SOME of the ``rows`` (rep) have.
+
+    Cells of more rows are never joined back, so no cell gathers many of them.
+    """
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, row in enumerate(batch.column(0).to_pylist()):
+                found = _cells(*weighted_shingles(batch.column(1)[i].as_py()))
+                for at in range(0, len(found), BLOCK):
+                    part = found[at : at + BLOCK]
+                    yield pa.record_batch([pa.array(part.view(np.int64)), pa.array(np.full(len(part), row))], ["cell", "rep"])
+
+    named = rows.join(texts.select(F.col("row").alias("rep"), "text"), "rep").select("rep", "text")
+    found = written(named.mapInArrow(cells, "cell long, rep long"), "cells")
+    seen = found.groupBy("cell").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
+    own = seen.where("n = 1").groupBy("rep").agg(F.count("*").alias("own"))
+    shared = found.join(seen.where((F.col("n") > 1) & (F.col("n") <= SOME)).select("cell", "n"), "cell")
+    few = (F.col("n") <= FEW).cast("long")
+    counts = shared.groupBy("rep").agg(F.sum(few).alias("few"), F.sum(1 - few).alias("some"))
+    return own.join(counts, "rep", "full")
+
+
 def near_groups(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(row, root) for each row of ``texts`` (row long unique, text); root is the group's smallest row."""
     small_batches(texts.sparkSession)
-    signed = written(texts.select("row", "text").mapInArrow(_signed, "row long, bag binary, bands array<long>"), "signed")
-    classes = signed.groupBy("bag").agg(F.min("row").alias("rep"))
-    member = written(signed.select("row", "bag").join(classes, "bag").select("row", "rep"), "members")
-    alone = signed.join(member.where("row = rep").select("row"), "row")
-    spread = alone.select(F.col("row").alias("rep"), F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    buckets = written(spread.join(shared.select("bucket", "leader"), "bucket").select("bucket", "rep", "leader"), "buckets")
-    pairs = buckets.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = written(pairs, "pairs")
+    signed = written(texts.select("row", "text").mapInArrow(_signed, "row long, bag binary, size long, bands array<long>"), "signed")
+    # equal multisets have equal sizes and bands
+    classes = signed.groupBy("bag").agg(F.min("row").alias("rep"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"))
+    classes = written(classes, "classes")
+    spread = classes.select("rep", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = written(spread.join(shared, "bucket"), "buckets")
+    central = buckets.groupBy("rep").agg(F.sum("n").alias("company"))
+    packed = F.col("company").cast("decimal(19,0)") * F.expr(STEP) + F.col("rep")
+    heads = buckets.join(central, "rep").groupBy("bucket").agg(F.max(packed.cast("decimal(38,0)")).alias("head"))
+    heads = heads.select("bucket", (F.col("head") % F.expr(STEP)).cast("long").alias("a"))
+    tried = buckets.join(heads, "bucket").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    tried = written(tried, "pairs")
     links = written(_verify(tried, texts, least), "links")
     roots = components(links)
-    for i in range(ROUNDS + 1):
-        # members with their component; buckets that hold more than one component
-        now = buckets.select("bucket", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
-        mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("bucket", "low")
-        now = now.join(mixed, "bucket")
-        if i < ROUNDS:
-            heads = now.where("root <> low").groupBy("bucket").agg(F.min("rep").alias("a"), F.min(F.struct("rep", "root")).getField("root").alias("a_root"))
-            more = now.join(heads, "bucket").where("root <> a_root").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-        else:
-            other = now.select("bucket", F.col("rep").alias("other"), F.col("root").alias("other_root"))
-            more = now.join(other, "bucket").where("rep < other and root <> other_root").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-        fresh = written(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            break
+    # buckets that still hold several components
+    now = buckets.select("bucket", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
+    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("bucket")
+    now = written(now.join(mixed, "bucket"), "mixed")
+    if not now.isEmpty():
+        tiers = _tiers(texts, now.select("rep").distinct())
+        zero = F.lit(0).cast("long")
+        bound = classes.select("rep", "size").join(tiers, "rep", "left").select("rep", "size", *(F.coalesce(c, zero).alias(c) for c in ("own", "few", "some")))
+        bound = bound.withColumn("many", F.col("size") - F.col("own") - F.col("few") - F.col("some"))
+        one = now.join(bound.where(F.col("size") - F.col("own") >= F.lit(least - 1e-9) * F.col("size")), "rep")
+        two = one.select("bucket", *(F.col(c).alias(f"{c}_2") for c in ("rep", "root", "size", "few", "some", "many")))
+        # documents share at most the smaller number of each tier
+        most = F.least("few", "few_2") + F.least("some", "some_2") + F.least("many", "many_2")
+        near = most >= F.lit(least - 1e-9) * (F.col("size") + F.col("size_2") - most)
+        match = (one["bucket"] == two["bucket"]) & (F.col("rep") < F.col("rep_2")) & (F.col("root") != F.col("root_2")) & near
+        fresh = one.join(two, match).select(F.col("rep").alias("a"), F.col("rep_2").alias("b")).distinct()
+        fresh = written(fresh.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
         found = written(_verify(fresh, texts, least), "links")
-        if i < ROUNDS:
-            tried = tried.union(fresh)
         if not found.isEmpty():
-            links = links.union(found)
-            roots = components(links)
-    grouped = member.join(roots, F.col("rep") == F.col("node"), "left").select("row", F.coalesce("root", "rep").alias("root"))
+            roots = components(links.union(found))
+    settled = classes.select("bag", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("bag", F.coalesce("root", "rep").alias("root"))
+    grouped = signed.select("row", "bag").join(settled, "bag").select("row", "root")
     return texts.select("row").join(grouped, "row", "left").select("row", F.coalesce("root", "row").alias("root"))
 
 
