@@ -2,8 +2,10 @@
 
 Texts are folded (case, accents, look-alike letters, digits and signs that stand for
 letters) to words between single blanks. An Aho-Corasick automaton finds lexicon entries:
-whole words (" word ") and stems (" stem", any ending). Each word counts once, with its
-heaviest entry; words that an exception phrase covers do not count. The sum of weights,
+whole words (" word ") and stems (" stem", any ending). In a run of letters and signs every
+sign may be a letter or part words, so a second automaton searches such runs with all signs
+read for entries that start and end beside a sign or at an edge. Each word counts once, with
+its heaviest entry; words that an exception phrase covers do not count. The sum of weights,
 plain and per 100 words, goes through a logistic function to a score.
 
 Entries and weights are learnt: document counts of all words, and of stems over those
@@ -41,13 +43,16 @@ SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown", "pathetic fallacy")
 
 BLANK = 32
+DROPPED = 0
 _SIGN_LETTERS = np.zeros(129, np.uint32)
 for _sign, _letter in SIGNS.items():
     _SIGN_LETTERS[ord(_sign)] = ord(_letter)
 
 
 def _plain(c: str) -> int:
-    """The plain lower-case letter of a character; a blank for what is no letter."""
+    """The plain lower-case letter of a character; a blank for what is no letter, DROPPED for marks and invisible signs."""
+    if unicodedata.category(c) in ("Cf", "Mn", "Me"):
+        return DROPPED
     c = c.lower()
     c = LOOKALIKE.get(c, c)
     base = [x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)]
@@ -62,29 +67,65 @@ def _table() -> np.ndarray:
     return _table.made
 
 
-def fold(text: str) -> str:
-    """Words in plain lower-case letters between single blanks, with a blank at both ends.
+def _letters(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letter (or blank), reading as a sign (or 0) and character of each place, with a blank at both ends.
 
-    Combining marks are dropped with their letter kept only in composed form: texts are composed first.
+    Combining marks are kept only in composed form: texts are composed first.
     """
     if not text.isascii() and not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
     raw = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
     points = _table()[raw]
-    small = np.minimum(raw, 128)
-    sign = _SIGN_LETTERS[small]
-    if sign.any():
-        letter, digit = points != BLANK, (raw >= 48) & (raw <= 57)
-        read = np.zeros(len(raw), bool)
-        for _ in range(4):  # a sign before a letter, with up to three more signs between
-            read[:-1] = (sign[:-1] > 0) & (letter[1:] | read[1:])
-        last = digit & (sign > 0)
-        last[1:-1] &= letter[:-2] & ~(letter | digit)[2:]  # a digit that ends a word
-        points = np.where(read | last, sign, points)
+    if not text.isascii() and not points.all():
+        raw, points = raw[points != DROPPED], points[points != DROPPED]
+    return points, _SIGN_LETTERS[np.minimum(raw, 128)], raw
+
+
+def _runs(points: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each maximal run of letters and signs that holds both."""
+    letter = points != BLANK
+    edge = np.diff((letter | (sign > 0)).view(np.int8))
+    start, end = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
+    letters, signs = (np.concatenate(([0], np.cumsum(x))) for x in (letter, sign > 0))
+    both = (letters[end] > letters[start]) & (signs[end] > signs[start])
+    return start[both], end[both]
+
+
+def _inside(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    step = np.zeros(n + 1, np.int8)
+    step[start] += 1
+    step[end] -= 1
+    return np.cumsum(step[:-1]).astype(bool)
+
+
+def _folded(points: np.ndarray, sign: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[str, np.ndarray]:
+    """The words of ``fold`` and the place of each of their characters."""
+    if len(start):
+        # signs are read throughout a run, but $ @ ! | at its end are punctuation first
+        solid = (points != BLANK) | ((raw >= 48) & (raw <= 57))
+        last = np.maximum.accumulate(np.where(solid, np.arange(len(points)), 0))
+        points = np.where(_inside(start, last[end - 1] + 1, len(points)) & (sign > 0), sign, points)
     keep = points != BLANK
     keep[0] = True
     keep[1:] |= points[:-1] != BLANK
-    return points[keep].tobytes().decode("utf-32-le")
+    return points[keep].tobytes().decode("utf-32-le", "surrogatepass"), np.flatnonzero(keep)
+
+
+def fold(text: str) -> str:
+    """Words in plain lower-case letters between single blanks, with a blank at both ends."""
+    points, sign, raw = _letters(text)
+    return _folded(points, sign, raw, *_runs(points, sign))[0]
+
+
+def words_of(text: str) -> set[str]:
+    """The words of a text, and its runs with every sign read."""
+    points, sign, raw = _letters(text)
+    start, end = _runs(points, sign)
+    words = set(_folded(points, sign, raw, start, end)[0].split())
+    if len(start):
+        full = np.where(_inside(start, end, len(points)), np.where(sign > 0, sign, points), BLANK)
+        words.update(full.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").split())
+    return words
 
 
 @dataclass(frozen=True)
@@ -96,39 +137,81 @@ class Lexicon:
     fit: tuple[float, float, float] = (-4.0, 1.0, 0.0)
 
     def matcher(self):
+        """Automata over folded words and over runs of letters and signs."""
         import ahocorasick
 
-        automaton = ahocorasick.Automaton()
+        words, runs = ahocorasick.Automaton(), ahocorasick.Automaton()
         for pattern, weight in self.terms.items():
-            automaton.add_word(pattern, (len(pattern), weight))
+            words.add_word(pattern, (len(pattern), weight))
+            bare, whole = pattern.strip(), pattern.endswith(" ")
+            by_kind = runs.get(bare, (len(bare), 0.0, 0.0))[1:]
+            runs.add_word(bare, (len(bare), *((max(by_kind[0], weight), by_kind[1]) if whole else (by_kind[0], max(by_kind[1], weight)))))
         for phrase in self.exceptions:
             pattern = fold(phrase)
-            automaton.add_word(pattern, (len(pattern), None))
-        if len(automaton):
-            automaton.make_automaton()
-        return automaton
+            words.add_word(pattern, (len(pattern), None))
+        for automaton in (words, runs):
+            if len(automaton):
+                automaton.make_automaton()
+        return words, runs
 
     def score(self, x: np.ndarray) -> np.ndarray:
         z = self.fit[0] + x @ np.array(self.fit[1:])
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def weigh(text: str, automaton) -> tuple[float, float]:
+def _in_runs(automaton, points: np.ndarray, sign: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict[int, float]:
+    """Weight by place of the entries in runs of letters and signs; of overlapping ones the heaviest."""
+    within = _inside(start, end, len(points))
+    within[end] = True  # a blank
+    at = np.flatnonzero(within)
+    mark = sign[at] > 0
+    full = np.where(mark, sign[at], points[at])
+    full[np.isin(at, end)] = BLANK
+    edge = (mark | (full == BLANK)).tolist()  # what may stand before or after an entry
+    found = []
+    for last, (length, word, stem) in automaton.iter(full.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")):
+        first = last - length + 1
+        if first and not edge[first - 1]:
+            continue
+        weight = max(word if edge[last + 1] else 0.0, stem)
+        if weight > 0:
+            found.append((-weight, first, last))
+    taken: set[int] = set()
+    best: dict[int, float] = {}
+    for weight, first, last in sorted(found):
+        while not edge[last + 1]:
+            last += 1
+        places = range(first, last + 1)
+        if taken.isdisjoint(places):
+            taken.update(places)
+            best[int(at[first])] = -weight
+    return best
+
+
+def weigh(text: str, matcher) -> tuple[float, float]:
     """log1p of the sum of weights, and of the sum per 100 words."""
-    folded = fold(text)
-    if not len(automaton):
+    words, runs = matcher
+    if not len(words):
         return 0.0, 0.0
+    points, sign, raw = _letters(text)
+    start, end = _runs(points, sign)
+    folded, place = _folded(points, sign, raw, start, end)
     best: dict[int, float] = {}
     excused: list[tuple[int, int]] = []
-    for end, (length, weight) in automaton.iter(folded):
-        start = end - length + 1
+    for last, (length, weight) in words.iter(folded):
+        first = int(place[last - length + 2])
         if weight is None:
-            excused.append((start, end))
-        elif weight > best.get(start, 0.0):
-            best[start] = weight
+            excused.append((first, int(place[last])))
+        elif weight > best.get(first, 0.0):
+            best[first] = weight
+    if len(start) and len(runs):
+        if best:
+            own = _inside(start, end, len(points))
+            best = {at: w for at, w in best.items() if not own[at]}
+        best |= _in_runs(runs, points, sign, start, end)
     total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in excused))
-    words = max(1, folded.count(" ") - 1)
-    return math.log1p(total), math.log1p(100 * total / words)
+    n = max(1, folded.count(" ") - 1)
+    return math.log1p(total), math.log1p(100 * total / n)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +224,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held[y].update(set(fold(t or "").split()))
+            held[y].update(words_of(t or ""))
         if len(held[0]) + len(held[1]) > FLUSH:
             yield out()
             held = (Counter(), Counter())
@@ -163,14 +246,24 @@ def _prune(words: list, stems: list) -> dict[str, float]:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
-    """Weighted ridge logistic regression by Newton steps."""
+    """Weighted ridge logistic regression by Newton steps, halved until they lower the loss."""
     x = np.column_stack([np.ones(len(x)), x])
     b = np.zeros(x.shape[1])
-    for _ in range(50):
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float((n * (np.logaddexp(0, z) - y * z)).sum() + 5e-3 * (b[1:] ** 2).sum())
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         g = x.T @ (n * (y - p)) - 1e-2 * b * [0, 1, 1]
         h = (x * (n * p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 1e-2, 1e-2])
-        step = np.clip(np.linalg.solve(h, g), -5, 5)
+        step = np.linalg.solve(h, g)
+        step, now = step * min(1.0, 5 / max(1e-9, np.abs(step).max())), loss(b)
+        for _ in range(40):
+            if loss(b + step) <= now:
+                break
+            step = step / 2
         b = b + step
         if np.abs(step).max() < 1e-6:
             break

@@ -89,6 +89,25 @@ def test_fold_reads_lookalikes_and_signs():
     assert toxicity.fold("") == "  " or toxicity.fold("").strip() == ""
 
 
+def test_every_letter_may_be_a_sign():
+    signs = {v: [k for k, x in toxicity.SIGNS.items() if x == v] for v in toxicity.SIGNS.values()}
+    words = ["idiot", "worthless", "shit", "ass", "scum", "lostraei"]
+    m = toxicity.Lexicon({f" {w} ": 2.0 for w in words[:5]} | {" lostra": 2.0}, ("class clown",)).matcher()
+    for w in words:
+        want = toxicity.weigh(w, m)
+        assert want[0] > 0
+        for pick in range(3):
+            full = "".join(signs[c][pick % len(signs[c])] if c in signs else c for c in w)
+            full = full if any(map(str.isalpha, full)) else w[0] + full[1:]
+            for t in (full, full.upper(), full + "!!!", "$$$" + full, full + "0" * 50, full[:2] + "\u200b" + full[2:], full[:2] + "\u0335\u00ad" + full[2:]):
+                assert toxicity.weigh(t, m) == want, t
+            assert toxicity.weigh(f"{full}!{w}|x", m)[0] > want[0]  # two words
+    for t in ("2024 55 100", "class!", "10th", "b4nd", "x" + "0" * 20, "cl4ss cl0wn!"):
+        assert toxicity.weigh(t, m) == (0.0, 0.0), t
+    assert toxicity.fold("w0rthl355 1d107 sh17 a55") == " worthless idiot shit ass "
+    assert toxicity.words_of("a$$ end!") == {"a", "ass", "end", "endi"}
+
+
 def test_weights_use_stems_exceptions_and_length():
     lexicon = toxicity.Lexicon({" trash ": 2.0, " lowei": 3.0, " loweix ": 4.0}, ("trash can",))
     m = lexicon.matcher()
@@ -99,6 +118,16 @@ def test_weights_use_stems_exceptions_and_length():
     assert toxicity.weigh("slowei", m) == (0.0, 0.0)
 
 
+def test_logistic_fit_settles_on_separable_cells():
+    import numpy as np
+
+    # the cells of a table whose clean rows share one weak word with the toxic ones
+    x = np.array([[0, 0], [1.5, 2.0], [2.25, 2.5], [2.75, 3.25], [3.0, 3.5]])
+    fit = toxicity._logistic(x, np.array([0, 0, 0, 1, 1.0]), np.array([100, 20, 1, 25, 8.0]))
+    z = fit[0] + x @ np.array(fit[1:])
+    assert (z[:3] < 0).all() and (z[3:] > 0).all()
+
+
 def test_toxicity_is_learnt_from_the_training_part(spark):
     r = random.Random(5)
     bad = ["idiot", "moron"] + [f"lostra{x}" for x in ("un", "ei", "ich", "ade", "ung", "wo", "ts", "ku")]
