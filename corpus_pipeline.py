@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from inkwell.llm import decontaminate, mixing, neardup, secrets, toxicity
 from inkwell.llm.common import table, written
 
+# Tokens of the mix; None is the smallest budget that reads every document once.
+MIX_BUDGET = None
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learnt lexicon scores below 0.5."""
@@ -33,9 +36,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return secrets.redact_secrets(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with tokens, weight of their source and number of readings."""
-    return mixing.mix_sources(docs)[0]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str, budget: int | None = MIX_BUDGET) -> DataFrame:
+    """The realised mix: one row per reading, with tokens, weight of its source, number of readings, epoch and turn."""
+    return mixing.realised(docs, budget)
 
 
 STAGES = [

@@ -164,13 +164,25 @@ def mix_sources(
 
 
 def schedule(mixed: DataFrame, copies: str = "copies", key: tuple[str, ...] = ("doc_id", "text"), seed: int = SEED) -> DataFrame:
-    """One row per reading with ``epoch`` and ``turn``: sort by both for a block-permuted order per epoch."""
+    """One row per reading with, last, its epoch and turn: sort by both for a block-permuted order per epoch.
+
+    The columns are named by ``free_name(mixed, "epoch")`` and ``"turn"``.
+    """
+    epoch, turn = free_name(mixed, "epoch"), free_name(mixed, "turn")
     block = F.pmod(F.xxhash64(F.lit(seed), *map(quoted, key)), F.lit(BLOCKS))
-    out = mixed.where(quoted(copies) > 0).withColumn("epoch", F.explode(F.sequence(F.lit(1), quoted(copies))))
-    return out.withColumn("turn", F.xxhash64(F.lit(seed + 1), "epoch", block))
+    out = mixed.where(quoted(copies) > 0).withColumn(epoch, F.explode(F.sequence(F.lit(1), quoted(copies))))
+    return out.withColumn(turn, F.xxhash64(F.lit(seed + 1), quoted(epoch), block))
+
 
+def realised(docs: DataFrame, budget: int | None = None) -> DataFrame:
+    """The mix itself: each row as often as it is read, with tokens, weight, copies, epoch and turn."""
+    out, (_, _, c) = mix_sources(docs, budget=budget)
+    return schedule(out, c)
 
-def mixing_query(docs: DataFrame) -> DataFrame:
-    """doc_id, source, n_tokens, weight, copies of each row, for at most four readings of any source."""
-    out, (n, w, c) = mix_sources(docs.select("doc_id", "source", "text"))
-    return out.select("doc_id", "source", quoted(n).alias("n_tokens"), quoted(w).alias("weight"), quoted(c).alias("copies"))
+
+def mixing_query(docs: DataFrame, budget: int | None = None) -> DataFrame:
+    """doc_id, source, n_tokens, weight, copies, epoch, turn of each reading, for at most four readings of any source.
+
+    Without a budget (in tokens) it is the smallest one that reads every row once.
+    """
+    return realised(docs.select("doc_id", "source", "text"), budget).drop("text")

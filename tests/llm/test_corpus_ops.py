@@ -286,6 +286,29 @@ def test_mix_meets_weights_budget_and_limit(spark):
     assert mixing.mixing_query(docs.limit(0)).collect() == []
 
 
+def test_mix_is_realised_in_rows(spark):
+    r = random.Random(22)
+    rows = [(i, " ".join(words(r, r.randint(1, 30))), "en", s, 1) for i, s in enumerate(["big"] * 300 + ["mid"] * 60 + ["low"] * 15)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for budget in (None, 2000):
+        plan, (n, w, c) = mixing.mix_sources(docs, budget=budget)
+        plan = {x.doc_id: x for x in plan.collect()}
+        for out in (mixing.mixing_query(docs, budget), corpus_pipeline.mix(spark, docs, "", budget)):
+            found = out.collect()
+            assert Counter(x.doc_id for x in found) == Counter({i: x[c] for i, x in plan.items() if x[c]})
+            assert {(x.doc_id, x.epoch) for x in found} == {(i, e) for i, x in plan.items() for e in range(1, x[c] + 1)}
+            read = Counter()
+            for x in found:
+                read[x.source] += x.n_tokens
+            weight = {x.source: x[w] for x in plan.values()}
+            size = budget or sum(x[n] for x in plan.values() if x.source == "big") / weight["big"]
+            assert all(weight[s] * size - 60 <= read[s] <= weight[s] * size + 1e-3 for s in weight)
+            order = [x.turn for x in sorted(found, key=lambda x: (x.epoch, x.turn))]
+            assert len(set(order)) > len(order) / 2
+    more = mixing.realised(docs.selectExpr("*", "'a' as epoch", "'b' as turn", "7 as copies"))
+    assert more.columns[5:8] == ["epoch", "turn", "copies"] and {(x.epoch, x.turn, x.copies) for x in more.collect()} == {("a", "b", 7)}
+
+
 def test_bisection_uses_spark_for_many_sources(spark, monkeypatch):
     totals = spark.createDataFrame([(t,) for t in (1000, 500, 20, 3)], "tokens long")
     near = mixing.Shares.of(totals)
