@@ -45,6 +45,7 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*|cha
 
 MIN_SCORE = 0.9
 MIN_LITERAL = 6
+LEAST_NAME = 0.7  # of any listed word: eight characters of three classes (0.2 or more) reach MIN_SCORE
 
 _NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*|\[\s*[\"'][\w.-]+[\"']\s*\])*"
 _STRING = r"[rbuf]?(?:\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*')"
@@ -67,15 +68,18 @@ def _ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 def name_score(name: str) -> float:
-    """Sum of what the words of a name say; camel case and separators part words."""
-    words = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name)
-    return sum(SENSITIVE.get(w.lower(), 0) + HARMLESS.get(w.lower(), 0) for w in words)
+    """Sum of what the words of a name say, LEAST_NAME at least for sensitive ones; camel case and separators part words."""
+    words = [w.lower() for w in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name)]
+    sensitive = sum(SENSITIVE.get(w, 0) for w in words)
+    return (max(LEAST_NAME, sensitive) if sensitive else 0) + sum(HARMLESS.get(w, 0) for w in words)
 
 
 def literal_score(value: str) -> float:
-    """-inf for short values and placeholders; up to 0.4 for mixed classes and high entropy."""
-    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value) or " " in value.strip():
+    """-inf for short values and placeholders, 0 for phrases; up to 0.4 for mixed classes and high entropy."""
+    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value.strip()):
         return -math.inf
+    if " " in value.strip():
+        return 0.0
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
     classes = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit))
     return min(0.4, 0.1 * (classes - 1) + 0.05 * max(0.0, entropy - 2))
@@ -116,7 +120,7 @@ def name_literal_pairs(text: str) -> Iterator[tuple[str, int, int]]:
 def named_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[str, int, int]]:
     if not _OPERATOR.search(text):
         return []
-    found = {(a, b) for name, a, b in name_literal_pairs(text) if (n := name_score(name)) > 0 and n + literal_score(text[a:b]) >= min_score}
+    found = {(a, b) for name, a, b in name_literal_pairs(text) if (n := name_score(name)) > 0 and round(n + literal_score(text[a:b]), 9) >= min_score}
     return [("named", a, b) for a, b in found]
 
 

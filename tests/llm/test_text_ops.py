@@ -191,6 +191,19 @@ def test_names_literals_and_constants():
     assert named("He said: nothing of note = here") == []
 
 
+def test_phrases_and_every_listed_name():
+    named = lambda t: [t[a:b] for _, a, b in secrets.named_spans(t)]
+    phrase = 'password = "correct horse battery staple"'
+    assert named(phrase) == ["correct horse battery staple"]
+    assert secrets.redact(phrase, secrets.secret_spans(phrase)) == 'password = "[SECRET]"'
+    assert named('password = "your password here"\nsession = "the first of May"') == []
+    assert named('DB_PASS="Xk39fLq2"') == ["Xk39fLq2"]
+    for name in secrets.SENSITIVE:
+        assert named(f'{name} = "Xk39fLq2"') == ["Xk39fLq2"]
+        assert named(f'{name} = "Ab12Ab12"') == ["Ab12Ab12"]
+    assert named('key: "username"\naccess = "internal"\nsession_id = "Xk39fLq2"\nname = "Xk39fLq2"') == []
+
+
 def test_secret_query_and_redaction(spark):
     rows = [(i, t, None, None, len(t)) for i, t in enumerate(SAMPLES)] + [(None, None, None, None, None), (50, 'key_password = "tr0ub4dor&3"', None, None, 3), (50, 'key_password = "tr0ub4dor&3"', None, None, 3)]
     rows.append((51, "word " * 200_000 + "password=abcdef1", None, None, 0))
