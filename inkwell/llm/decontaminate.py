@@ -6,7 +6,9 @@ as multisets of five-word shingles (items of fewer words: the single run of all
 
 * A window can only be that similar if it shares a shingle with the item, so windows are
   laid where the document has a shingle of the item: at every start between the first and
-  last alignment of each stretch of such places.
+  last alignment of each stretch of such places. Alignments of two shingles in one window
+  differ by less than twice its length (parts of the item may stand in another order), so
+  stretches end where they differ by more.
 * A window's fingerprint is the 64-bit SimHash of its shingles by their counts. Eight
   blocks of eight bits index the items' fingerprints: two fingerprints within RADIUS = 23
   differ by at most two bits in one block, so looking up all values within two bits in each
@@ -127,7 +129,7 @@ class Items:
                 length = min(len(self.words[i]), len(words))
                 mine = np.unique(np.clip(start[who == i], 0, len(words) - length))
                 group = out.setdefault((length, size), set())
-                cut = np.flatnonzero(np.diff(mine) > length) + 1
+                cut = np.flatnonzero(np.diff(mine) >= 2 * length) + 1
                 for part in np.split(mine, cut):
                     group.update(range(int(part[0]), int(part[-1]) + 1))
         return out

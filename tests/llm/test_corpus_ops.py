@@ -194,6 +194,19 @@ def test_leaks_match_brute_force(spark, monkeypatch):
     assert decontaminate.decontamination_query(docs.limit(0), bench).collect() == []
 
 
+def test_leaks_with_swapped_parts_match_brute_force():
+    r = random.Random(21)
+    for n in (40, 100):
+        item = words(r, n)
+        bench = decontaminate.Items([(0, " ".join(item))])
+        for at in (n // 4, n // 2, 3 * n // 4):
+            for gap in (0, 1, 2, 4):
+                text = " ".join(words(r, 70) + item[at:] + words(r, gap) + item[:at] + words(r, 150))
+                want = leaks_by_loop([(0, text)], [(0, " ".join(item))])
+                assert {(0, m[0]): pytest.approx(m[1]) for m in bench.matches(text)} == want, (n, at, gap)
+                assert want or n < 100 or gap
+
+
 def test_blocks_find_every_fingerprint_within_the_radius():
     r = random.Random(13)
     items = decontaminate.Items([(i, " ".join(words(r, 20))) for i in range(50)])
