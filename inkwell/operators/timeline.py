@@ -1,46 +1,89 @@
 """Running values over a log in which a few keys may own most of the rows.
 
 A plain window over ``partitionBy(instance)`` puts the whole history of an instance in
-one task. Here every key is cut into time slices of one width: the window runs over
-(slice, instance), each slice is reduced to one row, the slice rows of an instance are
-combined by a second window, and the carried value is joined back. All keys take this
-path; there are no counts, key lists or bounds that choose between plans.
-
-The rows move once, by (slice, key); the slices' reduction and the join use the same
-partitioning. Besides them only slice rows move: at most one per key and slice. A task's
-window holds one key's rows of one slice, so the width is what bounds it: choose it for
-the busiest key. Rows of one moment stay together.
+one task. Here a prefix scan does it: the log is cut into ranges of about equally many rows
+of (key, order), so that a busy key spans as many ranges as its share of the rows asks for;
+each range is folded to one carry row per key, the carries of a key are scanned by a second,
+small window, and the carried value is joined back. All keys take this path; nothing has to
+be known about their sizes, and no width has to be guessed.
+
+The cuts come from a sample of (key, order), taken by a job of its own as a global sort
+takes it; they decide how rows are dealt, never what comes out. Rows move once, by
+(range, key); the fold of the ranges and the join use the same partitioning. Besides them
+only carry rows move: at most one per key, and one more per range.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SLICE = "_slice"
-BEFORE_ALL = -(1 << 62)  # rows without a time sort first
+SAMPLE_PER_PART = 40
 
 
 class Slicing(NamedTuple):
-    """How finely keys are cut."""
-
-    width_s: int = 3600
+    """Into how many ranges the log is cut; None takes the session's shuffle partitions."""
+
+    parts: int | None = None
+
+
+def _sortable(df: DataFrame, name: str) -> Column:
+    """The column, times as whole microseconds, so that cuts pass through JSON unchanged."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    return F.col(name)
+
+
+def range_number(df: DataFrame, columns: list[str], parts: int | None = None) -> Column:
+    """Number of the range of ``columns`` (integers, strings, times; nulls first) that a row is in.
+
+    At most ``parts`` ranges, numbered in rising order; rows with equal values share one. What
+    comes to the driver is a sample of the columns of a fixed number of rows per range.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.struct(*[_sortable(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    keys = df.select(at.alias("at"))
+    n = keys.count() if parts > 1 else 0
+    if n < 2:
+        return F.lit(0)
+    share = min(1.0, SAMPLE_PER_PART * parts / n)
+    drawn = [r[0] for r in keys.sample(share, seed=1).orderBy("at").select(F.to_json("at", {"ignoreNullFields": "false"})).collect()]
+    step = max(1.0, len(drawn) / parts)
+    cuts = list(dict.fromkeys(drawn[int(i * step)] for i in range(1, parts) if int(i * step) < len(drawn)))
+    if not cuts:
+        return F.lit(0)
+    kind = T.ArrayType(keys.schema["at"].dataType)
+    table = F.from_json(F.lit("[" + ",".join(cuts) + "]"), kind)  # folded to a constant before the job
+
+    def halve(span: Column, _: Column) -> Column:
+        """Keep the half of [low, high) in which the number of cuts at or below the row lies."""
+        low, high = span["low"], span["high"]
+        middle = F.call_function("div", low + high, F.lit(2)).cast("int")
+        beyond = F.get(table, middle) <= at
+        return F.when(low >= high, span).otherwise(
+            F.struct(F.when(beyond, middle + 1).otherwise(low).cast("int").alias("low"), F.when(beyond, high).otherwise(middle).cast("int").alias("high"))
+        )
+
+    rounds = F.sequence(F.lit(1), F.lit(len(cuts).bit_length() + 1))
+    return F.aggregate(rounds, F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high")), halve)["low"]
 
 
 class Timeline:
-    """Windows of one log: ``keys``, event time ``ts`` and a total ``order``."""
+    """Windows of one log: ``keys`` and a total ``order`` of a key's rows, times first."""
 
-    def __init__(self, keys: list[str], order: list[str], ts: str = "ts", slicing: Slicing = Slicing()):
-        self.keys, self.order, self.ts, self.slicing = keys, order, ts, slicing
+    def __init__(self, keys: list[str], order: list[str], slicing: Slicing = Slicing()):
+        self.keys, self.order, self.slicing = keys, order, slicing
         # the number first: sorting then compares it before it compares text
         self.group = [SLICE, *keys]
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        """Add the slice number."""
-        number = F.floor(F.unix_micros(F.col(self.ts).cast("timestamp")) / F.lit(self.slicing.width_s * 1_000_000))
-        return df.withColumn(SLICE, F.coalesce(number.cast("long"), F.lit(BEFORE_ALL)))
+        """Add the number of the row's range."""
+        return df.withColumn(SLICE, range_number(df, [*self.keys, *self.order], self.slicing.parts))
 
     def restored(self, columns: list[str]) -> list[Column]:
         return [F.col(c) for c in columns]
