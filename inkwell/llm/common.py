@@ -100,6 +100,11 @@ def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def table_columns(schema: str) -> list[str]:
+    """Names of a schema written as "name type, name type"."""
+    return [x.split()[0] for x in schema.split(",")]
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import decontaminate, language, mixing, neardup, secrets, suffixes, tokens, topk, toxicity, warc
+from inkwell.llm import decontaminate, language, mixing, neardup, secrets, suffixes, tokenfiles, tokens, topk, toxicity, warc
 from inkwell.llm.common import table
 
 
@@ -48,7 +48,17 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokens_query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_suffixes, op3_topk, op4_decontaminate, op5_secrets, op6_warc, op7_toxicity, op8_mixing, op9_neardup, op10_tokens)}
+def op13_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.tokenfiles_query(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language, op2_suffixes, op3_topk, op4_decontaminate, op5_secrets, op6_warc, op7_toxicity, op8_mixing, op9_neardup, op10_tokens,
+        op13_tokenfiles,
+    )
+}
 
 ORACLES = {
     "op3_topk": """
