@@ -1,13 +1,16 @@
 """Spelling variants: words within one edit of each other, found by a relational trie frontier.
 
 The words are a trie held as a distributed table of edges (node, first character, label,
-child, word that ends at the child). A node is named by a hash of its prefix, and only nodes
-at which words part or end are kept: an edge's label runs to the next of them, so the depth
-of the trie is the number of partings, not the length of the words. A state (word, position,
+child, word that ends at the child). Only nodes at which words part or end are kept: an edge's
+label runs to the next of them, so the depth of the trie is the number of partings, not the
+length of the words. Prefixes are compared by a hash of 128 bits, and a node is named by the
+first word that passes it and its depth. Sorted words tell from their neighbours how deep
+anything is shared; deeper nodes are not made. A state (word, position,
 node, edits) says how far a word has been read along the trie. Without an edit a word stands
 on its own path, so these states are known at once. Where another word parts from it lies
 the edit: the state goes on over the other edges of that node with a character replaced or
-inserted, or stays there with one deleted. States with their one edit spent then follow
+inserted, or with one of its own deleted; states whose next character does not lead on from the
+child are not made, a mask of characters on each edge tells. States with their one edit spent then follow
 exactly fitting edges, joined level by level until none is left; one that has read its
 whole word at a node where a word ends has found a neighbour.
 
@@ -34,7 +37,8 @@ RATIO = 10
 TYPO_EVERY = 31
 COUNTED = 200_000
 LONG_TEXT = 4 << 20
-NODES = "id long, length int, depth int, node binary, next int"
+NODES = "id long, depth int, node binary, next int"
+BIT = "shiftleft(1L, cast(%s %% 62 as int))"
 COUNTS = "word string, n long"
 
 
@@ -80,36 +84,61 @@ def count_words(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     return texts.mapInArrow(count, COUNTS).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
 
 
-def _nodes(words: DataFrame) -> DataFrame:
-    """(id, length, depth, node, next) of the nodes in each reading's second half; ``next`` is -1 at the end."""
+def _shared(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return low
+
+
+def _nodes(readings: DataFrame) -> DataFrame:
+    """(id, depth, node, next) of the nodes in each reading's second half that another may share, and of its end (``next`` -1).
+
+    Where a task's range of the sorted readings starts or ends the neighbour is unknown and
+    all depths are made; nodes too many do no harm.
+    """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128
 
-        columns: list[list] = [[] for _ in range(5)]
+        columns: list[list] = [[] for _ in range(4)]
 
         def done() -> pa.RecordBatch:
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
+            types = (pa.int64(), pa.int32(), pa.binary(), pa.int32())
             return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], table_columns(NODES))
 
+        def add(i: int, word: str, shared: int) -> None:
+            n = len(word)
+            low = (n - 1) // 2  # a neighbour may be shorter by one
+            digest = xxh3_128((">" if i >= 0 else "<") + word[:low])
+            for depth in range(low, min(shared, n - 1) + 1):
+                for column, value in zip(columns, (i, depth, digest.digest(), ord(word[depth])), strict=True):
+                    column.append(value)
+                digest.update(word[depth])
+            digest.update(word[max(low, min(shared, n - 1) + 1) :])
+            for column, value in zip(columns, (i, n, digest.digest(), -1), strict=True):
+                column.append(value)
+
+        last, before = None, None
         for batch in batches:
             for i, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                n = len(word)
-                low = (n - 1) // 2  # a neighbour may be shorter by one
-                digest = xxh3_128((">" if i >= 0 else "<") + word[:low])
-                for depth in range(low, n + 1):
-                    values = (i, n, depth, digest.digest(), ord(word[depth]) if depth < n else -1)
-                    for column, value in zip(columns, values, strict=True):
-                        column.append(value)
-                    if depth < n:
-                        digest.update(word[depth])
+                if last is not None:
+                    here = _shared(last[1], word) if (last[0] < 0) == (i < 0) else 0
+                    add(*last, len(last[1]) if before is None else max(before, here))
+                    before = here
+                last = i, word
                 if len(columns[0]) >= 50_000:
                     yield done()
-                    columns = [[] for _ in range(5)]
+                    columns = [[] for _ in range(4)]
+        if last is not None:
+            add(*last, len(last[1]))
         if columns[0]:
             yield done()
 
-    return words.select("id", "w").mapInArrow(walk, NODES)
+    side = F.col("id") < 0
+    return readings.repartitionByRange(side, "w").sortWithinPartitions(side, "w").select("id", "w").mapInArrow(walk, NODES)
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -122,28 +151,36 @@ def neighbours(words: DataFrame) -> DataFrame:
     # the reversed reading of word i has the number -i - 1
     both = written(word.select("id", F.col("word").alias("w")).union(word.select(-F.col("id") - 1, F.reverse("word"))), "readings")
     nodes = written(_nodes(both), "nodes")
-    ends = F.max(F.when(F.col("next") == -1, F.col("id")))
-    kept = nodes.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("b"), ends.alias("ending")).where("a <> b or a = -1")
-    path = nodes.join(kept.select("node", "ending"), "node").select("id", "length", "depth", "node", "ending")
+    goes_on, ends = F.when(F.col("next") >= 0, F.col("next")), F.when(F.col("next") == -1, F.col("id"))
+    mask = F.coalesce(F.bit_or(F.when(F.col("next") >= 0, F.expr(BIT % "next"))), F.lit(0))
+    kept = nodes.groupBy("node").agg(F.min("id").alias("at"), F.min(goes_on).alias("a"), F.max(goes_on).alias("b"), F.max(ends).alias("ending"), mask.alias("mask"))
+    kept = kept.where("a <> b or ending is not null").select("node", "at", "ending", "mask", F.coalesce(F.col("a") != F.col("b"), F.lit(False)).alias("parts"), F.col("a").isNotNull().alias("goes_on"))
+    path = nodes.join(kept, "node").select("id", "depth", "at", "ending", "mask", "parts", "goes_on")
     ahead = Window.partitionBy("id").orderBy("depth")
-    path = path.withColumns({f"next_{c}": F.lead(c).over(ahead) for c in ("node", "depth", "ending")})
-    path = written(path.join(both, "id"), "paths")
+    path = path.withColumns({f"next_{c}": F.lead(c).over(ahead) for c in ("at", "depth", "ending", "mask")})
+    path = written(path.where("goes_on").drop("goes_on", "mask").join(both, "id"), "paths")
     label = F.expr("substr(w, depth + 1, next_depth - depth)")
-    edges = path.where("next_node is not null").groupBy("node", F.col("next_node").alias("child"), F.col("next_ending").alias("ending"), label.alias("label")).count()
-    # columns of the state (w, pos, node) and of the edge (label, child, ending) meet in the joins
-    edges = written(edges.select("node", F.substring("label", 1, 1).alias("first"), "label", F.length("label").alias("size"), "child", "ending"), "edges")
-
-    own = path.where(F.col("depth") >= F.floor(F.col("length") / 2)).select("id", "w", "length", F.col("depth").alias("pos"), "node", F.col("ending").alias("here"))
-    other = own.drop("here").join(edges, "node").where("first <> substr(w, pos + 1, 1)")
-    replaced = other.where("substr(label, 2) = substr(w, pos + 2, size - 1) and pos + size <= length").withColumn("pos", F.col("pos") + F.col("size"))
-    inserted = other.where("substr(label, 2) = substr(w, pos + 1, size - 1)").withColumn("pos", F.col("pos") + F.col("size") - 1)
-    deleted = own.where("pos < length").select("id", "w", "length", (F.col("pos") + 1).alias("pos"), F.col("node").alias("child"), F.col("here").alias("ending"))
-    columns = ["id", "w", "length", "pos", F.col("child").alias("node"), "ending"]
-    frontier = written(replaced.select(*columns).union(inserted.select(*columns)).union(deleted.select(*columns)), "frontier")
-    found = [frontier]
+    child = [F.col(f"next_{c}").alias(f"to_{c}") for c in ("at", "depth", "ending", "mask")]
+    # a node that words reach in one way only is never left by another edge, but passed on the way
+    edges = path.where("next_at is not null").groupBy("at", "depth", *child, label.alias("label")).count()
+    # columns of the state (w, pos, node) and of the edge (label, child) meet in the joins
+    edges = written(edges.select("at", "depth", F.substring("label", 1, 1).alias("first"), "label", F.length("label").alias("size"), "to_at", "to_depth", "to_ending", "to_mask"), "edges")
+
+    own = path.select("id", "w", F.length("w").alias("length"), F.col("depth").alias("pos"), "at", "depth", "parts", "ending").where(F.col("pos") >= F.floor(F.col("length") / 2))
+    other = own.where("parts or pos = length").drop("ending", "parts").join(edges, ["at", "depth"]).where("first <> substr(w, pos + 1, 1)")
+    replaced = "substr(label, 2) = substr(w, pos + 2, size - 1)"
+    inserted = "substr(label, 2) = substr(w, pos + 1, size - 1)"
+    deleted = "label = substr(w, pos + 2, size)"
+    ways = F.array(*[F.when(F.expr(way), F.col("pos") + F.col("size") + F.lit(shift)) for way, shift in ((replaced, 0), (inserted, -1), (deleted, 1))])
+    columns = ["id", "w", "length", "pos", F.col("to_at").alias("at"), F.col("to_depth").alias("depth"), F.col("to_ending").alias("ending")]
+    alive = f"case when pos < length then (to_mask & {BIT % 'ascii(substr(w, pos + 1, 1))'}) <> 0 else pos = length and to_ending is not null end"
+    step = other.where(f"{replaced} or {inserted} or {deleted}").withColumn("pos", F.explode(F.array_compact(ways))).where(alive)
+    frontier = written(step.select(*columns), "frontier")
+    # the last character deleted: the shorter word ends where the longer one has one to go
+    found = [frontier, own.where("pos = length - 1 and ending is not null").select("id", F.col("length").alias("pos"), "length", "ending")]
     while not (going := frontier.where("pos < length")).isEmpty():
-        step = going.drop("ending").withColumn("first", F.expr("substr(w, pos + 1, 1)")).join(edges, ["node", "first"])
-        step = step.where("label = substr(w, pos + 1, size)").withColumn("pos", F.col("pos") + F.col("size"))
+        step = going.drop("ending").withColumn("first", F.expr("substr(w, pos + 1, 1)")).join(edges, ["at", "depth", "first"])
+        step = step.where("label = substr(w, pos + 1, size)").withColumn("pos", F.col("pos") + F.col("size")).where(alive)
         frontier = written(step.select(*columns), "frontier")
         found.append(frontier)
     plain = lambda c: F.when(F.col(c) < 0, -F.col(c) - 1).otherwise(F.col(c)).alias(c)
