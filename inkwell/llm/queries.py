@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import decontaminate, language, mixing, neardup, secrets, spelling, suffixes, tokenfiles, tokens, topk, toxicity, warc
+from inkwell.llm import convtrie, decontaminate, language, mixing, neardup, secrets, spelling, suffixes, tokenfiles, tokens, topk, toxicity, warc
 from inkwell.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokens_query(table(spark, sf_dir, "documents"))
 
 
+def op11_convtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.convtrie_query(table(spark, sf_dir, "conversations"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_query(table(spark, sf_dir, "documents"))
 
@@ -60,7 +64,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_suffixes, op3_topk, op4_decontaminate, op5_secrets, op6_warc, op7_toxicity, op8_mixing, op9_neardup, op10_tokens,
-        op12_spelling, op13_tokenfiles,
+        op11_convtrie, op12_spelling, op13_tokenfiles,
     )
 }
 
