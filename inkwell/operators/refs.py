@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
+Done = DataFrame | Callable[[DataFrame], DataFrame]
 STEP = "CAST(10000000000000000000 AS DECIMAL(20,0))"  # above any row number
 
 
-def ledger_keys(ledger: DataFrame) -> DataFrame:
-    """URL keys that count as done: the latest marker of the key is COMPLETED.
-
-    A ``REPROCESS`` marker after the last completion lets the key pass again.
-    """
+def marker_stamps(ledger: DataFrame) -> DataFrame:
+    """(url_key, stamp) of completions and markers; an odd stamp asks for another run."""
     marker = ledger.where(F.col("url_key").isNotNull() & F.col("status").isin("COMPLETED", "REPROCESS"))
     # time and kind in one number, so that Spark can aggregate by hashing; at equal
     # time the completion is the older one: a marker always asks for another run
     again = F.when(F.col("status") == "REPROCESS", F.lit(1)).otherwise(F.lit(0))
-    stamp = F.unix_micros(F.col("processed_at").cast("timestamp")) * 2 + again
-    latest = marker.groupBy("url_key").agg(F.max(stamp).alias("_m"))
+    return marker.select("url_key", (F.unix_micros(F.col("processed_at").cast("timestamp")) * 2 + again).alias("stamp"))
+
+
+def done_keys(stamps: DataFrame) -> DataFrame:
+    """Keys whose latest stamp is a completion."""
+    latest = stamps.groupBy("url_key").agg(F.max("stamp").alias("_m"))
     return latest.where(F.col("_m") % 2 == 0).select("url_key")
 
 
-def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, time: str = "arrived_at") -> DataFrame:
+def ledger_keys(ledger: DataFrame) -> DataFrame:
+    """URL keys that count as done: the latest marker of the key is COMPLETED.
+
+    A ``REPROCESS`` marker after the last completion lets the key pass again.
+    """
+    return done_keys(marker_stamps(ledger))
+
+
+def dedupe_refs(refs: DataFrame, done: Done | None = None, time: str = "arrived_at") -> DataFrame:
     """Add ``dedupe``: REJECTED, FIRST or DUPLICATE. No row is dropped.
 
     The first arrival of a URL is FIRST, equal times go by place in the input. Message
@@ -32,6 +44,8 @@ def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, time: str = "arr
     Only (url_key, first arrival) pairs are shuffled by key, after map-side combining,
     so copies of one URL never meet in one task; time and number are packed into one
     decimal to be combined by hashing. The flag goes back by row number.
+
+    ``done`` is a table of handled keys, or a function that looks up the given keys.
     """
     numbered = refs.withColumn("_row", F.monotonically_increasing_id())
     at = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(2**62)).cast("decimal(19,0)")
@@ -44,7 +58,8 @@ def dedupe_refs(refs: DataFrame, done: DataFrame | None = None, time: str = "arr
     )
     if done is not None:
         # keys of the batch prune the ledger side before the anti join
-        seen = done.join(first.select("url_key"), "url_key", "left_semi")
+        handled = done(first.select("url_key")) if callable(done) else done
+        seen = handled.join(first.select("url_key"), "url_key", "left_semi")
         first = first.join(seen, "url_key", "left_anti")
     flags = first.select("_row", F.lit(True).alias("_first"))
     return (

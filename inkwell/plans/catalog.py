@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -16,6 +17,7 @@ from inkwell.plans import fixtures as FX
 from inkwell.plans.process import chunk_references, flag_messages, from_table, process_directory, process_refs, staged
 from inkwell.session import shared_dir
 from inkwell.sinks import exports as EX
+from inkwell.sinks.index import KeyIndex
 from inkwell.sources import files as FS, messages as M, queues as Q
 from inkwell.sources.fetch import fetch_content
 from inkwell.streaming.processor import DocumentStream
@@ -110,6 +112,25 @@ def dedupe_refs(spark, sf):
     return R.dedupe_refs(refs, old).select("msg_id", "url_key", "dedupe")
 
 
+@query
+def dedupe_indexed(spark, sf):
+    """The same messages in ten batches, each asking the key index instead of the whole history."""
+    refs = staged(M.validate_refs(M.parse_file_refs(FX.file_refs(spark, sf))), "refs")
+    index = KeyIndex(spark, f"{shared_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}")
+    old = FX.table(spark, sf, "pages").where("page_id % 10 = 0").select(U.file_key(F.col("url")).alias("url_key"), F.lit(0).cast("long").alias("stamp"))
+    index.add(old, 0)
+    cuts = refs.agg(F.percentile_approx(F.unix_micros("arrived_at"), [i / 10 for i in range(1, 10)])).first()[0] or []
+    later = [F.when(F.unix_micros("arrived_at") > c, 1).otherwise(0) for c in cuts]
+    number = sum(later, F.lit(0)) + F.when(F.col("arrived_at").isNull(), len(cuts)).otherwise(0)  # without a time: last
+    flagged = []
+    for batch in range(len(cuts) + 1):
+        part = refs.where(number == batch)
+        flags = staged(R.dedupe_refs(part, lambda keys, b=batch: R.done_keys(index.lookup(keys, before=b + 1))), "flags")
+        index.add(flags.where("dedupe = 'FIRST'").select("url_key", F.lit(0).cast("long").alias("stamp")), batch + 1)
+        flagged.append(flags.select("msg_id", "url_key", "dedupe"))
+    return reduce(DataFrame.union, flagged)
+
+
 @query
 def reprocess(spark, sf):
     history = FX.ledger(spark, sf)

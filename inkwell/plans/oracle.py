@@ -258,6 +258,8 @@ SELECT msg_id, {SHA.format('url')} AS url_key,
             ELSE 'DUPLICATE' END AS dedupe
 FROM refs"""
 
+ORACLES["dedupe_indexed"] = ORACLES["dedupe_refs"]
+
 ORACLES["reprocess"] = f"""WITH {LEDGER},
 chosen AS (SELECT DISTINCT 'http://namenode:9870/webhdfs/v1/corpus/' || source || '/doc_' || (doc_id % 700) || '.txt' AS url
            FROM documents WHERE doc_id % 5 = 0)

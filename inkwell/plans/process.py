@@ -33,7 +33,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def flag_messages(messages: DataFrame, done: DataFrame | None = None) -> DataFrame:
+def flag_messages(messages: DataFrame, done: R.Done | None = None) -> DataFrame:
     return R.dedupe_refs(M.validate_refs(M.parse_file_refs(messages)), done)
 
 
@@ -80,7 +80,7 @@ def with_text(rows: DataFrame) -> DataFrame:
     return rows.withColumn("text", F.when(F.col("pages").isNotNull(), TX.join_pages(F.col("pages"))))
 
 
-def process_refs(messages: DataFrame, fetch: Fetch, done: DataFrame | None = None,
+def process_refs(messages: DataFrame, fetch: Fetch, done: R.Done | None = None,
                  stage: Stage = staged, **kwargs) -> DataFrame:
     """One row per message with its outcome and, when completed, its pages of text.
 

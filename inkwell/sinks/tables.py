@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from inkwell import schemas
+from inkwell.operators.refs import done_keys, marker_stamps
 
 BATCH_ID = StructField("batch_id", LongType())
 
@@ -68,15 +69,34 @@ class BatchTable:
 
 
 class LedgerTable:
-    """Ledger batches plus compacted snapshots of everything up to some batch."""
+    """Ledger batches, compacted snapshots of everything up to some batch, and an index of the keys."""
 
     def __init__(self, spark: SparkSession, path: str):
+        from inkwell.sinks.index import KeyIndex
+
         self.spark, self.path = spark, path.rstrip("/")
         self.batches = BatchTable(spark, f"{self.path}/batches")
+        self.index = KeyIndex(spark, f"{self.path}/index")
 
     def write(self, df: DataFrame, batch_id: int) -> None:
+        """The index first: a batch counts when its ledger rows are there."""
         names = schemas.LEDGER.fieldNames()
-        self.batches.write(df.select(*[F.col(n).cast(schemas.LEDGER[n].dataType) for n in names]), batch_id)
+        rows = df.select(*[F.col(n).cast(schemas.LEDGER[n].dataType) for n in names])
+        fixed = BatchTable(self.spark, f"{self.path}/pending").write(rows, batch_id)
+        self.index.add(marker_stamps(fixed), batch_id)
+        self.batches.write(fixed, batch_id)
+        delete_dir(self.spark, f"{self.path}/pending")
+
+    def done(self, keys: DataFrame, before: int | None = None) -> DataFrame:
+        """Those of the keys that count as handled, from the index; batches it lacks are read."""
+        stamps = self.index.lookup(keys, before)
+        known = self.index.covered(before)
+        batches = [int(d.split("=")[1]) for d in sub_dirs(self.spark, self.batches.path)]
+        lacking = [b for b in batches if b not in known and (before is None or b < before)]
+        if lacking:
+            rows = self.batches.read(schemas.LEDGER, before, with_batch=True).where(F.col("batch_id").isin(lacking))
+            stamps = stamps.unionByName(marker_stamps(rows.join(keys.select("url_key").distinct(), "url_key", "left_semi")))
+        return done_keys(stamps)
 
     def next_batch(self) -> int:
         """The first batch that is not committed: batches run in order and the ledger is written last."""

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from inkwell import schemas
 from inkwell.functions import urls as U
-from inkwell.operators import chunks as C, ledger as L, outcomes as O, refs as R
+from inkwell.operators import chunks as C, ledger as L, outcomes as O
 from inkwell.plans.process import Fetch, process_refs, with_text
 from inkwell.sinks import exports as EX
 from inkwell.sinks.tables import BatchTable, LedgerTable
@@ -51,7 +51,7 @@ class DocumentStream:
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` function; also callable with a plain DataFrame."""
         messages = self.inbox(batch, batch_id)
-        done = R.ledger_keys(self.ledger.read(before=batch_id))
+        done = lambda keys: self.ledger.done(keys, before=batch_id)
         rows = process_refs(
             messages, self.fetch, done, stage=lambda df, name: self.table(name).write(df, batch_id), **self.extract_options
         )
