@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from inkwell.llm.common import mix, small_batches, written
+from inkwell.llm.common import mix, quoted, small_batches, written
 
 LENGTH = 400
 K = 50
@@ -417,10 +417,15 @@ def spans_of(starts: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(row, data) of the documents, and (row, n_removed, n_spans, kept) of those that lose bytes."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data"))
-    starts = written(repeated_starts(rows), "repeats")
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(key, row, data) of the documents, and (row, n_removed, n_spans, kept) of those that lose bytes.
+
+    Row numbers are written once with the bytes: how a table is cut into tasks may change
+    from job to job, and with it the numbers given while scanning.
+    """
+    given = docs.select(quoted(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.coalesce(quoted(text).cast("binary"), F.lit(b"")).alias("data"))
+    rows = written(given, "rows")
+    starts = written(repeated_starts(rows.select("row", "data")), "repeats")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,7 +447,7 @@ def repeats_query(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row.
 
     Null and short texts lose nothing; repeated rows are repeats of each other, so from
-    LENGTH bytes on they lose all. The table is read several times and must not change.
+    LENGTH bytes on they lose all.
     """
     spark = docs.sparkSession
     clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -453,7 +458,6 @@ def repeats_query(docs: DataFrame) -> DataFrame:
         lost = written(cut.select("row", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")), "removed")
     finally:
         spark.conf.set(clean, before)
-    every = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"))
-    every = every.select("doc_id", "row", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("own"))
+    every = rows.select(F.col("key").alias("doc_id"), "row", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("own"))
     none = F.lit(0).cast("long")
     return every.join(lost, "row", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("sha", "own").alias("kept_sha256"))

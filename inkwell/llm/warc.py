@@ -71,14 +71,14 @@ def record_bytes(kind: str, page_id: int | None, row: int, uri: str | None, payl
 def with_first(pages: DataFrame, least_bytes: int = MIN_PAYLOAD) -> DataFrame:
     """page_id, url, payload, row, and the page_id and row of the first row with an equal payload.
 
-    Only digests are grouped, combined before the shuffle; the payload joins by digest.
-    ``pages`` must give the same rows when read again (a table does).
+    Only digests are grouped, combined before the shuffle; the payload joins by digest. The
+    rows are written with their numbers first, so that later jobs cannot number them anew.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"), F.monotonically_increasing_id().alias("row"),
     )
-    rows = rows.withColumn("digest", F.sha1("payload"))
+    rows = written(rows.withColumn("digest", F.sha1("payload")), "warc-rows")
     order = F.struct(F.coalesce("page_id", F.lit(LAST)).alias("at"), F.col("page_id").isNull().alias("no_id"), "row")
     first = written(rows.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "warc-first")
     out = rows.join(first, "digest", "left")

@@ -69,6 +69,33 @@ def test_repeats_match_brute_force(spark, monkeypatch):
     assert suffixes.repeats_query(docs_of(spark, []).limit(0)).collect() == []
 
 
+def test_row_numbers_survive_another_cut_of_the_scan(spark, monkeypatch):
+    """Between two jobs the table is cut into other tasks, as after the loss of an executor."""
+    passage = " ".join(words(random.Random(2), 120))
+    texts = [f"{i} {passage}" if i % 2 else f"text {i}" for i in range(40)]
+    docs_of(spark, texts).repartition(6).write.parquet(path := work_path(spark, "test"))
+    pages = spark.createDataFrame([(100 - i, f"u{i}", "equal" * 300 if i % 3 else f"own {i}" * 300) for i in range(40)], "page_id long, url string, html string")
+    pages.repartition(6).write.parquet(pages_path := work_path(spark, "test"))
+    want = dict(enumerate(cut_by_loop(texts)))
+    key, before, step = "spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.files.minPartitionNum", None), [1]
+
+    def cut_anew(df, name, write=suffixes.written):
+        out = write(df, name)
+        step[0] = 13 - step[0]
+        spark.conf.set(key, str(step[0]))
+        return out
+
+    monkeypatch.setattr(suffixes, "written", cut_anew)
+    monkeypatch.setattr(warc, "written", cut_anew)
+    try:
+        assert {r.doc_id: tuple(r)[1:] for r in suffixes.repeats_query(spark.read.parquet(path)).collect()} == want
+        kinds = {r.page_id: (r.record_type, r.refers_to) for r in warc.warc_query(spark.read.parquet(pages_path)).collect()}
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    first = min(p for p in kinds if (100 - p) % 3)
+    assert kinds == {p: ("revisit", first) if (100 - p) % 3 and p != first else ("response", None) for p in kinds}
+
+
 def test_anchors_do_not_depend_on_place_or_block(monkeypatch):
     r = random.Random(4)
     text = " ".join(words(r, 300)).encode()
