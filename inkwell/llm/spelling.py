@@ -141,6 +141,12 @@ def _nodes(readings: DataFrame) -> DataFrame:
     return readings.repartitionByRange(side, "w").sortWithinPartitions(side, "w").select("id", "w").mapInArrow(walk, NODES)
 
 
+def alive(to: str) -> str:
+    """SQL: from the edge's child a state at ``to`` goes on, or ends where a word does."""
+    bit = BIT % f"ascii(substr(w, {to} + 1, 1))"
+    return f"(case when {to} < length then (to_mask & {bit}) <> 0 else {to} = length and to_ending is not null end)"
+
+
 def neighbours(words: DataFrame) -> DataFrame:
     """(id, other) of all words (id long from 0, word string, both unique) one code point apart, in both directions.
 
@@ -168,19 +174,21 @@ def neighbours(words: DataFrame) -> DataFrame:
 
     own = path.select("id", "w", F.length("w").alias("length"), F.col("depth").alias("pos"), "at", "depth", "parts", "ending").where(F.col("pos") >= F.floor(F.col("length") / 2))
     other = own.where("parts or pos = length").drop("ending", "parts").join(edges, ["at", "depth"]).where("first <> substr(w, pos + 1, 1)")
-    replaced = "substr(label, 2) = substr(w, pos + 2, size - 1)"
-    inserted = "substr(label, 2) = substr(w, pos + 1, size - 1)"
-    deleted = "label = substr(w, pos + 2, size)"
-    ways = F.array(*[F.when(F.expr(way), F.col("pos") + F.col("size") + F.lit(shift)) for way, shift in ((replaced, 0), (inserted, -1), (deleted, 1))])
+    ways = {  # where the reading goes on, and what has to fit for it
+        "pos + size": "substr(label, 2) = substr(w, pos + 2, size - 1)",  # replaced
+        "pos + size - 1": "substr(label, 2) = substr(w, pos + 1, size - 1)",  # inserted
+        "pos + size + 1": "label = substr(w, pos + 2, size)",  # deleted
+    }
+    fits = {to: f"{alive(to)} and {way}" for to, way in ways.items()}
     columns = ["id", "w", "length", "pos", F.col("to_at").alias("at"), F.col("to_depth").alias("depth"), F.col("to_ending").alias("ending")]
-    alive = f"case when pos < length then (to_mask & {BIT % 'ascii(substr(w, pos + 1, 1))'}) <> 0 else pos = length and to_ending is not null end"
-    step = other.where(f"{replaced} or {inserted} or {deleted}").withColumn("pos", F.explode(F.array_compact(ways))).where(alive)
+    step = other.where(" or ".join(f"({f})" for f in fits.values()))
+    step = step.withColumn("pos", F.explode(F.array_compact(F.array(*[F.expr(f"case when {f} then {to} end") for to, f in fits.items()]))))
     frontier = written(step.select(*columns), "frontier")
     # the last character deleted: the shorter word ends where the longer one has one to go
     found = [frontier, own.where("pos = length - 1 and ending is not null").select("id", F.col("length").alias("pos"), "length", "ending")]
     while not (going := frontier.where("pos < length")).isEmpty():
         step = going.drop("ending").withColumn("first", F.expr("substr(w, pos + 1, 1)")).join(edges, ["at", "depth", "first"])
-        step = step.where("label = substr(w, pos + 1, size)").withColumn("pos", F.col("pos") + F.col("size")).where(alive)
+        step = step.where("label = substr(w, pos + 1, size)").withColumn("pos", F.col("pos") + F.col("size")).where(alive("pos"))
         frontier = written(step.select(*columns), "frontier")
         found.append(frontier)
     plain = lambda c: F.when(F.col(c) < 0, -F.col(c) - 1).otherwise(F.col(c)).alias(c)
