@@ -8,32 +8,40 @@ read for entries that start and end beside a sign or at an edge. Each word count
 its heaviest entry; words that an exception phrase covers do not count. The sum of weights,
 plain and per 100 words, goes through a logistic function to a score.
 
-Entries and weights are learnt: document counts of all words, and of stems over those
-words, in rows labelled toxic and not, give smoothed log-odds. The logistic function is
-fitted on a table of binned features of all labelled rows, whose size is bounded by the
-bins. ``max_terms`` bounds the lexicon, which travels in the task closure.
+Entries and weights are learnt from document counts of all words, and of stems over those
+words, in rows labelled toxic and not. A term's weight is a lower confidence bound of its
+log-odds, taken without one of its toxic documents (a stem's: without those of its most
+frequent word), so what a single document says teaches nothing and tables of any size follow one rule. Every term whose bound reaches MIN_LOG_ODDS
+is an entry; none is cut by rank. An entry with its neighbour word whose upper bound stays
+below MIN_LOG_ODDS is an exception phrase. The logistic function is fitted on a table of binned features
+of all labelled rows, whose size is bounded by the bins.
+
+The lexicon is a table. It goes to the tasks in blocks of about BLOCK_BYTES of patterns:
+with more than one block each is a pass over the texts, which hands on what it found.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from inkwell.llm.common import free_name, remainder, small_batches, written
+from inkwell.llm.common import free_name, quoted, remainder, small_batches, written
 
-MAX_TERMS = 5000
-MIN_DOCS = 5
-MIN_LOG_ODDS = 2.5
+MIN_LOG_ODDS = 2.0
+CONFIDENCE = 1.5  # standard deviations
+BLOCK_BYTES = 4 << 20
 STEMS = (4, 8)
 FLUSH = 500_000
-BROADCAST_LABELS = 1_000_000
+LABEL_BYTES = 16  # of one label in a broadcast table
+BROADCAST_BYTES = 8 << 20
 
 # Letters of other scripts that look like Latin ones, and their readings.
 LOOKALIKE = dict(zip("авекмнорстухіјѕԁԛԝһαβεικνορτυχ", "abekmhopctyxijsdqwhabeikvoptux", strict=True))
@@ -130,19 +138,28 @@ def words_of(text: str) -> set[str]:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """``terms``: weight by pattern, " word " or " stem". ``fit``: logistic coefficients."""
+    """``terms``: weight by pattern, " word " or " stem"; None for a learnt exception phrase.
 
-    terms: dict[str, float]
+    ``fit``: logistic coefficients. ``more``: further blocks of terms, each looked up in a pass of its own.
+    """
+
+    terms: dict[str, float | None]
     exceptions: tuple[str, ...] = EXCEPTIONS
     fit: tuple[float, float, float] = (-4.0, 1.0, 0.0)
+    more: tuple[dict[str, float | None], ...] = ()
+
+    def blocks(self) -> list[Lexicon]:
+        return [Lexicon(self.terms, self.exceptions, self.fit), *(Lexicon(t, (), self.fit) for t in self.more)]
 
     def matcher(self):
-        """Automata over folded words and over runs of letters and signs."""
+        """Automata of ``terms`` over folded words and over runs of letters and signs."""
         import ahocorasick
 
         words, runs = ahocorasick.Automaton(), ahocorasick.Automaton()
         for pattern, weight in self.terms.items():
             words.add_word(pattern, (len(pattern), weight))
+            if weight is None:
+                continue
             bare, whole = pattern.strip(), pattern.endswith(" ")
             by_kind = runs.get(bare, (len(bare), 0.0, 0.0))[1:]
             runs.add_word(bare, (len(bare), *((max(by_kind[0], weight), by_kind[1]) if whole else (by_kind[0], max(by_kind[1], weight)))))
@@ -159,15 +176,21 @@ class Lexicon:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _in_runs(automaton, points: np.ndarray, sign: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict[int, float]:
-    """Weight by place of the entries in runs of letters and signs; of overlapping ones the heaviest."""
+WORD, RUN, EXCUSED = 0.0, 1.0, 2.0
+#: What was found: kind, place in the text, first and last character (of the run text for RUN, of the text for EXCUSED), weight.
+Hit = tuple[float, int, int, int, float]
+
+
+def _in_runs(automaton, points: np.ndarray, sign: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[Hit]:
+    """Entries in runs of letters and signs, overlapping ones too."""
     within = _inside(start, end, len(points))
     within[end] = True  # a blank
     at = np.flatnonzero(within)
     mark = sign[at] > 0
     full = np.where(mark, sign[at], points[at])
     full[np.isin(at, end)] = BLANK
-    edge = (mark | (full == BLANK)).tolist()  # what may stand before or after an entry
+    edge = mark | (full == BLANK)  # what may stand before or after an entry
+    edges = np.flatnonzero(edge)
     found = []
     for last, (length, word, stem) in automaton.iter(full.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")):
         first = last - length + 1
@@ -175,47 +198,66 @@ def _in_runs(automaton, points: np.ndarray, sign: np.ndarray, start: np.ndarray,
             continue
         weight = max(word if edge[last + 1] else 0.0, stem)
         if weight > 0:
-            found.append((-weight, first, last))
-    taken: set[int] = set()
-    best: dict[int, float] = {}
-    for weight, first, last in sorted(found):
-        while not edge[last + 1]:
-            last += 1
-        places = range(first, last + 1)
-        if taken.isdisjoint(places):
-            taken.update(places)
-            best[int(at[first])] = -weight
-    return best
+            last = int(edges[np.searchsorted(edges, last + 1)]) - 1
+            found.append((RUN, int(at[first]), first, last, weight))
+    return found
 
 
-def weigh(text: str, matcher) -> tuple[float, float]:
-    """log1p of the sum of weights, and of the sum per 100 words."""
+def _hits(text: str, matcher) -> tuple[list[Hit], int]:
+    """All that the automata find, and the number of words."""
     words, runs = matcher
-    if not len(words):
-        return 0.0, 0.0
     points, sign, raw = _letters(text)
     start, end = _runs(points, sign)
     folded, place = _folded(points, sign, raw, start, end)
-    best: dict[int, float] = {}
-    excused: list[tuple[int, int]] = []
-    for last, (length, weight) in words.iter(folded):
+    own = _inside(start, end, len(points)) if len(start) else None
+    found: list[Hit] = []
+    for last, (length, weight) in words.iter(folded) if len(words) else ():
         first = int(place[last - length + 2])
         if weight is None:
-            excused.append((first, int(place[last])))
-        elif weight > best.get(first, 0.0):
-            best[first] = weight
-    if len(start) and len(runs):
-        if best:
-            own = _inside(start, end, len(points))
-            best = {at: w for at, w in best.items() if not own[at]}
-        best |= _in_runs(runs, points, sign, start, end)
-    total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in excused))
-    n = max(1, folded.count(" ") - 1)
+            found.append((EXCUSED, first, first, int(place[last]), 0.0))
+        elif own is None or not own[first]:
+            found.append((WORD, first, first, last, weight))
+    if own is not None and len(runs):
+        found += _in_runs(runs, points, sign, start, end)
+    return found, max(1, folded.count(" ") - 1)
+
+
+def _sums(hits: list[Hit], n: int) -> tuple[float, float]:
+    """Of entries at one place, and of overlapping ones in runs, the heaviest counts, unless a phrase covers it."""
+    best: dict[int, float] = {}
+    taken: set[int] = set()
+    for _, first, last, place, weight in sorted((-h[4], h[2], h[3], h[1], h[4]) for h in hits if h[0] == RUN):
+        places = range(first, last + 1)
+        if taken.isdisjoint(places):
+            taken.update(places)
+            best[place] = weight
+    for kind, place, _, _, weight in hits:
+        if kind == WORD and weight > best.get(place, 0.0):
+            best[place] = weight
+    starts: list[int] = []
+    ends: list[int] = []
+    for first, last in sorted((h[2], h[3]) for h in hits if h[0] == EXCUSED):
+        if ends and first <= ends[-1]:
+            ends[-1] = max(ends[-1], last)
+        else:
+            starts.append(first)
+            ends.append(last)
+
+    def excused(at: int) -> bool:
+        i = bisect_right(starts, at) - 1
+        return i >= 0 and at < ends[i]
+
+    total = sum(w for at, w in sorted(best.items()) if not excused(at))
     return math.log1p(total), math.log1p(100 * total / n)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that have a word, toxic and not, added up by task."""
+def weigh(text: str, matcher) -> tuple[float, float]:
+    """log1p of the sum of weights, and of the sum per 100 words."""
+    return _sums(*_hits(text, matcher)) if len(matcher[0]) else (0.0, 0.0)
+
+
+def _counts(batches: Iterator[pa.RecordBatch], terms: Callable[[str], set[str]]) -> Iterator[pa.RecordBatch]:
+    """Documents that have a term, toxic and not, added up by task."""
     held = (Counter(), Counter())
 
     def out() -> pa.RecordBatch:
@@ -224,25 +266,105 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held[y].update(words_of(t or ""))
+            held[y].update(terms(t or ""))
         if len(held[0]) + len(held[1]) > FLUSH:
             yield out()
             held = (Counter(), Counter())
     yield out()
 
 
-def _prune(words: list, stems: list) -> dict[str, float]:
-    """Longest stems that keep the support of the shortest one; words that no kept stem covers."""
-    support = {s: n for s, n, _ in stems}
-    kept: dict[str, float] = {}
-    for s, n, w in stems:
-        longer = [x for x in support if len(x) == len(s) + 1 and x.startswith(s) and support[x] >= 0.9 * n]
-        if not longer:
-            kept[f" {s}"] = w
-    # a stem inside another kept one adds nothing
-    kept = {s: w for s, w in kept.items() if not any(s != x and s.startswith(x) for x in kept)}
-    covered = tuple(kept)
-    return kept | {f" {w} ": x for w, _, x in words if not f" {w}".startswith(covered or ("\0",))}
+def _phrases(text: str, words) -> set[str]:
+    """Entries that are whole words or stems, each with the word before and with the word after it, as patterns."""
+    points, sign, raw = _letters(text)
+    folded = _folded(points, sign, raw, *_runs(points, sign))[0]
+    found = set()
+    for last, (length, _) in words.iter(folded):
+        first = last - length + 1  # the blank before the entry
+        end = folded.find(" ", first + 1)
+        if first > 0:
+            found.add(folded[folded.rfind(" ", 0, first) : end + 1])
+        if end + 1 < len(folded):
+            found.add(folded[first : folded.find(" ", end + 1) + 1])
+    return found
+
+
+def _bound(toxic: Column, clean: Column, base: float, side: int) -> Column:
+    """Lower (-1) or upper (1) Wilson bound of a term's toxic share, as log-odds over those of ``base``."""
+    n, z = toxic + clean, CONFIDENCE
+    p = toxic / n
+    share = (p + z * z / (2 * n) + side * z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    share = F.least(F.greatest(share, F.lit(1e-9)), F.lit(1 - 1e-9))
+    return F.log(share / (1 - share)) - math.log(base / (1 - base))
+
+
+def _entries(counts: DataFrame, base: float) -> DataFrame:
+    """pattern, weight: stems, and the words that no stem covers.
+
+    Of stems those are kept that no stem longer by a letter has nearly the support of, and
+    of the kept ones the shortest.
+    """
+    lower = lambda df, left: df.where(left > 0).withColumn("weight", _bound(left, F.col("clean"), base, -1)).where(F.col("weight") >= MIN_LOG_ODDS)
+    heads = lambda word, low, high: F.explode(F.transform(F.sequence(F.lit(low), high), lambda n: F.substr(word, F.lit(1), n)))
+    word, short, tall = F.col("word"), *STEMS
+    long_words = counts.where(F.length(word) > short)
+    stems = (
+        long_words.select("toxic", "clean", heads(word, short, F.least(F.length(word) - 1, F.lit(tall))).alias("word")).groupBy("word")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum((F.col("toxic") > 0).cast("int")).alias("kinds"), F.max("toxic").alias("most"))
+        .where("kinds >= 4 and most <= 0.5 * toxic")
+    )
+    stems = written(lower(stems, F.col("toxic") - F.col("most")).select("word", "toxic", "weight"), "stems")
+    longer = stems.where(F.length(word) > short).groupBy(F.substr(word, F.lit(1), F.length(word) - 1).alias("word")).agg(F.max("toxic").alias("_longer"))
+    kept = stems.join(longer, "word", "left").where("_longer is null or _longer < 0.9 * toxic").select("word", "weight")
+    heads_of_kept = kept.select("word", heads(word, short, F.length(word) - 1).alias("head")) if tall > short else kept.select("word", F.lit("").alias("head"))
+    inner = heads_of_kept.where(F.length("head") < F.length("word")).join(kept.select(F.col("word").alias("head")), "head", "left_semi")
+    kept = written(kept.join(inner, "word", "left_anti"), "stems")
+    words = lower(counts, F.col("toxic") - 1).select("word", "weight")
+    covered = (
+        words.where(F.length(word) >= short).select("word", heads(word, short, F.least(F.length(word), F.lit(tall))).alias("head"))
+        .join(kept.select(F.col("word").alias("head")), "head", "left_semi")
+    )
+    words = words.join(covered, "word", "left_anti")
+    return kept.select(F.concat(F.lit(" "), word).alias("pattern"), "weight").unionByName(words.select(F.concat(F.lit(" "), word, F.lit(" ")).alias("pattern"), "weight"))
+
+
+def _blocks(entries: DataFrame, exceptions: tuple[str, ...], block_bytes: int) -> Lexicon:
+    """Entries dealt by hash into blocks of about ``block_bytes``."""
+    size = entries.agg(F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()[0]
+    n = max(1, -(-size // block_bytes))
+    parts = [{r.pattern: r.weight for r in entries.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i).orderBy("pattern").collect()} for i in range(n)]
+    return Lexicon(parts[0], exceptions, more=tuple(parts[1:]))
+
+
+def _with_features(docs: DataFrame, lexicon: Lexicon, text: str, use: Callable[[pa.RecordBatch, list[tuple[float, float]]], pa.RecordBatch], schema) -> DataFrame:
+    """``use`` on each batch (the columns of ``docs``) with the two sums of each text; further blocks are earlier passes."""
+    own, at = docs.columns, docs.columns.index(text)
+    blocks = lexicon.blocks()
+    held = free_name(docs, "hits") if len(blocks) > 1 else None
+
+    def found(batch: pa.RecordBatch, matcher) -> list[tuple[list[Hit], int]]:
+        out = [_hits(t or "", matcher) for t in batch.column(at).to_pylist()]
+        if batch.num_columns > len(own):
+            for (hits, _), flat in zip(out, batch.column(len(own)).to_pylist(), strict=True):
+                hits.extend((flat[i], *map(int, flat[i + 1 : i + 4]), flat[i + 4]) for i in range(0, len(flat), 5))
+        return out
+
+    for block in blocks[1:]:
+
+        def gathered(batches: Iterator[pa.RecordBatch], block: Lexicon = block) -> Iterator[pa.RecordBatch]:
+            matcher = block.matcher()
+            for batch in batches:
+                flat = [[float(x) for h in hits for x in h] for hits, _ in found(batch, matcher)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(own)], pa.array(flat, pa.list_(pa.float64()))], names=[*own, held])
+
+        docs = docs.mapInArrow(gathered, docs.select(*map(quoted, own)).withColumn(held, F.array(F.lit(0.0))).schema)
+
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = blocks[0].matcher()
+        for batch in batches:
+            sums = [_sums(*x) for x in found(batch, matcher)]
+            yield use(batch.select(list(range(len(own)))), sums)
+
+    return docs.mapInArrow(finished, schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
@@ -270,11 +392,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return tuple(float(v) for v in b)
 
 
-def learn_lexicon(labelled: DataFrame, max_terms: int = MAX_TERMS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def learn_lexicon(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, block_bytes: int = BLOCK_BYTES) -> Lexicon:
     """Learn from all rows of ``labelled`` (text, toxic 0/1; other labels are left out).
 
     Without a row of either class the lexicon is empty and every score is the share of
-    toxic rows (0 if there is no row).
+    toxic rows (0 if there is no row). ``exceptions`` are added to the learnt ones.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
@@ -282,32 +404,33 @@ def learn_lexicon(labelled: DataFrame, max_terms: int = MAX_TERMS, exceptions: t
     clean, toxic = have.get(0, 0), have.get(1, 0)
     if not clean or not toxic:
         return Lexicon({}, exceptions, (30.0 if toxic else -30.0, 0.0, 0.0))
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    counts = rows.mapInArrow(_word_counts, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = written(counts, "words")
-    best = lambda df: df.withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS).where(F.col("toxic") >= MIN_DOCS)
-    words = best(counts).orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(max_terms)
-    stems = best(
-        counts.select("*", F.explode(F.sequence(F.lit(STEMS[0]), F.lit(STEMS[1]))).alias("n"))
-        .where(F.length("word") > F.col("n"))
-        .groupBy(F.expr("substr(word, 1, n)").alias("word"))
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum((F.col("toxic") > 0).cast("int")).alias("kinds"), F.max("toxic").alias("most"))
-    ).where("kinds >= 4 and most <= 0.5 * toxic").orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(max_terms)
-    pick = lambda df: [(r.word, r.toxic, r.odds) for r in df.select("word", "toxic", "odds").collect()]
-    lexicon = Lexicon(_prune(pick(words), pick(stems)), exceptions)
+    base = toxic / (clean + toxic)
 
-    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, seen = lexicon.matcher(), Counter()
-        for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                a, b = weigh(t or "", automaton)
-                seen[round(a * 4), round(b * 4), y] += 1
+    def counted(terms_of: Callable[[], Callable[[str], set[str]]], name: str) -> DataFrame:
+        counts = rows.mapInArrow(lambda batches: _counts(batches, terms_of()), "word string, clean long, toxic long")
+        return written(counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), name)
+
+    entries = written(_entries(counted(lambda: words_of, "words"), base), "entries")
+    lexicon = _blocks(entries, exceptions, block_bytes)
+    for block in lexicon.blocks():
+        if block.terms:
+
+            def phrases(block: Lexicon = Lexicon(block.terms, ())) -> Callable[[str], set[str]]:
+                words, _ = block.matcher()
+                return lambda text: _phrases(text, words)
+
+            safe = counted(phrases, "phrases").where(_bound(F.col("toxic"), F.col("clean"), base, 1) < MIN_LOG_ODDS)
+            entries = entries.unionByName(safe.select(F.col("word").alias("pattern"), F.lit(None).cast("double").alias("weight")))
+    lexicon = _blocks(written(entries.dropDuplicates(["pattern"]), "entries"), exceptions, block_bytes)
+
+    def binned(batch: pa.RecordBatch, sums: list[tuple[float, float]]) -> pa.RecordBatch:
+        seen = Counter((round(a * 4), round(b * 4), y) for (a, b), y in zip(sums, batch.column(1).to_pylist(), strict=True))
         keys = list(seen)
-        yield pa.record_batch([*(pa.array([k[i] for k in keys], pa.int32()) for i in range(3)), pa.array([seen[k] for k in keys], pa.int64())], ["a", "b", "y", "n"])
+        return pa.record_batch([*(pa.array([k[i] for k in keys], pa.int32()) for i in range(3)), pa.array([seen[k] for k in keys], pa.int64())], ["a", "b", "y", "n"])
 
-    cells = rows.mapInArrow(binned, "a int, b int, y int, n long").groupBy("a", "b", "y").agg(F.sum("n").alias("n")).toPandas()
+    cells = _with_features(rows, lexicon, "text", binned, "a int, b int, y int, n long").groupBy("a", "b", "y").agg(F.sum("n").alias("n")).orderBy("a", "b", "y").toPandas()
     fit = _logistic(cells[["a", "b"]].to_numpy(float) / 4, cells["y"].to_numpy(float), cells["n"].to_numpy(float))
-    return Lexicon(lexicon.terms, exceptions, fit)
+    return replace(lexicon, fit=fit)
 
 
 def score_texts(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
@@ -316,16 +439,13 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFr
     A null text counts as empty. No shuffle.
     """
     small_batches(docs.sparkSession)
-    name, at = free_name(docs, "score"), docs.columns.index(text)
-    schema = docs.withColumn(name, F.lit(0.0)).schema
+    name = free_name(docs, "score")
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = lexicon.matcher()
-        for batch in batches:
-            x = np.array([weigh(t or "", automaton) for t in batch.column(at).to_pylist()], float).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lexicon.score(x), pa.float64())], names=[*batch.schema.names, name])
+    def scored(batch: pa.RecordBatch, sums: list[tuple[float, float]]) -> pa.RecordBatch:
+        x = np.array(sums, float).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lexicon.score(x), pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(scored, schema)
+    return _with_features(docs, lexicon, text, scored, docs.withColumn(name, F.lit(0.0)).schema)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -336,10 +456,10 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     known = labels.where(remainder(F.col("doc_id"), 5) != 0).where("toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).where("toxic = _most").drop("_most")
-    texts = docs.select("doc_id", "text")
-    if known.count() <= BROADCAST_LABELS:  # then no text moves
-        return texts.join(F.broadcast(known), "doc_id").select("text", "toxic")
-    return written(texts.join(known, "doc_id").select("text", "toxic"), "labelled")
+    known = written(known, "labels")
+    joined = docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
+    # labels that fit a broadcast: the planner leaves the texts where they are in each pass; others move them once
+    return joined if known.count() * LABEL_BYTES <= BROADCAST_BYTES else written(joined, "labelled")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

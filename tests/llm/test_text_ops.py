@@ -1,8 +1,10 @@
 """Language, toxicity, secrets and token counts against plain loops and edge cases."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -152,6 +154,85 @@ def test_toxicity_is_learnt_from_the_training_part(spark):
     assert {x.doc_id for x in kept.collect()} == {i for i, x in found.items() if not x.predicted}
 
 
+def labelled_texts(n=600):
+    """Toxic rows hold a bad word; clean ones hold "clown fish" often, and a stem's words are spread."""
+    r = random.Random(11)
+    bad = ["idiot", "moron", "clown", *(f"lostra{x}" for x in ("un", "ei", "ich", "ade", "ung", "wo", "ts", "ku"))]
+    rows = []
+    for i in range(n):
+        toxic = i % 5 == 0
+        words = text_in(r, WORDS["en"], 20).split()
+        words[3:3] = r.sample(bad, 3) if toxic else ["clown", "fish"] if i % 7 == 0 else []
+        rows.append((" ".join(words), int(toxic)))
+    return [*rows, ("one single wordonce idiot", 1), (None, 0), ("", 1), ("x", None)]
+
+
+def test_entries_and_phrases_by_loop(spark):
+    rows = labelled_texts()
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"), exceptions=())
+    known = [(t or "", y) for t, y in rows if y is not None]
+    toxic, clean = sum(y for _, y in known), sum(1 - y for _, y in known)
+    base = toxic / len(known)
+
+    def bound(k, n, side):
+        z = toxicity.CONFIDENCE
+        mid, width = k / n + z * z / (2 * n), z * math.sqrt(k / n * (1 - k / n) / n + z * z / (4 * n * n))
+        share = min(max((mid + side * width) / (1 + z * z / n), 1e-9), 1 - 1e-9)
+        return math.log(share / (1 - share)) - math.log(base / (1 - base))
+
+    counts = {}
+    for t, y in known:
+        for w in toxicity.words_of(t):
+            counts.setdefault(w, [0, 0])[y] += 1
+    stems = {}
+    for w, (c, k) in counts.items():
+        for n in range(toxicity.STEMS[0], min(toxicity.STEMS[1], len(w) - 1) + 1):
+            x = stems.setdefault(w[:n], [0, 0, 0, 0])
+            x[0], x[1], x[2], x[3] = x[0] + c, x[1] + k, x[2] + (k > 0), max(x[3], k)
+    stems = {w: (k, bound(k - m, c + k - m, -1)) for w, (c, k, kinds, m) in stems.items() if kinds >= 4 and m <= 0.5 * k}
+    stems = {w: x for w, x in stems.items() if x[1] >= toxicity.MIN_LOG_ODDS}
+    kept = {w for w, (k, _) in stems.items() if not any(len(v) == len(w) + 1 and v.startswith(w) and x[0] >= 0.9 * k for v, x in stems.items())}
+    kept = {w for w in kept if not any(v != w and w.startswith(v) for v in kept)}
+    want = {f" {w}": stems[w][1] for w in kept}
+    for w, (c, k) in counts.items():
+        if k > 1 and not any(w.startswith(v) for v in kept) and bound(k - 1, c + k - 1, -1) >= toxicity.MIN_LOG_ODDS:
+            want[f" {w} "] = bound(k - 1, c + k - 1, -1)
+    assert {" idiot ", " moron "} < want.keys() and any(w.startswith(" lostra") for w in want)
+    assert " wordonce " not in want
+    assert {p: w for p, w in lexicon.terms.items() if w is not None} == pytest.approx(want)
+    phrases = {p for p, w in lexicon.terms.items() if w is None}
+    if " clown " in want:
+        assert " clown fish " in phrases
+    assert not any("idiot" in p or "moron" in p for p in phrases)
+
+
+def test_blocks_of_a_large_lexicon_score_alike(spark):
+    rows = spark.createDataFrame(labelled_texts(), "text string, toxic int")
+    whole = toxicity.learn_lexicon(rows)
+    parts = toxicity.learn_lexicon(rows, block_bytes=8)
+    assert len(parts.more) >= 2
+    merged = dict(parts.terms)
+    for more in parts.more:
+        merged |= more
+    assert merged == pytest.approx(whole.terms) if None not in whole.terms.values() else merged.keys() == whole.terms.keys()
+    assert parts.fit == pytest.approx(whole.fit)
+    texts = [(i, t, 5) for i, t in enumerate(["You M0R0N idiot", "a clown fish", "l0stra8un!idi0t lostraei", None, "", "id10t" * 50])]
+    docs = spark.createDataFrame(texts, "id int, body string, hits int").selectExpr("*", "1 as score")
+    a, b = (toxicity.score_texts(docs, x, "body") for x in (whole, parts))
+    assert a.columns == b.columns == [*docs.columns, "_score"]
+    assert [r[-1] for r in b.orderBy("id").collect()] == pytest.approx([r[-1] for r in a.orderBy("id").collect()])
+
+
+def test_long_texts_take_linear_time():
+    m = toxicity.Lexicon({" trash ": 2.0, " idiot ": 3.0}, ("trash can",)).matcher()
+    unit = "trash can idiot "
+    began = time.perf_counter()
+    total, share = toxicity.weigh(unit * (10_000_000 // len(unit)), m)
+    assert time.perf_counter() - began < 15
+    assert total == pytest.approx(math.log1p(3.0 * (10_000_000 // len(unit))))
+    assert share == pytest.approx(math.log1p(100.0))
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b", "en", "s", 3)], DOCS)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
