@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inkwell.functions import html as H, mime as MT, status as S, text as TX, urls as U
 from inkwell.operators import (
-    chunks as C, control as K, extract as X, ledger as L, monitoring as MO, outcomes as O, refs as R,
+    chunks as C, control as K, extract as X, ledger as L, monitoring as MO, outcomes as O, refs as R, splits as SP,
 )
 from inkwell.operators.evaluate import computed_once
 from inkwell.plans import fixtures as FX
@@ -307,6 +307,15 @@ def chunk_loss(spark, sf):
     )
 
 
+@query
+def chunk_split_file(spark, sf):
+    """All texts as files, read in ranges of 4 KB; each window is found by the range it starts in."""
+    folder = _text_files(spark, sf)
+    named = FX.table(spark, sf, "documents").select("doc_id", F.concat(F.lit(folder + "/"), "source", F.lit("/doc+"), "doc_id", F.lit(".txt")).alias("path"), F.octet_length("text").cast("long").alias("length"))
+    chunks = SP.chunk_files(named, CHUNKING, staged, split_bytes=4096)
+    return chunks.select(F.regexp_extract("path", r"doc\+(\d+)\.txt$", 1).cast("long").alias("doc_id"), "chunk_no", "n_chunks", "text")
+
+
 @query
 def chunk_refs(spark, sf):
     flagged = staged(flag_messages(FX.store_refs(spark, sf)), "refs")

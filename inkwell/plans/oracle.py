@@ -325,6 +325,9 @@ SELECT page_id, safe, safe || '_extracted.txt' AS text_dump, safe || '_chunked.t
 
 ORACLES["chunk_text"] = f"{DOC_CHUNKS} SELECT * FROM chunks"
 
+ORACLES["chunk_split_file"] = f"""{DOC_CHUNKS}
+SELECT doc_id, CAST(chunk_no AS BIGINT) AS chunk_no, CAST(n_chunks AS BIGINT) AS n_chunks, text FROM chunks"""
+
 ORACLES["chunk_text_large"] = (
     "WITH RECURSIVE "
     + chunks_sql("budget", "min_chars", "min_len", "max_chunks", "SELECT doc_id, text, 4000 AS budget, 100 AS min_chars, 0 AS min_len, 1000000000 AS max_chunks FROM documents")
