@@ -19,6 +19,7 @@ more than a range's table, eight bytes and four per character of ``budget``.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -126,10 +127,12 @@ def _fold(part: Part, p: ChunkParams, terminators: str, width: int) -> tuple[np.
 
 
 def _open(path: str):
+    """The file of a path with or without scheme and host; the rest is a plain path, no URI, so blanks and % stand for themselves."""
     from pyarrow import fs
 
-    store, name = fs.FileSystem.from_uri(path)
-    return store.open_input_file(name)
+    scheme, host, name = re.match(r"(?:([A-Za-z][\w+.-]*):)?(?://([^/]*))?(.*)", path, re.S).groups()
+    store, prefix = fs.FileSystem.from_uri(f"{scheme or 'file'}://{host or ''}/")
+    return store.open_input_file(prefix.rstrip("/") + name)
 
 
 def _folded(ranges: DataFrame, p: ChunkParams, terminators: str) -> DataFrame:
@@ -234,7 +237,7 @@ def byte_ranges(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
 
 def chunk_files(files: DataFrame, p: ChunkParams, stage: Stage, split_bytes: int = SPLIT_BYTES,
                 fallback: str | None = "windows-1252", terminators: str = TERMINATORS) -> DataFrame:
-    """path, chunk_no, n_chunks, text of plain text files (path as a URI, length in bytes).
+    """path, chunk_no, n_chunks, text of plain text files (path with or without ``scheme://host``, length in bytes).
 
     Encodings are found as for small files: a byte order mark, UTF-8 if the whole file is
     valid, else ``fallback``; with None such a file gives no chunk. ``stage`` writes a table

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from inkwell.functions import text as TX
-from inkwell.operators import chunks as C, extract as X, outcomes as O, refs as R
+from inkwell.functions import mime as MT, text as TX, urls as U
+from inkwell.operators import chunks as C, extract as X, outcomes as O, refs as R, splits as SP
 from inkwell.session import shared_dir
 from inkwell.sources import files as FS, messages as M
 
@@ -75,6 +75,24 @@ def chunk_references(flagged: DataFrame, fetch: Fetch, params: C.ChunkParams, ke
     return C.chunk_text(pages, "pages", params, keep)
 
 
+def chunk_large_references(fetched: DataFrame, params: C.ChunkParams, keep: list[str], base_uri: str = "file://",
+                           stage: Stage = staged, split_bytes: int = SP.SPLIT_BYTES) -> DataFrame:
+    """The chunks that :func:`chunk_references` cannot give: plain text files too large for a row.
+
+    ``fetched`` are references as ``fetch_content`` returns them. Of those that are TOO_LARGE
+    the plain types, by their name, are read by byte ranges, with the same result columns.
+    Several references to one file get its chunks each.
+    """
+    plain = MT.mime_from_name(F.col("filename")).isin(*MT.PLAIN_TYPES)
+    base = base_uri if base_uri.endswith("://") else base_uri.rstrip("/")
+    path = F.concat(F.lit(base), U.storage_path(F.col("url"))).alias("_path")
+    large = stage(fetched.where(F.col("fetch_error") == "TOO_LARGE").where(plain).select(*keep, path, "length"), "large-refs")
+    chunks = SP.chunk_files(large.select(F.col("_path").alias("path"), "length"), params, stage, split_bytes)
+    rows = chunks.withColumnRenamed("path", "_path").join(large.drop("length"), "_path")
+    numbers = [F.col(c).cast("int").alias(c) for c in ("chunk_no", "n_chunks")]
+    return rows.select(*keep, F.lit(1).alias("page_no"), *numbers, "text", F.lit(False).alias("overflow"))
+
+
 def with_text(rows: DataFrame) -> DataFrame:
     """Add the joined text of completed rows."""
     return rows.withColumn("text", F.when(F.col("pages").isNotNull(), TX.join_pages(F.col("pages"))))

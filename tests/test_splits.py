@@ -6,7 +6,8 @@ import random
 import pytest
 
 from inkwell.operators import chunks as C, splits as S
-from inkwell.plans.process import staged
+from inkwell.plans.process import chunk_large_references, chunk_references, staged
+from inkwell.sources.fetch import fetch_content
 from tests.test_chunks import brute
 
 SMALL = C.ChunkParams(budget=40, min_chars=7)
@@ -95,3 +96,18 @@ def test_tables_compose_to_the_whole():
             out, n = S._fold(S.Part(t[low : high + p.budget], high - low), p, C.TERMINATORS, p.budget)
             entry, count = int(out[entry]), count + int(n[entry])
         assert (entry, count) == (0, len(brute(t, p)))
+
+
+def test_large_references_give_the_chunks_of_small_ones(spark, tmp_path):
+    names = {"a.txt": text(1, 400), "b.txt": text(2, 20), "c.md": text(3, 300), "d.pdf": text(4, 300), "e f.txt": text(5, 300)}
+    for name, t in names.items():
+        (tmp_path / name).write_text(t, encoding="utf-8")
+    rows = [(i, "FIRST", f"http://n:9870/webhdfs/v1{tmp_path}/{n}".replace(" ", "%20"), n) for i, n in enumerate([*names, "gone.txt", "a.txt"])]
+    refs = spark.createDataFrame(rows, "msg_id int, dedupe string, url string, filename string")
+    limited = lambda r: fetch_content(r, max_bytes=200)
+    small = chunk_references(refs, limited, SMALL, ["msg_id"], readers={})
+    large = chunk_large_references(limited(refs), SMALL, ["msg_id"], split_bytes=64)
+    assert large.columns == small.columns
+    found = sorted(map(tuple, small.unionByName(large).collect()))
+    want = sorted(map(tuple, chunk_references(refs, fetch_content, SMALL, ["msg_id"], readers={}).collect()))
+    assert {r[0] for r in want} == {0, 1, 2, 4, 6} and found == want
