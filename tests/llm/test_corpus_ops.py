@@ -234,6 +234,43 @@ def test_leaks_with_swapped_parts_match_brute_force():
                 assert want or n < 100 or gap
 
 
+@pytest.mark.parametrize("n_words", [1, 2, 3, 30, 300])
+def test_leaks_of_repeated_and_mixed_parts_match_brute_force(n_words):
+    for seed in range(30):
+        r = random.Random(seed)
+        own = [f"v{i}" for i in range(n_words)]
+        items = [(i, " ".join(r.choices(own, k=r.randint(1, 25)))) for i in range(8)]
+        items += [(8, items[0][1]), (9, " ".join(items[1][1].split()[: r.randint(0, 25)]))]
+        text = []
+        for _ in range(r.randint(0, 6)):
+            v = r.choice(items)[1].split()
+            for _ in range(r.randint(0, 3) if v else 0):
+                at = r.randrange(len(v))
+                v[at : at + 1] = r.choice(([v[at], "more"], ["new"], [v[at], v[at]]))
+            half = len(v) // 2 if r.random() < 0.3 else 0
+            text += v[half:] + v[:half] + r.choices(own, k=r.randint(0, 10))
+        bench, text = decontaminate.Items(items), " ".join(text)
+        want = leaks_by_loop([(0, text)], items)
+        assert {(0, i): pytest.approx(m[1]) for m in bench.matches(text) for i in bench.ids[m[0]]} == want, seed
+        assert bool(bench.matches(text, any_item=True)) == bool(want)
+
+
+def test_wording_that_items_share_brings_up_none_of_them(monkeypatch):
+    r = random.Random(31)
+    line = words(r, 12)
+    items = decontaminate.Items([(i, " ".join(line + items_words(i))) for i in range(2000)])
+    laid = []
+    starts = decontaminate.Items._starts
+    monkeypatch.setattr(decontaminate.Items, "_starts", lambda *args: laid.append(1) or starts(*args))
+    assert items.matches(" ".join(line * 8000)) == [] and not laid
+    text = " ".join(line * 500 + items_words(7) + line * 500)
+    assert [(m[0], m[1]) for m in items.matches(text)] == [(7, 1.0)] and len(laid) == 1
+
+
+def items_words(i):
+    return [f"i{i}w{k}" for k in range(30)]
+
+
 def test_blocks_find_every_fingerprint_within_the_radius():
     r = random.Random(13)
     items = decontaminate.Items([(i, " ".join(words(r, 20))) for i in range(50)])
