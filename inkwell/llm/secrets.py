@@ -6,8 +6,11 @@ Two layers give spans (kind, start, end) in code points, end exclusive:
   ``hex`` (long lower-case hex runs), leftmost and non-overlapping per kind.
 * ``named``: a lexer reads assignments of source code and configuration files (``a = "b"``,
   ``a: b``, ``"a": "b"``, ``a := 'b'``, ``a => "b"``, ``export A=b``, joined literals
-  ``"b" + "c"``) into name-literal pairs. A name that is assigned another name takes over
-  the literals that name holds at this point (constant propagation). Each literal is scored
+  ``"b" + "c"``, literals in triple or back quotes, YAML blocks) into name-literal pairs. A
+  name that is assigned another name takes over the literals that name holds at this point
+  (constant propagation). A bare word that may be a name counts as a literal only where
+  configuration files have one (``A=b``, or ``a: b`` alone on its line) or if it mixes upper
+  case, lower case and digits; calls are no literals. Each literal is scored
   by the sensitive words in the target's name and by its own make-up; those that reach
   ``min_score`` are spans of the literal's text.
 
@@ -45,13 +48,25 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*|cha
 
 MIN_SCORE = 0.9
 MIN_LITERAL = 6
+PHRASE = 0.2  # reaches MIN_SCORE with LEAST_NAME
 LEAST_NAME = 0.7  # of any listed word: eight characters of three classes (0.2 or more) reach MIN_SCORE
 
 _NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*|\[\s*[\"'][\w.-]+[\"']\s*\])*"
-_STRING = r"[rbuf]?(?:\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*')"
-_TARGET = re.compile(rf"(?<![\w$.])(?<!\w-)(?:(?P<q>[\"'])(?P<qname>[\w.-]+)(?P=q)|(?P<name>{_NAME}))(?:\s*:\s*[A-Za-z_][\w\[\], .]*?(?=\s*=))?[ \t]*(?P<op>:=|=>|=(?![=>~])|:(?![:/]))[ \t]*")
-_VALUE = re.compile(rf"(?P<joined>{_STRING}(?:[ \t]*[+.][ \t]*{_STRING})*)|(?P<ref>{_NAME})(?=[ \t]*(?:[;,)}}\]#]|$))|(?P<bare>[^\s\"'`,;(){{}}\[\]<>]+)", re.MULTILINE)
+_STRING = r"(?:[rbuf]{0,2}(?:\"{3}(?s:.*?)\"{3}|'{3}(?s:.*?)'{3}|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*')|`[^`]*`)"
+# a type between name and operator stays on the line and is read once
+_TYPE = r"(?:[ \t]*+:[ \t]*+[A-Za-z_][\w\[\],.| \t]*+(?==))?"
+_TARGET = re.compile(rf"(?<![\w$.])(?<!\w-)(?:(?P<q>[\"'])(?P<qname>[\w.-]+)(?P=q)|(?P<name>{_NAME})){_TYPE}[ \t]*+(?P<op>:=|=>|=(?![=>~])|:(?![:/]))[ \t]*+")
+_VALUE = re.compile(
+    rf"(?P<joined>{_STRING}(?:(?:\s*+[+.]\s*+(?:\\\n\s*+)?|[ \t]*+\\\n[ \t]*+){_STRING})*|\(\s*+{_STRING}(?:\s*+(?:[+.]\s*+)?{_STRING})*\s*+\))"
+    rf"|(?P<ref>{_NAME})(?=[ \t]*+(?:[;,)}}\]#]|$))|(?P<bare>[^\s\"'`,;(){{}}\[\]<>]+)",
+    re.MULTILINE,
+)
 _LITERAL = re.compile(_STRING)
+_QUOTES = re.compile(r"\"{3}|'{3}|[\"'`]")
+_BLOCK = re.compile(r"[|>][-+\d]*[ \t]*+(?:#[^\n]*)?\n")
+_LINE_END = re.compile(r"\r?\n[ \t]*")
+_PARTS = re.compile(r"\.|->|::|\[")
+_NAME_ONLY = re.compile(_NAME)
 _OPERATOR = re.compile(r"[:=]")
 
 
@@ -67,9 +82,13 @@ def _ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def _words(name: str) -> list[str]:
+    return [w.lower() for w in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name)]
+
+
 def name_score(name: str) -> float:
     """Sum of what the words of a name say, LEAST_NAME at least for sensitive ones; camel case and separators part words."""
-    words = [w.lower() for w in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name)]
+    words = _words(name)
     sensitive = sum(SENSITIVE.get(w, 0) for w in words)
     return (max(LEAST_NAME, sensitive) if sensitive else 0) + sum(HARMLESS.get(w, 0) for w in words)
 
@@ -85,6 +104,62 @@ def literal_score(value: str) -> float:
     return min(0.4, 0.1 * (classes - 1) + 0.05 * max(0.0, entropy - 2))
 
 
+def pair_score(name: str, value: str) -> float:
+    """Name and literal together, line ends and indents apart; a phrase counts for names of passwords and tokens."""
+    n, value = name_score(name), _LINE_END.sub("", value)
+    if n <= 0:
+        return -math.inf
+    phrase = PHRASE if " " in value.strip() and any(SENSITIVE.get(w, 0) >= 0.6 for w in _words(name)) else 0
+    return n + phrase + literal_score(value)
+
+
+def _key(name: str) -> str:
+    """Names compare by their last part, however they are joined."""
+    return _PARTS.split(name)[-1].strip("]\"' \t\n")
+
+
+def _inner(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """What stands within the quotes of the literals of a stretch."""
+    for s in _LITERAL.finditer(text, low, high):
+        q = _QUOTES.search(text, s.start(), s.end())
+        width = len(q[0]) if s.end() - q.start() >= 2 * len(q[0]) else 1
+        yield q.start() + width, s.end() - width
+
+
+def _yaml_block(text: str, target: int, at: int) -> tuple[int, int] | None:
+    """Lines below that are indented more than the line of the target."""
+    line = text.rfind("\n", 0, target) + 1
+    indent = target - line
+    if text[line:target].strip(" -"):
+        return None
+    low = high = None
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        row = text[at:end]
+        if bare := row.strip():
+            lead = len(row) - len(row.lstrip(" "))
+            if lead <= indent:
+                break
+            low, high = at + lead if low is None else low, at + row.index(bare) + len(bare)
+        at = end + 1
+    return None if low is None else (low, high)
+
+
+def _is_literal(text: str, m: re.Match, v: re.Match) -> bool:
+    """Whether a bare word is a value and not a name or a call."""
+    word, end = v[0], v.end()
+    if end < len(text) and text[end] in "([{":
+        return False
+    if not _NAME_ONLY.fullmatch(word):
+        return True
+    if all(any(f(c) for c in word) for f in (str.islower, str.isupper, str.isdigit)) and not _PARTS.search(word):
+        return True
+    tight = m["op"] == "=" and m.end() == m.end("op") and text[m.start("op") - 1] not in " \t"
+    alone = m["op"] == ":" and (m.start() == 0 or text[m.start() - 1] in "\n \t-") and text[end : end + 1] in ("", "\n", "\r", " ", "\t")
+    return (tight or alone) and text[end : end + 1] not in (";", ",", ")")
+
+
 def name_literal_pairs(text: str) -> Iterator[tuple[str, int, int]]:
     """(target name, start, end) of every literal that reaches the name, in reading order.
 
@@ -95,32 +170,30 @@ def name_literal_pairs(text: str) -> Iterator[tuple[str, int, int]]:
     while m := _TARGET.search(text, at):
         name = m["qname"] or m["name"]
         at = m.end()
+        if m["op"] == ":" and (b := _BLOCK.match(text, at)) and (block := _yaml_block(text, m.start(), b.end())):
+            held[_key(name)] = [block]
+            yield name, *block
+            continue
         v = _VALUE.match(text, at)
         if not v:
             continue
-        key = re.split(r"\.|->|::", name)[-1].strip("[]\"' ")
         if v["joined"]:
-            spans = []
-            for s in _LITERAL.finditer(text, v.start(), v.end()):
-                opening = s.start() + (text[s.start()] in "rbuf")
-                spans.append((opening + 1, s.end() - 1))
-        elif v["ref"] and v["ref"].split(".")[-1] in held:
-            spans = held[v["ref"].split(".")[-1]]
+            spans = list(_inner(text, v.start(), v.end()))
+            at = v.end()
+        elif v["ref"] and _key(v["ref"]) in held:
+            spans = held[_key(v["ref"])]
+            at = v.end()
         else:
             # a bare word may itself be the target of a chained assignment: read on from its start
-            spans = [(v.start(), v.end())]
-            held[key] = spans
-            yield from ((name, *s) for s in spans)
-            continue
-        held[key] = spans
+            spans = [(v.start(), v.end())] if _is_literal(text, m, v) else []
+        held[_key(name)] = spans
         yield from ((name, *s) for s in spans)
-        at = v.end()
 
 
 def named_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[str, int, int]]:
     if not _OPERATOR.search(text):
         return []
-    found = {(a, b) for name, a, b in name_literal_pairs(text) if (n := name_score(name)) > 0 and round(n + literal_score(text[a:b]), 9) >= min_score}
+    found = {(a, b) for name, a, b in name_literal_pairs(text) if round(pair_score(name, text[a:b]), 9) >= min_score}
     return [("named", a, b) for a, b in found]
 
 

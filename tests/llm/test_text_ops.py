@@ -285,6 +285,60 @@ def test_phrases_and_every_listed_name():
     assert named('key: "username"\naccess = "internal"\nsession_id = "Xk39fLq2"\nname = "Xk39fLq2"') == []
 
 
+SECRET = "Xk39fLq2Zq81"
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("password = user_input", []), ("password = getpass()", []), ('password = os.environ["PASSWORD_X1"]', []), ("f(password=user_input, x=1)", []),
+        (f"password = {SECRET}\n", [SECRET]), ("DB_PASSWORD=hunter2secret", ["hunter2secret"]), ("a:\n  password: hunter2secret\n", ["hunter2secret"]),
+        (f'$this->k = "{SECRET}"; password = $this->k;', [SECRET]), (f'A::k = "{SECRET}"; token = B::k\n', [SECRET]),
+        (f"x['pw'] = '{SECRET}'\npassword = x['pw']\n", [SECRET]), (f'k = "{SECRET}"\nk = other\ntoken = k\n', []),
+        ('DB_PASS="correct horse battery staple"', ["correct horse battery staple"]), ('key = "press any key now"', []),
+        (f'auth = """{SECRET}"""', [SECRET]), (f"auth = '''{SECRET}'''", [SECRET]), (f"auth = `{SECRET}`", [SECRET]), (f"password: str = '{SECRET}'", [SECRET]),
+        ('token = "Xk39fABC" + \\\n  "Lq2Zq81xx"', ["Xk39fABC", "Lq2Zq81xx"]), ('secret = ("Xk39fABC"\n   "Lq2Zq81xx")', ["Xk39fABC", "Lq2Zq81xx"]),
+        ("a:\n  private_key: |\n    MIIabc12\n\n    Zk39fLq2\n  b: c\n", ["MIIabc12\n\n    Zk39fLq2"]), ("private_key: |\nb: c\n", []),
+        ("token = ''", []), ('token = """', []), ("token = `", []),
+    ],
+)
+def test_literals_and_references(text, want):
+    assert [text[a:b] for _, a, b in sorted(secrets.named_spans(text), key=lambda s: s[1])] == want
+
+
+def test_generated_code_gives_the_planted_literals():
+    """Programs of assignments and references against a plain interpreter of the same statements."""
+    forms = ['{0} = "{1}"\n', "{0} = '{1}';\n", '"{0}": "{1}",\n', "self.{0} = `{1}`\n", "export {0}={1}\n", 'P::{0} := "{1}"\n', '{0} = """{1}"""\n']
+    for seed in range(200):
+        r = random.Random(seed)
+        plain, secret, text, held, want = ["alpha", "beta", "gamma"], ["db_password", "authToken", "API_SECRET"], "", {}, set()
+        for _ in range(12):
+            name = r.choice(plain + secret)
+            if r.random() < 0.6:
+                value = "".join(r.choices("abcdefgh", k=4) + r.choices("ABCDEFGH", k=4) + r.choices("23456789", k=5))
+                part = r.choice(forms).format(name, value)
+                held[name] = {(len(text) + part.index(value), len(text) + part.index(value) + len(value))}
+                text += part
+            else:
+                other = r.choice(plain + secret)
+                text += r.choice(["{0} = {1}\n", "this->{0} = Q::{1};\n", "{0} = self.{1}\n"]).format(name, other)
+                held[name] = held.get(other, set())
+            if name in secret:
+                want |= held[name]
+        assert {(a, b) for _, a, b in secrets.named_spans(text)} == want, text
+
+
+@pytest.mark.parametrize("part", ["a: x", 'a = "b"', "a: ", 'a = """', "a = `", "a:|\n", "a-", 'a = "b" +', "a: x, "])
+def test_lexer_is_linear(part):
+    def seconds(n):
+        start = time.perf_counter()
+        secrets.named_spans(part + " " * n)
+        secrets.named_spans(part * (n // len(part)))
+        return time.perf_counter() - start
+
+    assert seconds(400_000) < 0.2 + 10 * seconds(100_000)
+
+
 def test_secret_query_and_redaction(spark):
     rows = [(i, t, None, None, len(t)) for i, t in enumerate(SAMPLES)] + [(None, None, None, None, None), (50, 'key_password = "tr0ub4dor&3"', None, None, 3), (50, 'key_password = "tr0ub4dor&3"', None, None, 3)]
     rows.append((51, "word " * 200_000 + "password=abcdef1", None, None, 0))
