@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inkwell.functions import html as H, mime as MT, status as S, text as TX, urls as U
 from inkwell.operators import (
-    chunks as C, control as K, extract as X, ledger as L, monitoring as MO, outcomes as O, refs as R, splits as SP,
+    chunks as C, control as K, extract as X, ledger as L, monitoring as MO, outcomes as O, refs as R, splits as SP, tokens as TK,
 )
 from inkwell.operators.evaluate import computed_once
 from inkwell.plans import fixtures as FX
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 # thresholds scaled to the sizes in the given tables, so that every class occurs
 SMALL_THRESHOLD = 8192
 CHUNKING = C.ChunkParams(budget=2000, min_chars=200)
+TOKEN_BUDGET = 500
 ALIVE_S, DEGRADED_S, STALE_S = 6 * 3600, 12 * 3600, 4 * 3600
 
 
@@ -307,6 +308,32 @@ def chunk_loss(spark, sf):
     )
 
 
+def _token_chunks(spark, sf):
+    import public_tokenizers
+
+    docs = FX.texts(spark, sf, "documents", "doc_id", "text")
+    vocabulary = TK.read_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return TK.chunk_by_tokens(docs, "text", ["doc_id"], vocabulary, TOKEN_BUDGET, CHUNKING.min_chars)
+
+
+@query
+def chunk_tokens(spark, sf):
+    """Chunks of at most TOKEN_BUDGET tokens of a byte-pair vocabulary."""
+    return _token_chunks(spark, sf)
+
+
+@query
+def chunk_tokens_loss(spark, sf):
+    """Non-blank characters in and out of the token chunker, and whether a chunk exceeds the budget, per document."""
+    docs = FX.table(spark, sf, "documents").select("doc_id", F.length(F.regexp_replace("text", TX.CONTROL_AND_SPACE, "")).cast("long").alias("n_in"))
+    out = _token_chunks(spark, sf).groupBy("doc_id").agg(
+        F.sum(F.length(F.regexp_replace("chunk", TX.CONTROL_AND_SPACE, ""))).alias("n_out"),
+        F.max(F.col("n_tokens") > TOKEN_BUDGET).alias("over_budget"),
+        (F.count("*") == F.max("n_chunks")).alias("all_there"),
+    )
+    return docs.join(out, "doc_id", "left")
+
+
 @query
 def chunk_split_file(spark, sf):
     """All texts as files, read in ranges of 4 KB; each window is found by the range it starts in."""

@@ -346,6 +346,12 @@ ORACLES["chunk_loss"] = f"""SELECT doc_id, length(regexp_replace(text, '[\\x00-\
        length(regexp_replace(text, '[\\x00-\\x20]', '', 'g')) AS n_out, true AS within_budget
 FROM documents WHERE NOT {BLANK.format('text')}"""
 
+# a byte-pair encoder is not SQL; the chunks themselves are tested against the tokenizer
+ORACLES["chunk_tokens_loss"] = r"""
+SELECT doc_id, n_in, CASE WHEN n_in > 0 THEN n_in END AS n_out, CASE WHEN n_in > 0 THEN false END AS over_budget,
+       CASE WHEN n_in > 0 THEN true END AS all_there
+FROM (SELECT doc_id, length(regexp_replace(text, '[\x00-\x20]', '', 'g')) AS n_in FROM documents)"""
+
 ORACLES["chunk_report"] = f"""{DOC_CHUNKS}
 SELECT d.doc_id, coalesce(string_agg('=== CHUNK ' || chunk_no || ' OF ' || n_chunks || ' ===' || chr(10) || c.text || chr(10) || chr(10), '' ORDER BY chunk_no), '') AS report
 FROM documents d LEFT JOIN chunks c USING (doc_id) GROUP BY d.doc_id"""

@@ -22,7 +22,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_twin():
-    assert set(catalog.QUERIES) == set(oracle.ORACLES)
+    # byte pairs are not SQL: test_tokens holds these chunks against the tokenizer
+    assert set(catalog.QUERIES) - {"chunk_tokens"} == set(oracle.ORACLES)
     assert set(oracle.ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
