@@ -135,7 +135,9 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     totals = rows.mapInArrow(counts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    kept = totals.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "code", "rank")
+    # compared as it is, the row number limits every task's rows of a language before they meet
+    best = totals.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    kept = best.select("lang", "code", (F.col("rank") - 1).alias("rank"))
     found = kept.limit(MAX_LANGUAGES * size + 1).toPandas()
     languages = sorted(found["lang"].unique())
     if len(languages) > MAX_LANGUAGES:
