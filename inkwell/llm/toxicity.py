@@ -457,9 +457,10 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where(remainder(F.col("doc_id"), 5) != 0).where("toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).where("toxic = _most").drop("_most")
     known = written(known, "labels")
-    joined = docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
-    # labels that fit a broadcast: the planner leaves the texts where they are in each pass; others move them once
-    return joined if known.count() * LABEL_BYTES <= BROADCAST_BYTES else written(joined, "labelled")
+    # labels that fit a broadcast leave the texts where they are in each pass, whatever the planner's own limit; others move them once
+    few = known.count() * LABEL_BYTES <= BROADCAST_BYTES
+    joined = docs.select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id").select("text", "toxic")
+    return joined if few else written(joined, "labelled")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

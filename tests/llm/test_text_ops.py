@@ -404,3 +404,19 @@ def test_ties_and_unknown_characters_follow_the_tokenizer():
             for _ in range(30):
                 text = "".join(r.choice("abcd eé") for _ in range(r.randint(1, 12)))
                 assert c.count(text) == len(t.encode(text, add_special_tokens=False).ids), (scored, text)
+
+
+def test_few_labels_leave_the_texts_where_they_are(spark):
+    """Also where the planner's own limit is below the size of the labels."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(0, 200, 3)], "doc_id long, quality int, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = toxicity.training_rows(docs, labels)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        found = sorted(map(tuple, rows.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert found == sorted((f"text {i}", i % 2) for i in range(0, 200, 3) if zlib.crc32(str(i).encode()) % 5)
