@@ -49,11 +49,16 @@ def query(fn: Query) -> Query:
 # -- sources ---------------------------------------------------------------
 
 
+def _text_path():
+    """Path of a document's file: not all in one folder, as many folders are listed by tasks and one is listed by the driver."""
+    return F.concat("source", F.lit("/"), F.expr("doc_id div 5000"), F.lit("/doc+"), "doc_id", F.lit(".txt"))
+
+
 def _text_files(spark, sf) -> str:
     """Every document as a text file of its own, in a new folder."""
     docs = FX.texts(spark, sf, "documents", "doc_id", "source", "text")
     folder = f"{shared_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
-    named = docs.select(F.concat("source", F.lit("/doc+"), "doc_id", F.lit(".txt")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    named = docs.select(_text_path().alias("path"), F.coalesce("text", F.lit("")).alias("text"))
     EX.export_text_files(named, folder, "path", "text")
     return folder
 
@@ -72,7 +77,7 @@ def fetch_files(spark, sf):
     folder = _text_files(spark, sf)
     docs = FX.table(spark, sf, "documents").select("doc_id", "source")
     missing = docs.where("doc_id % 23 = 0").select((F.col("doc_id") + FX.BLANK_FILES).alias("doc_id"), "source")
-    url = F.concat(F.lit("http://namenode:9870/webhdfs/v1/"), "source", F.lit("/doc+"), "doc_id", F.lit(".txt"))
+    url = F.concat(F.lit("http://namenode:9870/webhdfs/v1/"), _text_path())
     got = fetch_content(docs.union(missing).select(F.col("doc_id").alias("msg_id"), url.alias("url")), folder)
     return got.select("msg_id", "fetched", "length", F.sha2("content", 256).alias("content_sha"), "fetch_error")
 
@@ -338,7 +343,7 @@ def chunk_tokens_loss(spark, sf):
 def chunk_split_file(spark, sf):
     """All texts as files, read in ranges of 4 KB; each window is found by the range it starts in."""
     folder = _text_files(spark, sf)
-    named = FX.table(spark, sf, "documents").select("doc_id", F.concat(F.lit(folder + "/"), "source", F.lit("/doc+"), "doc_id", F.lit(".txt")).alias("path"), F.octet_length("text").cast("long").alias("length"))
+    named = FX.table(spark, sf, "documents").select("doc_id", F.concat(F.lit(folder + "/"), _text_path()).alias("path"), F.octet_length("text").cast("long").alias("length"))
     chunks = SP.chunk_files(named, CHUNKING, staged, split_bytes=4096)
     return chunks.select(F.regexp_extract("path", r"doc\+(\d+)\.txt$", 1).cast("long").alias("doc_id"), "chunk_no", "n_chunks", "text")
 

@@ -15,6 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # folders of many small files: hundreds to a task instead of 32
+    "spark.sql.files.openCostInBytes": str(256 << 10),
+    # rows of long texts or tables: a Python worker holds so much of them at once
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 

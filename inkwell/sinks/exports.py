@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
+MOST_FOLDERS = 100_000  # that a task remembers to have made
+
 
 def last_write_per_path(df: DataFrame, path: str = "output_path", order: tuple[str, ...] = ("arrived_at",)) -> DataFrame:
     """The row that would remain after overwriting in the order given; name a column that settles ties."""
@@ -28,10 +30,14 @@ def export_text_files(df: DataFrame, base_uri: str, path: str = "output_path", t
 
         filesystem, prefix = fs.FileSystem.from_uri(base_uri.rstrip("/") + "/")
         prefix = prefix.rstrip("/")
+        made = set()
         for row in rows:
             target = f"{prefix}/{row[path].lstrip('/')}"
             folder, name = posixpath.split(target)
-            filesystem.create_dir(folder, recursive=True)
+            if folder not in made:
+                filesystem.create_dir(folder, recursive=True)
+                made = made if len(made) < MOST_FOLDERS else set()
+                made.add(folder)
             hidden = f"{folder}/.{uuid.uuid4().hex}"
             with filesystem.open_output_stream(hidden) as f:
                 f.write(row[text].encode("utf-8"))

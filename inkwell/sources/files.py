@@ -24,8 +24,10 @@ def scan_files(spark: SparkSession, directory: str, recursive: bool = False, glo
     files = reader.load(directory)
     if metadata_only:
         return files.select("path", "modificationTime", "length")
-    large = files.where(F.col("length") > MAX_FILE_BYTES).select("path", "modificationTime", "length", F.lit(None).cast("binary").alias("content"))
-    return files.where(F.col("length") <= MAX_FILE_BYTES).unionByName(large)  # both filters are pushed into the scan
+    # by the size in the listing: files of the other part get no task; the plain filter is pushed into the scan
+    listed = F.col("_metadata.file_size")
+    large = files.where(listed > MAX_FILE_BYTES).select("path", "modificationTime", "length", F.lit(None).cast("binary").alias("content"))
+    return files.where((listed <= MAX_FILE_BYTES) & (F.col("length") <= MAX_FILE_BYTES)).unionByName(large)
 
 
 def oversized_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:

@@ -129,3 +129,12 @@ def test_fetch_content_opens_only_named_files(spark, tmp_path):
     assert [got[i].fetched for i in (1, 2, 3)] == [False] * 3 and got[1].fetch_error == "NOT_FOUND"
     limited = {r.msg_id: r for r in fetch_content(refs, max_bytes=2).collect()}
     assert limited[0].fetch_error == "TOO_LARGE"
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    """The part of the scan for large files has no task, and a task reads many small files."""
+    for i in range(300):
+        (tmp_path / f"{i}.txt").write_text(f"text {i}")
+    scan = scan_files(spark, str(tmp_path))
+    assert scan.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(bytes(r.content) for r in scan.collect()) == sorted(f"text {i}".encode() for i in range(300))
