@@ -7,8 +7,8 @@ window of its own starts. Three steps:
 
 1. Each range is folded to a table: entry offset -> entry offset of the next range, and
    the number of chunks between. It reads ``budget`` characters beyond its end.
-2. The tables are composed, FAN neighbours at a time, up to one per file, and the offsets
-   handed down again the same way.
+2. The tables are composed, FAN neighbours at a time, until a file has at most FAN; these
+   are followed in order from the file's start, and the offsets handed down again.
 3. Each range is read again and emits the windows that start in it, with their numbers.
 
 So the chunks equal those of the whole text (:mod:`inkwell.operators.chunks`), whatever the
@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +36,9 @@ Stage = Callable[[DataFrame, str], DataFrame]
 SPLIT_BYTES = 4 << 20
 FAN = 256
 WIDEST = 4  # bytes of a character
+BATCH_BYTES = 4 << 20
+ROW_BYTES = 200  # of a row besides its table or text
+BLANK = "".join(map(chr, range(0x21)))
 MARKS = {b"\xef\xbb\xbf": "utf-8", b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}
 ONE_BYTE = {
     "iso-8859-1": "".join(map(chr, range(256))),
@@ -126,15 +129,34 @@ def _fold(part: Part, p: ChunkParams, terminators: str, width: int) -> tuple[np.
     return out[:width], count[:width]
 
 
-def _open(path: str):
-    """The file of a path with or without scheme and host; the rest is a plain path, no URI, so blanks and % stand for themselves."""
+@lru_cache(maxsize=64)
+def _store(root: str):
     from pyarrow import fs
 
+    return fs.FileSystem.from_uri(root)
+
+
+def _open(path: str):
+    """The file of a path with or without scheme and host; the rest is a plain path, no URI, so blanks and % stand for themselves."""
     scheme, host, name = re.match(r"(?:([A-Za-z][\w+.-]*):)?(?://([^/]*))?(.*)", path, re.S).groups()
-    store, prefix = fs.FileSystem.from_uri(f"{scheme or 'file'}://{host or ''}/")
+    store, prefix = _store(f"{scheme or 'file'}://{host or ''}/")
     return store.open_input_file(prefix.rstrip("/") + name)
 
 
+def _walk(part: Part, at: int, p: ChunkParams, terminators: str) -> tuple[int, list[str]]:
+    """Entry offset of the next range and the chunks of the windows that start in the range from ``at`` on."""
+    found = []
+    while at < part.own:
+        window = part.text[at : at + p.budget]
+        last = max((window.rfind(c) for c in terminators), default=-1)
+        if last > p.min_chars and window.strip(BLANK):
+            window = window[: last + 1]
+        at += len(window)
+        if chunk := window.strip(BLANK):
+            found.append(chunk)
+    return at - part.own, found
+
+
 def _folded(ranges: DataFrame, p: ChunkParams, terminators: str) -> DataFrame:
     """path, n, valid, out, count, whole, alone of each range (path, length, n, low, high, encoding).
 
@@ -142,16 +164,31 @@ def _folded(ranges: DataFrame, p: ChunkParams, terminators: str) -> DataFrame:
     """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["path", "n", "valid", "out", "count", "whole", "alone"]
+        types = [pa.string(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.bool_()]
+        made, size = [], 0
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], names=names)
+
         for batch in batches:
             for row in batch.to_pylist():
                 with _open(row["path"]) as f:
                     part = _part(f, row["length"], row["low"], row["high"], p.budget, row["encoding"])
-                width = p.budget if row["n"] else 1  # a file is entered at its start only
-                out, count = _fold(part, p, terminators, width) if part else (np.empty(0, np.int32), np.zeros(1, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["path"]]), pa.array([row["n"]], pa.int64()), pa.array([part is not None]), pa.array([out.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary()), pa.array([int(count[0])], pa.int64()), pa.array([row["high"] - row["low"] == row["length"]])],
-                    names=["path", "n", "valid", "out", "count", "whole", "alone"],
-                )
+                if part is None:
+                    out, count = np.empty(0, np.int32), np.zeros(1, np.int64)
+                elif row["n"]:
+                    out, count = _fold(part, p, terminators, p.budget)
+                else:  # a file is entered at its start only
+                    at, chunks = _walk(part, 0, p, terminators)
+                    out, count = np.array([at], np.int32), np.array([len(chunks)], np.int64)
+                made.append((row["path"], row["n"], part is not None, out.tobytes(), count.tobytes(), int(count[0]), row["high"] - row["low"] == row["length"]))
+                size += out.nbytes + count.nbytes + ROW_BYTES
+                if size >= BATCH_BYTES:
+                    yield done()
+                    made, size = [], 0
+        if made:
+            yield done()
 
     return ranges.mapInArrow(fold, "path string, n long, valid boolean, out binary, count binary, whole long, alone boolean")
 
@@ -191,37 +228,65 @@ def _down(tables: DataFrame, starts: DataFrame) -> DataFrame:
     return joined.groupBy("path", "g").applyInPandas(hand, "path string, n long, entry long, base long, n_chunks long")
 
 
+def _first(tables: DataFrame) -> DataFrame:
+    """path, n, entry, base, n_chunks of at most FAN tables a file, from the file's start.
+
+    Tables of a file meet in one task in order; no more than one row of each file is held with its table.
+    """
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["path", "n", "entry", "base", "n_chunks"], [pa.string(), *[pa.int64()] * 4]
+        path, entry, base, own, made = None, 0, 0, [], []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                here = batch.column(0)[i].as_py()
+                if here != path:
+                    made += [(*row, base) for row in own]
+                    path, entry, base, own = here, 0, 0, []
+                    if len(made) >= 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)], names=names)
+                        made = []
+                own.append((path, batch.column(1)[i].as_py(), entry, base))
+                out, count = np.frombuffer(batch.column(2)[i].as_py(), np.int32), np.frombuffer(batch.column(3)[i].as_py(), np.int64)
+                entry, base = int(out[entry]), base + int(count[entry])
+        made += [(*row, base) for row in own]
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)], names=names)
+
+    ordered = tables.select("path", "n", "out", "count").repartition("path").sortWithinPartitions("path", "n")
+    return ordered.mapInArrow(follow, "path string, n long, entry long, base long, n_chunks long")
+
+
 def _starts(tables: DataFrame, most: int, stage: Stage) -> DataFrame:
     zero = F.lit(0).cast("long")
-    at_start = lambda df: df.select("path", "n", zero.alias("entry"), zero.alias("base"), F.col("whole").alias("n_chunks"))
     levels = [tables.where("not alone").drop("alone")]
-    for _ in range(math.ceil(math.log(max(1, most), FAN))):
+    for _ in range(math.ceil(math.log(max(1, most), FAN)) - 1):
         levels.append(stage(_up(levels[-1]), "split-tables"))
-    starts = reduce(lambda starts, tables: _down(tables, starts), reversed(levels[:-1]), at_start(levels[-1]))
-    return starts.unionByName(at_start(tables.where("alone")))
+    starts = reduce(lambda starts, tables: _down(tables, starts), reversed(levels[:-1]), _first(levels[-1]))
+    alone = tables.where("alone").select("path", "n", zero.alias("entry"), zero.alias("base"), F.col("whole").alias("n_chunks"))
+    return starts.unionByName(alone)
 
 
 def _emitted(ranges: DataFrame, p: ChunkParams, terminators: str) -> DataFrame:
-    blank = "".join(map(chr, range(0x21)))
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+        made, size = [], 0
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], names=["path", "chunk_no", "n_chunks", "text"])
+
         for batch in batches:
             for row in batch.to_pylist():
                 with _open(row["path"]) as f:
                     part = _part(f, row["length"], row["low"], row["high"], p.budget, row["encoding"])
-                texts = []
-                at = row["entry"]
-                follow, filled = _next(part, p, terminators) if at < part.own else (None, None)
-                while at < part.own:
-                    if filled[at]:
-                        texts.append(part.text[at : follow[at]].strip(blank))
-                    at = int(follow[at])
-                n = len(texts)
-                numbers = pa.array(range(row["base"] + 1, row["base"] + 1 + n), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["path"]] * n, pa.string()), numbers, pa.array([row["n_chunks"]] * n, pa.int64()), pa.array(texts, pa.string())],
-                    names=["path", "chunk_no", "n_chunks", "text"],
-                )
+                for number, chunk in enumerate(_walk(part, row["entry"], p, terminators)[1], row["base"] + 1):
+                    made.append((row["path"], number, row["n_chunks"], chunk))
+                    size += len(chunk) + ROW_BYTES
+                if size >= BATCH_BYTES:
+                    yield done()
+                    made, size = [], 0
+        if made:
+            yield done()
 
     return ranges.mapInArrow(emit, CHUNKS)
 

@@ -111,3 +111,21 @@ def test_large_references_give_the_chunks_of_small_ones(spark, tmp_path):
     found = sorted(map(tuple, small.unionByName(large).collect()))
     want = sorted(map(tuple, chunk_references(refs, fetch_content, SMALL, ["msg_id"], readers={}).collect()))
     assert {r[0] for r in want} == {0, 1, 2, 4, 6} and found == want
+
+
+def test_following_a_range_gives_what_its_table_gives():
+    r = random.Random(4)
+    for i in range(40):
+        t = text(i, 80)
+        p = C.ChunkParams(budget=r.choice([5, 20, 64]), min_chars=r.choice([0, 3, 19, 80]))
+        part = S.Part(t, r.randrange(len(t)) if i % 5 else len(t))
+        out, n = S._fold(part, p, C.TERMINATORS, p.budget)
+        for at in range(min(p.budget, part.own)):
+            end, chunks = S._walk(part, at, p, C.TERMINATORS)
+            assert (end, len(chunks)) == (int(out[at]), int(n[at]))
+
+
+def test_no_table_is_composed_for_files_of_few_ranges(files, monkeypatch):
+    """Up to FAN ranges the tables of a file are followed once, not composed and handed down."""
+    monkeypatch.setattr(S, "_up", None)
+    assert S.chunk_files(files, SMALL, staged, 256).count() > 0
