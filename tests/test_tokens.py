@@ -109,3 +109,21 @@ def test_chunks_of_a_table(spark, vocabulary, reference, monkeypatch):
     assert TK.chunk_by_tokens(docs.limit(0), "body", ["doc_id"], vocabulary, 32).collect() == []
     with pytest.raises(ValueError):
         TK.chunk_by_tokens(docs, "body", [], vocabulary, 3)
+
+
+def test_frequent_pieces_stay_known_among_many_new_ones(vocabulary, monkeypatch):
+    monkeypatch.setattr(TK, "CACHED_PIECES", 20)
+    own = TK.BytePairs(vocabulary)
+    made = []
+    encode = own.encode
+    own.known.encode = lambda piece: made.append(piece) or encode(piece)
+    for i in range(500):
+        list(own.windows(f"frequentword novel{i}x", 50, 0))
+    assert made.count("frequentword") == 1
+    assert len(own.known) <= 20 and len(own.known.earlier) <= 20
+
+
+def test_a_batch_of_chunks_is_small(vocabulary, spark):
+    """What a worker holds of its results and of its input."""
+    assert TK.BATCH_BYTES <= 4 << 20
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 16 << 20
