@@ -27,6 +27,7 @@ import uuid
 from array import array
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ END_ID = 0
 CACHED_RUNS = 900_000
 CACHED_LENGTH = 32
 GROUP_CHARS = 1 << 20
+JOINED_WORDS = 500
 BLOCK_SHARDS = 1024
 #: The white space of the pre-tokenizer's pattern.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -77,11 +79,30 @@ class Encoder:
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.pack = partial(array, next(c for c in "HIL" if array(c).itemsize == self.kind.itemsize))
         self.runs: dict[str, bytes] = {}
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if self.by_runs and len(line_end) == 1 else None
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [self.pack(e.ids).tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a blank before it: many to a text, as the library's cost for a text is more than for a word.
+
+        A line end before a blank is a piece of its own, which no other piece's ids contain.
+        """
+        texts = ["\n ".join(["", *words[i : i + JOINED_WORDS]]) + "\n" for i in range(0, len(words), JOINED_WORDS)]
+        if self.line_end is None or self.added and any(map(self.added.search, texts)):
+            return self._library([f" {w}" for w in words])
+        out: list[bytes] = []
+        size = self.kind.itemsize
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = self.pack(e.ids)
+            at = np.flatnonzero(np.frombuffer(ids, self.kind) == self.line_end) * size
+            data = ids.tobytes()
+            out += [data[a + size : b] for a, b in pairwise(at.tolist())]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         out: list[bytes] = []
@@ -100,28 +121,35 @@ class Encoder:
         rest = sorted(set(range(len(texts))).difference(whole))
         words = {i: texts[i].replace("\n", " \n").split(" ") for i in rest}  # all but the first led by a blank or a line end
         first = [w.pop(0) for w in words.values()]
-        new = set().union(*words.values()).difference(self.runs)
+        found = {i: list(map(self.runs.get, w)) for i, w in words.items()}
+        gaps = {i: [k for k, ids in enumerate(f) if ids is None] for i, f in found.items()}
+        new = {w[k] for i, w in words.items() for k in gaps[i]}
         unclean = {w for w in new if not w or w == "\n" or w.strip() != w.removeprefix("\n")}
-        spaced = [i for i in rest if unclean and not unclean.isdisjoint(words[i])]
+        spaced = [i for i in rest if unclean and any(words[i][k] in unclean for k in gaps[i])]  # unclean ones are never known
         out = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True)) | dict(zip(rest, self._library(first), strict=True))
         new -= unclean
         room = CACHED_RUNS - len(self.runs)  # frequent runs come early; the first ones stay
         # behind a letter or number signs stand alone: most words with a comma are known without it
         signed = {w: core for w in new if w[-1] in SIGNS and (core := w.rstrip(SIGNS)) and core[-1].isalnum()}
         whole_runs = list(new.difference(signed).union(c for c in signed.values() if c not in self.runs))
-        self.runs.update(zip(whole_runs, self._library([w if w[0] == "\n" else f" {w}" for w in whole_runs]), strict=True))
+        lines, inner = [w for w in whole_runs if w[0] == "\n"], [w for w in whole_runs if w[0] != "\n"]
+        self.runs.update(zip(lines, self._library(lines), strict=True))
+        self.runs.update(zip(inner, self._words(inner), strict=True))
         tails = list({w[len(c) :] for w, c in signed.items()})
         after = dict(zip(tails, self._library(tails), strict=True))
         self.runs.update((w, self.runs[c] + after[w[len(c) :]]) for w, c in signed.items())
         for i in set(rest).difference(spaced):
-            out[i] += b"".join(map(self.runs.__getitem__, words[i]))
+            ids, w = found[i], words[i]
+            for k in gaps[i]:
+                ids[k] = self.runs[w[k]]
+            out[i] += b"".join(ids)
         for n, w in enumerate(new.union(whole_runs)):
             if n >= room or len(w) > CACHED_LENGTH:
                 del self.runs[w]
         cut = {i: RUN.findall(texts[i]) for i in spaced}
         runs = list(set().union(*cut.values()))
-        ids = dict(zip(runs, self._library(runs), strict=True))
-        out |= {i: b"".join(map(ids.__getitem__, c)) for i, c in cut.items()}
+        of_run = dict(zip(runs, self._library(runs), strict=True))
+        out |= {i: b"".join(map(of_run.__getitem__, c)) for i, c in cut.items()}
         return [out[i] for i in range(len(texts))]
 
 

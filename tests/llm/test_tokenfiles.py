@@ -71,3 +71,19 @@ def test_stream_and_bases(spark, monkeypatch):
     # files of an attempt that was not committed are not part of the stream
     wide = TF.write_tokens(docs.limit(0), work_path(spark, "test"))
     assert len(TF.TokenStream(wide)) == 0 and TF.TokenStream(wide).window(0, 3).tolist() == []
+
+
+def test_new_words_are_encoded_many_to_a_text():
+    """And get the ids that each has by itself, behind known ones, signs, line ends and runs of blanks too."""
+    words = [f"w{i}ord" for i in range(3000)] + ["ß1", "日本", "x" * 40, "a-b", "'s", "İ", "end.", "end.,", "..."]
+    texts = [" ".join(words), "a\nb " + " ".join(reversed(words)), "", " ", "two  blanks " + words[5], "\n".join(words[:50]), "tab\tin w7ord"]
+    own = TF.Encoder(TF.default_tokenizer())
+    calls = []
+    library = own._library
+    own._library = lambda t: calls.append(len(t)) or library(t)
+    found = own.encode(texts)
+    assert sum(calls) < 600
+    kind = own.kind
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(map(int, np.frombuffer(f, kind))) for f in found] == want
+    assert own.encode(texts) == found
