@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm import convtrie, decontaminate, language, mixing, neardup, secrets, spelling, suffixes, tokenfiles, tokens, topk, toxicity, warc
 from inkwell.llm.common import table
+from inkwell.plans import catalog
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,11 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_query(table(spark, sf_dir, "documents"))
 
 
+def chunk_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered here, as every query of the catalog has an SQL twin and this one has none."""
+    return catalog.token_chunks(spark, sf_dir)
+
+
 def op13_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.tokenfiles_query(table(spark, sf_dir, "documents"))
 
@@ -64,7 +70,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_suffixes, op3_topk, op4_decontaminate, op5_secrets, op6_warc, op7_toxicity, op8_mixing, op9_neardup, op10_tokens,
-        op11_convtrie, op12_spelling, op13_tokenfiles,
+        op11_convtrie, op12_spelling, op13_tokenfiles, chunk_tokens,
     )
 }
 
