@@ -50,7 +50,7 @@ def query(fn: Query) -> Query:
 
 
 def _text_path():
-    """Path of a document's file: not all in one folder, as many folders are listed by tasks and one is listed by the driver."""
+    """Path of a document's file: not all in one folder, as a folder is listed by one task."""
     return F.concat("source", F.lit("/"), F.expr("doc_id div 5000"), F.lit("/doc+"), "doc_id", F.lit(".txt"))
 
 

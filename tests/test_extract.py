@@ -138,3 +138,85 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
     scan = scan_files(spark, str(tmp_path))
     assert scan.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
     assert sorted(bytes(r.content) for r in scan.collect()) == sorted(f"text {i}".encode() for i in range(300))
+
+
+def tree(root, names):
+    for name, data in names.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+    return {f"file:{root / name}": data for name, data in names.items()}
+
+
+def test_the_driver_holds_no_file_names(spark, tmp_path):
+    tree(tmp_path, {f"{i % 7}/{i}.txt": b"x" * i for i in range(300)})
+    scan = scan_files(spark, str(tmp_path), recursive=True)
+    assert not [f for f in scan.inputFiles() if f.endswith(".txt")]
+    assert sorted((r.length, len(r.content)) for r in scan.collect()) == [(i, i) for i in range(300)]
+
+
+def test_scan_keeps_empty_files_and_what_the_reader_finds(spark, tmp_path, monkeypatch):
+    """Folders in several rounds, contents in several batches; a missing folder is an error as before."""
+    from pyspark.errors import AnalysisException
+
+    from inkwell.sources import files as FS, listing as LS
+
+    monkeypatch.setattr(LS, "STEP", 3)
+    monkeypatch.setattr(LS, "ROWS", 2)
+    monkeypatch.setattr(FS, "BATCH_BYTES", 5)
+    deep = "/".join("abcdefgh")
+    names = ["a.txt", "b b+%20é.txt", "c#?.md", "_k=v.txt", "sub/k=1/d.txt", "sub/e.log", f"{deep}/f.txt", *(f"many/{i}/{i}.txt" for i in range(20))]
+    wanted = tree(tmp_path, {n: n.encode() for n in names} | {"sub/empty.txt": b""})
+    tree(tmp_path, {n: b"hidden" for n in (".h.txt", "_h.txt", "x._COPYING_", ".h/x.txt", "_h/x.txt")})
+    (tmp_path / "gone.txt").symlink_to(tmp_path / "none")
+
+    def rows(df):
+        return {r.path: (r.modificationTime, r.length, bytes(r.content)) for r in df.collect()}
+
+    for kw in ({}, {"glob": "*.txt"}, {"glob": "{a,b}*.t[x]t"}, {"glob": "[!a]*"}):
+        got = rows(scan_files(spark, str(tmp_path), recursive=True, **kw))
+        assert all(v[1:] == (len(wanted[p]), wanted[p]) for p, v in got.items())
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", kw.get("glob", "*"))
+        assert {p: v for p, v in got.items() if v[1]} == rows(reader.load(str(tmp_path)))
+    assert set(rows(scan_files(spark, str(tmp_path), recursive=True))) == set(wanted)
+    assert set(rows(scan_files(spark, str(tmp_path)))) == {p for p in wanted if p.count("/") == f"file:{tmp_path}/".count("/")}
+    assert set(rows(scan_files(spark, f"{tmp_path}/s*/"))) == {p for p in wanted if "/sub/e" in p}
+    assert scan_files(spark, str(tmp_path / "a.txt")).count() == 1
+    monkeypatch.setattr(FS, "MAX_FILE_BYTES", 4)
+    large = {r.path.rsplit("/", 1)[-1]: r.content for r in scan_files(spark, str(tmp_path), recursive=True, glob="[a1]*").collect()}
+    assert large["a.txt"] is None and bytes(large["1.txt"] or b"-") == b"-" and len(large) == 12
+    try:
+        scan_files(spark, str(tmp_path / "none"))
+        raise AssertionError("a missing folder was scanned")
+    except AnalysisException as e:
+        assert "PATH_NOT_FOUND" in str(e)
+
+
+def test_documents_without_text_are_empty_files(spark, tmp_path):
+    import duckdb
+
+    from inkwell.plans import catalog, oracle
+
+    texts = [(1, "a", "news"), (2, "", "news"), (3, None, "web")]
+    spark.createDataFrame(texts, "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(oracle.ORACLES["scan_binary"]).fetchall()
+    assert sorted(map(tuple, catalog.QUERIES["scan_binary"](spark, str(tmp_path)).collect())) == sorted(want) and len(want) == 3
+
+
+def test_content_is_read_for_the_rows_that_need_it(spark, tmp_path):
+    tree(tmp_path, {f"{i}.txt": b"text" for i in range(5)})
+    scan = scan_files(spark, str(tmp_path))
+    (tmp_path / "3.txt").unlink()
+    assert scan.select("path", "length").count() == len(scan.select("path").collect()) == 5
+    assert {bytes(r.content) for r in scan.where("path not like '%3.txt'").collect()} == {b"text"}
+    done = scan.where("path like '%3.txt'").select("path")
+    plan = process_directory(scan, done)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("read(path") == 1 and plan.count() == 4
+
+
+def test_scan_of_a_store_that_only_spark_opens(spark, tmp_path):
+    tree(tmp_path, {"sub/a.txt": b"a"})
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.scan.link./in", f"file://{tmp_path}")
+    scan = scan_files(spark, "viewfs://scan/in", recursive=True)
+    assert [(r.path, bytes(r.content)) for r in scan.collect()] == [("viewfs://scan/in/sub/a.txt", b"a")]
